@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import pin
 from .joins import small_side
-from .quantiles import exact_quantiles, quantiles_from_histogram
+from .quantiles import exact_quantiles, quantiles_from_histogram, running_total, value_histogram
 
 CAP_COLUMNS = {"fare": "fare_amount", "distance": "trip_distance", "duration": "trip_duration_min"}
 ALL = "All"
@@ -225,10 +224,33 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearso
             F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), F.col(f"_{i}").alias("r")) for i, (a, b) in enumerate(pairs)
         ])
         return one.select(F.explode(cells).alias("c")).select("c.*")
-    vectors = VectorAssembler(inputCols=cols, outputCol="_v").transform(complete).select("_v")
-    matrix = Correlation.corr(vectors, "_v", method).head()[0].toArray()
-    cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return df.sparkSession.createDataFrame(cells, "row string, col string, r double")
+    return _rank_correlations(complete, cols)
+
+
+def _rank_correlations(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Pearson r of average ranks, over distinct rows weighted by their copies.
+
+    The rank of a value follows from its running count, so no column is sorted
+    in one task, and tied values, however many, are one histogram row.
+    """
+    rows = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_w"))
+    for c in cols:
+        running = running_total(value_histogram(df, [], c), [], c)
+        # Centred on the mean rank (total + 1) / 2, which ties leave unchanged.
+        centred = F.col("cum_n") - F.col("n") / 2.0 - F.col("tot") / 2.0
+        ranks = pin(running.select(F.col(c).alias("_v"), centred.alias(f"_rank_{c}")))
+        rows = rows.join(small_side(ranks), F.col(c) == F.col("_v")).drop("_v")
+    pairs = [(a, b) for a in cols for b in cols]
+    w = F.col("_w")
+    sums = rows.agg(*[F.sum(w * F.col(f"_rank_{a}") * F.col(f"_rank_{b}")).alias(f"_{a}_{b}") for a, b in pairs])
+    cells = F.array(*[
+        F.struct(
+            F.lit(a).alias("row"), F.lit(b).alias("col"),
+            F.try_divide(F.col(f"_{a}_{b}"), F.sqrt(F.col(f"_{a}_{a}")) * F.sqrt(F.col(f"_{b}_{b}"))).alias("r"),
+        )
+        for a, b in pairs
+    ])
+    return sums.select(F.explode(cells).alias("c")).select("c.*")
 
 
 def trend_line(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:

@@ -1 +1,368 @@
-"""Checked queries."""
+"""Checked queries for target encoding, metrics and Spark ML.
+
+Fitted results are compared with SQL where the fit has a closed form: the mean of
+a group, or least squares over one feature. Tree models return rows only.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import functions as F
+
+from .. import constants as K
+from ..functions import trip_columns as C
+from ..ml import evaluation as V, stages as P
+from ..operators import encoding as M, metrics as R, quality as N
+from ..operators.filters import derive_and_guard
+from ..operators.sampling import md5_bucket
+from ..operators.splits import fold_split, union_all
+from ..plans import fixtures as X
+from ..session import pin
+from .core import NEEDS, VIEWS, query
+from .helpers import rounded
+
+VIEWS["enc"] = """
+select tripid, service_type, pickup_borough, pickup_zone || '→' || dropoff_zone as od_corridor, fare_amount as fare_capped, trip_distance, pickup_datetime,
+  cast(('0x' || substr(md5('o' || tripid), 1, 8))::bigint % 5 as int) as fold, cast(('0x' || substr(md5(tripid), 1, 8))::bigint % 5 as int) as oof_fold from fact"""
+NEEDS["enc"] = ["fact"]
+
+
+def enc(spark, sf):
+    """Trips with a corridor, a label, and two fold columns."""
+    return X.fact(spark, sf).select(
+        "tripid", "service_type", "pickup_borough", C.od_corridor().alias("od_corridor"), F.col("fare_amount").alias("fare_capped"),
+        "trip_distance", "pickup_datetime",
+        md5_bucket(F.concat(F.lit("o"), "tripid"), 5).cast("int").alias("fold"), md5_bucket(F.col("tripid"), 5).cast("int").alias("oof_fold"),
+    )
+
+
+@query("g14_fit_target_encoding", """
+select od_corridor, round((sum(fare_capped) + 5 * (select avg(fare_capped) from enc)) / (count(*) + 5), 4) as od_corridor_te from enc group by 1""", "enc")
+def g14(spark, sf):
+    return rounded(M.fit_target_encoding(enc(spark, sf)).table)
+
+
+@query("f04_apply_target_encoding", """
+with fit as (select * from enc where fold = 1), g as (select avg(fare_capped) as g from fit),
+t as (select od_corridor, (sum(fare_capped) + 5 * (select g from g)) / (count(*) + 5) as te from fit group by 1)
+select tripid, round(coalesce(te, (select g from g)), 4) as od_corridor_te from enc left join t using (od_corridor)""", "enc")
+def f04(spark, sf):
+    e = enc(spark, sf)
+    fitted = M.fit_target_encoding(e.where(F.col("fold") == 1))
+    return rounded(M.apply_target_encoding(e, fitted).select("tripid", "od_corridor_te"))
+
+
+OOF_SQL = """
+kf as (select od_corridor, {fold} as f, sum(fare_capped) as s, count(*) as n from {rows} group by 1, 2),
+c as (select od_corridor, f, sum(s) over (partition by od_corridor) - s as cs, sum(n) over (partition by od_corridor) - n as cn from kf),
+g as (select f, ((select sum(s) from kf) - sum(s)) / ((select sum(n) from kf) - sum(n)) as g from kf group by 1),
+te as (select od_corridor, c.f, case when cn > 0 then (cs + 5 * g) / (cn + 5) else g end as te from c join g using (f))"""
+
+
+@query("m01_oof_target_encode", "with " + OOF_SQL.format(fold="oof_fold", rows="enc").strip() + """
+select tripid, round(te, 4) as od_corridor_te from enc join te on enc.od_corridor = te.od_corridor and enc.oof_fold = te.f""", "enc")
+def m01(spark, sf):
+    return rounded(M.oof_target_encode(enc(spark, sf)).select("tripid", "od_corridor_te"))
+
+
+@query("m02_encode_outer_fold", "with train as (select * from enc where fold <> 0), test as (select * from enc where fold = 0)," + OOF_SQL.format(fold="oof_fold", rows="train") + """,
+tg as (select avg(fare_capped) as g from train), tt as (select od_corridor, (sum(fare_capped) + 5 * (select g from tg)) / (count(*) + 5) as te from train group by 1)
+select tripid, 'train' as half, round(te, 4) as od_corridor_te from train join te on train.od_corridor = te.od_corridor and train.oof_fold = te.f
+union all select tripid, 'test', round(coalesce(te, (select g from tg)), 4) from test left join tt using (od_corridor)""", "enc")
+def m02(spark, sf):
+    e = enc(spark, sf).drop("oof_fold")
+    train, test = M.encode_outer_fold(e, 0, method="md5", hash_columns=["tripid"])
+    halves = [d.select("tripid", F.lit(n).alias("half"), "od_corridor_te") for n, d in (("train", train), ("test", test))]
+    return rounded(union_all(halves))
+
+
+@query("m03_self_leakage", "select od_corridor, count(*) as n, round(1.0 / (count(*) + 5), 6) as weight from enc group by 1", "enc")
+def m03(spark, sf):
+    return rounded(M.self_leakage(enc(spark, sf)), 6)
+
+
+@query("n08_leakage_audit", "select (select count(*) from enc) as rows, 0::bigint as moved, count(*) > 0 as leak_is_found from enc", "enc")
+def n08(spark, sf):
+    # Move the targets of one fold: its own encodings may not react, while an
+    # encoding fitted on all rows must.
+    e = enc(spark, sf).withColumn("row_key", F.concat("tripid", F.lit("|"), "service_type")).dropDuplicates(["row_key"])
+    changed = e.withColumn("fare_capped", F.when(F.col("oof_fold") == 3, F.col("fare_capped") + 100).otherwise(F.col("fare_capped")))
+    a, b = (M.oof_target_encode(d).where(F.col("oof_fold") == 3) for d in (e, changed))
+    audit = N.leakage_audit(a, b, "row_key", "od_corridor_te")
+    leaky = [M.apply_target_encoding(d, M.fit_target_encoding(d)).where(F.col("oof_fold") == 3) for d in (e, changed)]
+    found = N.leakage_audit(*leaky, "row_key", "od_corridor_te").select(F.col("moved") > 0).scalar()
+    n = enc(spark, sf).agg(F.count(F.lit(1))).scalar()
+    return audit.select(n.alias("rows"), "moved", found.alias("leak_is_found"))
+
+
+# --- Spark ML stages ---------------------------------------------------------------
+
+
+@query("m04_target_encoder_stage", """
+select distinct od_corridor, round((sum(fare_capped) over (partition by od_corridor) + 5 * avg(fare_capped) over ()) / (count(*) over (partition by od_corridor) + 5), 4) as te from enc""", "enc")
+def m04(spark, sf):
+    e = enc(spark, sf)
+    model = Pipeline(stages=[*P.index_stages(["od_corridor"]), P.target_encoder_stage("od_corridor")]).fit(e)
+    return rounded(model.transform(e.select("od_corridor").distinct()).select("od_corridor", F.col("od_corridor_te_raw").alias("te")))
+
+
+@query("m05_demote_nominal", "select count(*) as n_rows, true as nominal_before, false as nominal_after from enc", "enc")
+def m05(spark, sf):
+    e = enc(spark, sf).select("od_corridor", "fare_capped")
+    stages = [*P.index_stages(["od_corridor"]), P.target_encoder_stage("od_corridor"), P.demote_nominal(["od_corridor"])]
+    out = Pipeline(stages=stages).fit(e).transform(e)
+
+    def nominal(c):
+        return out.schema[c].metadata.get("ml_attr", {}).get("type") == "nominal"
+    return out.agg(F.count("od_corridor_te").alias("n_rows")).withColumns({
+        "nominal_before": F.lit(nominal("od_corridor_te_raw")), "nominal_after": F.lit(nominal("od_corridor_te")),
+    })
+
+
+@query("m06_ohe_stages", """
+with c as (select pickup_borough, count(*) as n from enc group by 1), o as (select *, row_number() over (order by n desc, pickup_borough) - 1 as i, count(*) over () as levels from c)
+select pickup_borough, i::double as idx, cast(levels + 1 as int) as kept_slots, cast(levels as int) as dropped_slots, 1.0::double as ones from o""", "enc")
+def m06(spark, sf):
+    e = enc(spark, sf).select("pickup_borough")
+    kept, dropped = (Pipeline(stages=P.ohe_stages(["pickup_borough"], d)).fit(e) for d in (False, True))
+    levels = e.distinct()
+    a = kept.transform(levels).withColumn("v", vector_to_array("pickup_borough_ohe"))
+    b = dropped.transform(levels).select("pickup_borough", F.size(vector_to_array("pickup_borough_ohe")).alias("dropped_slots"))
+    return a.join(b, "pickup_borough").select(
+        "pickup_borough", F.col("pickup_borough_idx").alias("idx"), F.size("v").alias("kept_slots"), "dropped_slots",
+        F.aggregate("v", F.lit(0.0), lambda x, y: x + y).alias("ones"),
+    )
+
+
+@query("m07_preprocessor", """
+select tripid, round((trip_distance - avg(trip_distance) over ()) / stddev_samp(trip_distance) over (), 4) + 0.0 as scaled, round(trip_distance, 4) as plain from enc""", "enc")
+def m07(spark, sf):
+    e = enc(spark, sf).select("tripid", F.col("trip_distance").alias("distance_capped"))
+    groups = P.route_columns(["distance_capped"])
+    out = e
+    for name, scaled in (("scaled", True), ("plain", False)):
+        model = Pipeline(stages=P.preprocessor(groups, scaled)).fit(e)
+        out = model.transform(out).withColumn(name, vector_to_array("features")[0]).select(*out.columns, name)
+    return rounded(out.select("tripid", "scaled", "plain"))
+
+
+def feature_frame(spark, sf):
+    """The 15 features and the label, with a fold per trip, kept for repeated fits."""
+    guarded = derive_and_guard(X.fact(spark, sf))
+    base = guarded.withColumns({"fare_capped": F.col("fare_amount"), "distance_capped": F.col("trip_distance")})
+    with_fold = base.withColumn("fold", md5_bucket(F.concat(F.lit("o"), "tripid"), 3).cast("int"))
+    features = C.build_features(with_fold.select(*K.MODEL_COLUMNS, "fold"))
+    return pin(features)
+
+
+# Smaller ensembles than the defaults, over all rows.
+ROUNDS, DEPTH, TREES = 5, 4, 8
+
+
+@query("m09_gbt_fit")
+def m09(spark, sf):
+    f = feature_frame(spark, sf)
+    train, test = fold_split(f, 0)
+    estimator, groups = P.gbt_pipeline([c for c in f.columns if c != "fold"], max_iter=ROUNDS, max_depth=DEPTH)
+    scored = R.regression_metrics(estimator.fit(train).transform(test), K.TARGET)
+    return scored.withColumn("columns_used", F.lit(len(groups.numeric) + len(groups.one_hot) + len(groups.target_encoded)))
+
+
+def one_feature(label="fare_capped", prediction="prediction", **options):
+    """Least squares over the distance."""
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=["trip_distance"], outputCol="features"),
+        LinearRegression(labelCol=label, featuresCol="features", predictionCol=prediction, **options),
+    ])
+
+
+FOLD_FIT = """
+fits as (select f.fold, regr_slope(fare_capped, trip_distance) as a, regr_intercept(fare_capped, trip_distance) as b
+  from (select distinct fold from enc) f join enc e on e.fold <> f.fold group by 1),
+preds as (select e.*, a * trip_distance + b as prediction from enc e join fits using (fold))"""
+METRIC_SQL = """round(avg(abs(fare_capped - prediction)), 4) as mae, round(sqrt(avg(pow(fare_capped - prediction, 2))), 4) as rmse,
+  round(1 - sum(pow(fare_capped - prediction, 2)) / (var_pop(fare_capped) * count(*)), 4) as r2"""
+
+
+@query("m10_cross_validate", f"with {FOLD_FIT.strip()}\nselect 'ols' as model, fold, {METRIC_SQL} from preds group by 2", "enc")
+def m10(spark, sf):
+    e = pin(enc(spark, sf))
+    return rounded(V.cross_validate(e, one_feature(), 5, name="ols").drop("fit_time_s"))
+
+
+@query("m10_cross_validate_gbt_encoded")
+def m10b(spark, sf):
+    f = feature_frame(spark, sf)
+    columns = [*[c for c in f.columns if c != "fold"], "od_corridor_te"]
+    estimator, _ = P.gbt_pipeline(columns, "out_of_fold", max_iter=ROUNDS, max_depth=DEPTH)
+    return V.cross_validate(f, estimator, 3, name="gbt_oof", halves=V.encoded_halves(3))
+
+
+CORRIDOR_MEAN = "p as (select *, avg(fare_capped) over (partition by od_corridor) as prediction from enc)"
+
+
+def corridor_mean(spark, sf):
+    """Each trip predicted by the mean fare of its corridor."""
+    e = enc(spark, sf)
+    means = M.fit_target_encoding(e, smoothing=0.0, out="prediction")
+    return M.apply_target_encoding(e, means)
+
+
+@query("m11_regression_metrics", f"with {CORRIDOR_MEAN}\nselect count(*) as rows, {METRIC_SQL} from p", "enc")
+def m11(spark, sf):
+    return rounded(R.regression_metrics(corridor_mean(spark, sf), "fare_capped"))
+
+
+FOLD_METRICS = f"""{CORRIDOR_MEAN}, f as (select service_type as model, fold, avg(abs(fare_capped - prediction)) as mae, sqrt(avg(pow(fare_capped - prediction, 2))) as rmse,
+  1 - sum(pow(fare_capped - prediction, 2)) / (var_pop(fare_capped) * count(*)) as r2, count(*) / 1000.0 as fit_time_s from p group by 1, 2),
+b as (select model, avg(mae) as mae_mean, stddev_pop(mae) as mae_std, avg(rmse) as rmse_mean, stddev_pop(rmse) as rmse_std, avg(r2) as r2_mean, stddev_pop(r2) as r2_std,
+  avg(fit_time_s) as fit_time_s from f group by 1)"""
+BOARD = "model, round(mae_mean, 4) as mae_mean, round(mae_std, 4) as mae_std, round(rmse_mean, 4) as rmse_mean, round(rmse_std, 4) as rmse_std, round(r2_mean, 4) as r2_mean, round(r2_std, 4) as r2_std, round(fit_time_s, 4) as fit_time_s"
+
+
+def fold_table(spark, sf):
+    """Fold metrics of two 'models' (the services); rows stand in for seconds."""
+    by = R.regression_metrics(corridor_mean(spark, sf), "fare_capped", by=["service_type", "fold"])
+    return by.withColumnRenamed("service_type", "model").withColumn("fit_time_s", F.col("rows") / 1000.0)
+
+
+@query("m12_fold_metrics_to_row", f"with {FOLD_METRICS} select {BOARD} from b", "enc")
+def m12(spark, sf):
+    return rounded(R.fold_metrics_to_row(fold_table(spark, sf)))
+
+
+@query("m13_leaderboard", f"with {FOLD_METRICS} select {BOARD}, row_number() over (order by rmse_mean, model) as place from b", "enc")
+def m13(spark, sf):
+    from pyspark.sql import Window
+    board = R.leaderboard(R.fold_metrics_to_row(fold_table(spark, sf)))
+    return rounded(board.withColumn("place", F.row_number().over(Window.orderBy("rmse_mean", "model")).cast("bigint")))
+
+
+@query("m15_sweep_baselines", f"""
+with {FOLD_FIT.strip()}, means as (select f.fold, avg(fare_capped) as m from (select distinct fold from enc) f join enc e on e.fold <> f.fold group by 1),
+long as (select 'ols' as model, fold, fare_capped, prediction from preds union all select 'mean', fold, fare_capped, m from enc join means using (fold)),
+f as (select model, fold, avg(abs(fare_capped - prediction)) as mae, sqrt(avg(pow(fare_capped - prediction, 2))) as rmse from long group by 1, 2)
+select model, round(avg(mae), 4) as mae_mean, round(stddev_pop(mae), 4) as mae_std, round(avg(rmse), 4) as rmse_mean, round(stddev_pop(rmse), 4) as rmse_std from f group by 1""", "enc")
+def m15(spark, sf):
+    e = pin(enc(spark, sf).select(F.col("trip_distance").alias("distance_capped"), "fare_capped", "fold"))
+    specs = [s for s in V.model_specs() if s.name in ("mean", "ols")]
+    board = V.run_sweep(e, specs, 5)
+    return rounded(board.select("model", "mae_mean", "mae_std", "rmse_mean", "rmse_std"))
+
+
+@query("m15_run_sweep")
+def m15b(spark, sf):
+    f = feature_frame(spark, sf)
+    # The penalty of ridge needs the number of training rows: two folds of three.
+    rows = f.count() * 2 // 3
+    return V.run_sweep(f, V.model_specs(rows=rows, max_iter=ROUNDS, trees=TREES), 3, variant="dropped")
+
+
+@query("m16_vote", f"""
+with {CORRIDOR_MEAN}, q as (select *, avg(fare_capped) over (partition by service_type) as service_mean from p)
+select tripid, round((prediction + service_mean) / 2, 4) as vote from q""", "enc")
+def m16(spark, sf):
+    p = corridor_mean(spark, sf)
+    service = M.fit_target_encoding(p, "service_type", smoothing=0.0, out="service_mean")
+    both = M.apply_target_encoding(p, service)
+    return rounded(R.vote(both, ["prediction", "service_mean"], "vote").select("tripid", "vote"))
+
+
+@query("m17_stack")
+def m17(spark, sf):
+    f = feature_frame(spark, sf)
+    specs = {s.name: s for s in V.model_specs(max_iter=ROUNDS, trees=TREES)}
+    members = {n: V.spec_pipeline(specs[n], f.columns, "dropped") for n in ("ols", "decision_tree")}
+    fitted = V.stack(f, members, 3)
+    return R.regression_metrics(fitted.transform(f), K.TARGET)
+
+
+@query("m18_create_ml_pipeline", """
+select tripid, round(regr_slope(fare_capped, trip_distance) over () * trip_distance + regr_intercept(fare_capped, trip_distance) over (), 4) as prediction from enc""", "enc")
+def m18(spark, sf):
+    e = enc(spark, sf)
+    model = P.create_ml_pipeline(["trip_distance"], "fare_capped", "linear").fit(e)
+    return rounded(model.transform(e).select("tripid", "prediction"))
+
+
+@query("m18_classifier")
+def m18b(spark, sf):
+    e = pin(enc(spark, sf).withColumn("label", (F.col("service_type") == "Yellow").cast("double")))
+    train, test = fold_split(e, 0)
+    model = P.create_ml_pipeline(["trip_distance", "fare_capped"], "label", "logistic", "classification").fit(train)
+    return V.evaluate_model(model, test, "label", "classification")
+
+
+@query("m19_tune", f"""
+with {FOLD_FIT.strip()}, f as (select fold, avg(abs(fare_capped - prediction)) as mae from preds group by 1)
+select 0 as entry, round(avg(mae), 4) as metric_mean, true as untuned_is_best from f""", "enc")
+def m19(spark, sf):
+    e = pin(enc(spark, sf))
+    estimator = one_feature()
+    grid = ParamGridBuilder().addGrid(estimator.getStages()[-1].regParam, [50.0, 500.0]).build()
+    cv = V.tune(estimator, e, grid, V.regression_evaluator(), folds=5, fold="fold")
+    results = V.tuning_results(cv, spark)
+    best = results.agg(F.min_by("entry", "metric_mean")).scalar()
+    return rounded(results.where(F.col("entry") == 0).select("entry", "metric_mean", (best == 0).alias("untuned_is_best")))
+
+
+@query("m20_evaluate_model", f"""
+with p as (select *, regr_slope(fare_capped, trip_distance) over () * trip_distance + regr_intercept(fare_capped, trip_distance) over () as prediction from enc)
+select {METRIC_SQL} from p""", "enc")
+def m20(spark, sf):
+    e = enc(spark, sf)
+    return rounded(V.evaluate_model(one_feature().fit(e), e, "fare_capped"))
+
+
+@query("m21_feature_importance")
+def m21(spark, sf):
+    f = feature_frame(spark, sf)
+    groups = P.route_columns([c for c in f.columns if c != "fold"], "dropped")
+    stages = P.preprocessor(groups)
+    model = Pipeline(stages=[*stages, GBTRegressor(labelCol=K.TARGET, maxIter=ROUNDS, maxDepth=DEPTH, seed=K.SEED)]).fit(f)
+    return V.feature_importance(model, model.transform(f))
+
+
+@query("m22_slice_mae", f"""
+with {CORRIDOR_MEAN} select pickup_borough, count(*) as rows, round(avg(abs(fare_capped - prediction)), 4) as mae from p group by 1""", "enc")
+def m22(spark, sf):
+    return rounded(R.slice_mae(corridor_mean(spark, sf), "pickup_borough", "fare_capped"))
+
+
+@query("m23_pick_champion", f"""
+with {FOLD_METRICS}, o as (select *, row_number() over (order by mae_mean, model) as k from b),
+j as (select lo.model as lo, hi.model as hi, hi.mae_mean - lo.mae_mean as gap, greatest(lo.mae_std, hi.mae_std) as larger, lo.fit_time_s <= hi.fit_time_s as lo_faster
+  from o lo join o hi on lo.k = 1 and hi.k = 2)
+select case when gap <= larger and not lo_faster then hi else lo end as champion, lo as lower_mae, round(gap, 4) as gap, round(larger, 4) as larger_std, gap <= larger as inside_std from j""", "enc")
+def m23(spark, sf):
+    return rounded(R.pick_champion(R.fold_metrics_to_row(fold_table(spark, sf))))
+
+
+@query("m24_score_sealed", f"""
+with fit as (select regr_slope(fare_capped, trip_distance) as a, regr_intercept(fare_capped, trip_distance) as b from enc where fold > 1),
+p as (select e.*, a * trip_distance + b as prediction from enc e, fit where fold <= 1)
+select case fold when 0 then 'holdout' else 'temporal' end as set, null as grp, count(*) as rows, {METRIC_SQL} from p group by fold
+union all select 'temporal', strftime(pickup_datetime, '%Y'), count(*), {METRIC_SQL} from p where fold = 1 group by 2""", "enc")
+def m24(spark, sf):
+    e = pin(enc(spark, sf).withColumn("year", F.year("pickup_datetime").cast("string")))
+    sets = {"holdout": e.where(F.col("fold") == 0), "temporal": e.where(F.col("fold") == 1)}
+    return rounded(V.score_sealed(one_feature(), e.where(F.col("fold") > 1), sets, groups={"temporal": "year"}).drop("fit_time_s"))
+
+
+@query("m25_ablation")
+def m25(spark, sf):
+    f = feature_frame(spark, sf)
+
+    def make(columns):
+        return P.gbt_pipeline(columns, "dropped", max_iter=ROUNDS, max_depth=DEPTH)[0]
+    return V.ablation(f, make, "trip_duration_min", 3)
+
+
+@query("m27_oof_predictions", f"with {FOLD_FIT.strip()}\nselect tripid, fold, round(prediction, 4) as prediction from preds", "enc")
+def m27(spark, sf):
+    predictions, _ = V.oof_predictions(pin(enc(spark, sf)), one_feature(), 5)
+    return rounded(predictions.select("tripid", "fold", "prediction"))
