@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, TargetEncoder, VectorAssembler, VectorSlicer
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
@@ -46,14 +46,38 @@ def route_columns(columns: Sequence[str], variant: str = "target_encoded", label
     return ColumnGroups(sorted(one_hot), sorted(used), sorted(numeric), sorted(unknown))
 
 
-def index_stages(cols: Sequence[str]) -> list[StringIndexer]:
-    """Number the levels of each column by frequency; unseen levels get their own number."""
-    return [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in cols]
+def index_stages(cols: Sequence[str], order: str = "frequencyDesc") -> list[StringIndexer]:
+    """Number the levels of each column; unseen levels share one further number."""
+    return [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep", stringOrderType=order) for c in cols]
 
 
-def ohe_stages(cols: Sequence[str], drop_last: bool = False) -> list:
-    """M6: index and one-hot encode. Linear models drop one level, trees keep all."""
-    return [*index_stages(cols), *[OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_ohe", dropLast=drop_last) for c in cols]]
+class DropLastSlot(Estimator):
+    """Cut the last slot off a one-hot vector once its width is known."""
+
+    def __init__(self, input_col: str, output_col: str):
+        super().__init__()
+        self.input_col, self.output_col = input_col, output_col
+
+    def _fit(self, dataset: DataFrame) -> VectorSlicer:
+        width = dataset.schema[self.input_col].metadata["ml_attr"]["num_attrs"]
+        return VectorSlicer(inputCol=self.input_col, outputCol=self.output_col, indices=list(range(max(width - 1, 1))))
+
+
+def ohe_stages(cols: Sequence[str], drop_first: bool = False) -> list:
+    """M6: index and one-hot encode; unseen levels are kept, not refused.
+
+    Trees get a slot per level and one for unseen levels. Linear models drop the
+    first level by name, so the slots are not collinear: levels are numbered in
+    descending order, the encoder drops the slot of unseen levels, and the slot
+    before it, the first level's, is cut off. Unseen levels are then all zero.
+    """
+    if not drop_first:
+        return [*index_stages(cols), *[OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_ohe", dropLast=False) for c in cols]]
+    return [
+        *index_stages(cols, "alphabetDesc"),
+        *[OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_slots", dropLast=True) for c in cols],
+        *[DropLastSlot(f"{c}_slots", f"{c}_ohe") for c in cols],
+    ]
 
 
 def target_encoder_stage(col: str, label: str = K.TARGET, smoothing: float = K.SMOOTHING) -> TargetEncoder:
@@ -75,7 +99,7 @@ def demote_nominal(cols: Sequence[str]) -> SQLTransformer:
 
 def preprocessor(groups: ColumnGroups, scaled: bool = False, label: str = K.TARGET, smoothing: float = K.SMOOTHING) -> list:
     """M7: stages up to the ``features`` vector; ``scaled`` standardises the numbers."""
-    stages = [*ohe_stages(groups.one_hot, drop_last=scaled)]
+    stages = [*ohe_stages(groups.one_hot, drop_first=scaled)]
     numeric = list(groups.numeric)
     if groups.target_encoded:
         stages += [*index_stages(groups.target_encoded), *[target_encoder_stage(c, label, smoothing) for c in groups.target_encoded]]

@@ -103,7 +103,7 @@ def percentile_markers(df: DataFrame, col: str) -> DataFrame:
 def box_stats(df: DataFrame, key: str, col: str) -> DataFrame:
     """Quartiles, and the extreme values within 1.5 IQR of them."""
     quartiles = exact_quantiles(df, [key], col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, interpolate=True)
-    q = small_side(quartiles.withColumnRenamed(key, "_key"))
+    q = small_side(pin(quartiles.withColumnRenamed(key, "_key")))
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = (F.col(col) >= F.col("q1") - reach) & (F.col(col) <= F.col("q3") + reach)
     return (

@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import pin
+
 BUCKETS = 128
 
 
@@ -22,14 +24,16 @@ def value_histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame
 
 
 def with_bucket(hist: DataFrame, value: str, buckets: int = BUCKETS) -> DataFrame:
-    """Add ``_bucket``: order-preserving, balanced in distinct values."""
-    points = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    # The sum keeps ``n`` in the sketch's input, so both uses of the histogram
-    # have the same plan and share one exchange.
-    sketch = hist.agg(F.percentile_approx(value, points, 10_000).alias("cuts"), F.sum("n").alias("n"))
-    cuts = sketch.where(F.col("n").isNotNull()).select("cuts").scalar()
-    below = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    return hist.withColumn("_cuts", cuts).withColumn("_bucket", below).drop("_cuts")
+    """Keep the histogram and add ``_bucket``: order-preserving, balanced in distinct values.
+
+    The histogram is read several times from here on, so it is written once; the
+    only thing that comes to the driver is the list of ``buckets - 1`` cut points.
+    """
+    hist = pin(hist)
+    points = [i / buckets for i in range(1, buckets)]
+    cuts = hist.agg(F.percentile_approx(value, points, 10_000)).first()[0] or []
+    literal = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast(f"array<{dict(hist.dtypes)[value]}>")
+    return hist.withColumn("_bucket", F.size(F.filter(literal, lambda c: c < F.col(value))))
 
 
 def bucket_offsets(bucketed: DataFrame, keys: Sequence[str]) -> DataFrame:

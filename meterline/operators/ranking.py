@@ -35,7 +35,7 @@ def global_row_number(df: DataFrame, order: Sequence[str], out: str = "seq") ->
     before = F.coalesce(
         F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
-    offsets = small_side(sizes.select("_part", before.alias("_offset")))
+    offsets = small_side(pin(sizes.select("_part", before.alias("_offset"))))
     return (
         numbered.withColumn("_part", part)
         .join(offsets, "_part")
@@ -99,7 +99,7 @@ def quota_split(
             for i, cut in enumerate(cuts)
         ]
     )
-    bounds = small_side(bounds.withColumnsRenamed({s: f"_of_{s}" for s in strata}))
+    bounds = small_side(pin(bounds.withColumnsRenamed({s: f"_of_{s}" for s in strata})))
     same_stratum = reduce(lambda a, b: a & b, [F.col(s).eqNullSafe(F.col(f"_of_{s}")) for s in strata])
     located = keyed.join(bounds, same_stratum)
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import pin
 from .joins import small_side
 from .ranking import global_row_number
 
@@ -19,7 +20,7 @@ def sequence_trips(df: DataFrame, ts: str = "pickup_datetime", key: str = "tripi
     """
     numbered = global_row_number(df, [ts, key], "seq").withColumn("_day", F.to_date(ts))
     # One row per calendar day.
-    first = small_side(numbered.groupBy("_day").agg(F.min("seq").alias("_first")))
+    first = small_side(pin(numbered.groupBy("_day").agg(F.min("seq").alias("_first"))))
     return (
         numbered.join(first.withColumnRenamed("_day", "_of_day"), F.col("_day").eqNullSafe(F.col("_of_day")))
         .withColumn("seq_in_day", F.col("seq") - F.col("_first") + 1)

@@ -125,16 +125,17 @@ def m05(spark, sf):
 
 @query("m06_ohe_stages", """
 with c as (select pickup_borough, count(*) as n from enc group by 1), o as (select *, row_number() over (order by n desc, pickup_borough) - 1 as i, count(*) over () as levels from c)
-select pickup_borough, i::double as idx, cast(levels + 1 as int) as kept_slots, cast(levels as int) as dropped_slots, 1.0::double as ones from o""", "enc")
+select pickup_borough, i::double as idx, cast(levels + 1 as int) as kept_slots, cast(levels - 1 as int) as dropped_slots, 1.0::double as ones,
+  case when pickup_borough = (select min(pickup_borough) from o) then 0.0::double else 1.0::double end as dropped_ones from o""", "enc")
 def m06(spark, sf):
     e = enc(spark, sf).select("pickup_borough")
     kept, dropped = (Pipeline(stages=P.ohe_stages(["pickup_borough"], d)).fit(e) for d in (False, True))
     levels = e.distinct()
     a = kept.transform(levels).withColumn("v", vector_to_array("pickup_borough_ohe"))
-    b = dropped.transform(levels).select("pickup_borough", F.size(vector_to_array("pickup_borough_ohe")).alias("dropped_slots"))
+    b = dropped.transform(levels).withColumn("d", vector_to_array("pickup_borough_ohe")).select("pickup_borough", "d")
     return a.join(b, "pickup_borough").select(
-        "pickup_borough", F.col("pickup_borough_idx").alias("idx"), F.size("v").alias("kept_slots"), "dropped_slots",
-        F.aggregate("v", F.lit(0.0), lambda x, y: x + y).alias("ones"),
+        "pickup_borough", F.col("pickup_borough_idx").alias("idx"), F.size("v").alias("kept_slots"), F.size("d").alias("dropped_slots"),
+        F.aggregate("v", F.lit(0.0), lambda x, y: x + y).alias("ones"), F.aggregate("d", F.lit(0.0), lambda x, y: x + y).alias("dropped_ones"),
     )
 
 

@@ -49,10 +49,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in the shared folder.
+    """Compute ``df`` once, as a table in the shared folder, and read that.
 
-    Used where a result feeds several later steps (fitted tables) or where a
-    value must not change on recomputation. Reliable: it survives lost executors.
+    Used where a result feeds several later steps, or must not change on
+    recomputation (random draws, positions). It survives lost executors, and
+    the planner knows its size from the files.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, "pinned")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
