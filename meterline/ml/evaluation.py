@@ -86,26 +86,47 @@ class ModelSpec:
     estimator: Estimator
 
 
-def model_specs(label: str = K.TARGET, rows: int = 1, max_iter: int = 100, trees: int = 100, seed: int = K.SEED) -> list[ModelSpec]:
+def linear_with_penalty(l1: float, l2: float, label_std: float, **options) -> LinearRegression:
+    """Least squares with loss mean(e^2)/2 + l1 * |w| + l2 * w^2 / 2.
+
+    Spark standardises the label inside the solver, which divides the squared
+    penalty by the label's deviation and leaves the absolute one as it is; the
+    two parameters undo that.
+    """
+    squared = l2 * label_std
+    total = l1 + squared
+    share = l1 / total if total else 0.0
+    return LinearRegression(regParam=total, elasticNetParam=share, standardization=False, **options)
+
+
+def model_specs(
+    label: str = K.TARGET, rows: int = 1, label_std: float = 1.0, max_iter: int = 100, trees: int = 100, seed: int = K.SEED
+) -> list[ModelSpec]:
     """The registry of the sweep.
 
-    Ridge divides its penalty by ``rows``, the number of training rows, because
-    Spark's loss is a mean and the usual ridge loss a sum.
+    ``rows`` and ``label_std`` describe the training rows: the penalty of ridge
+    is one against a sum of squares, so it is 1 / rows against their mean.
     """
     cols = {"labelCol": label, "featuresCol": "features"}
     return [
         ModelSpec("mean", False, MeanRegressor(label)),
         ModelSpec("ols", True, LinearRegression(**cols)),
-        ModelSpec("ridge", True, LinearRegression(**cols, regParam=1.0 / rows, elasticNetParam=0.0, standardization=False)),
-        ModelSpec("lasso", True, LinearRegression(**cols, regParam=1.0, elasticNetParam=1.0, standardization=False)),
-        ModelSpec("elastic_net", True, LinearRegression(**cols, regParam=1.0, elasticNetParam=0.5, standardization=False)),
+        ModelSpec("ridge", True, linear_with_penalty(0.0, 1.0 / rows, label_std, **cols)),
+        ModelSpec("lasso", True, linear_with_penalty(1.0, 0.0, label_std, **cols)),
+        ModelSpec("elastic_net", True, linear_with_penalty(0.5, 0.5, label_std, **cols)),
         ModelSpec("decision_tree", False, DecisionTreeRegressor(**cols, maxDepth=10, seed=seed)),
-        ModelSpec("random_forest", False, RandomForestRegressor(**cols, numTrees=trees, featureSubsetStrategy="onethird", seed=seed)),
-        ModelSpec("bagging", False, RandomForestRegressor(**cols, numTrees=10, featureSubsetStrategy="all", seed=seed)),
+        ModelSpec("random_forest", False, RandomForestRegressor(**cols, numTrees=trees, featureSubsetStrategy="all", seed=seed, maxDepth=10)),
+        ModelSpec("bagging", False, RandomForestRegressor(**cols, numTrees=10, featureSubsetStrategy="all", seed=seed, maxDepth=10)),
         ModelSpec("gradient_boosting", False, GBTRegressor(**cols, maxIter=max_iter, maxDepth=3, seed=seed)),
     ]
 
 
+def specs_for(df: DataFrame, k: int = K.FOLDS, label: str = K.TARGET, **options) -> list[ModelSpec]:
+    """The registry, with penalties for the training half of ``df``."""
+    n, std = df.agg(F.count(label), F.stddev_pop(label)).first()
+    return model_specs(label, rows=max(n * (k - 1) // k, 1), label_std=std or 1.0, **options)
+
+
 def spec_pipeline(spec: ModelSpec, columns: Sequence[str], variant: str = "target_encoded", label: str = K.TARGET) -> Pipeline:
     """The preprocessing a model wants, then the model."""
     groups = route_columns([c for c in columns if c != "fold"], variant, label)
@@ -140,8 +161,8 @@ def _predict_all(members: Mapping[str, Model], df: DataFrame) -> DataFrame:
     return df
 
 
-def stack(df: DataFrame, members: Mapping[str, Estimator], k: int = K.FOLDS, label: str = K.TARGET, fold: str = "fold", penalty: float = 0.0) -> StackedModel:
-    """A linear model over the members' out-of-fold predictions.
+def stack(df: DataFrame, members: Mapping[str, Estimator], k: int = K.FOLDS, label: str = K.TARGET, fold: str = "fold", penalty: float = 1.0) -> StackedModel:
+    """A ridge model over the members' out-of-fold predictions.
 
     A fold's rows get all members' predictions in one pass. The members are then
     fitted on all rows for use on new ones.
@@ -151,11 +172,11 @@ def stack(df: DataFrame, members: Mapping[str, Estimator], k: int = K.FOLDS, lab
         train, test = fold_split(df, i, fold)
         parts.append(_predict_all({n: e.fit(train) for n, e in members.items()}, test))
     names = [f"pred_{n}" for n in members]
-    meta = Pipeline(stages=[
-        VectorAssembler(inputCols=names, outputCol="member_predictions"),
-        LinearRegression(labelCol=label, featuresCol="member_predictions", regParam=penalty),
-    ])
-    return StackedModel({n: e.fit(df) for n, e in members.items()}, meta.fit(pin(union_all(parts))), label)
+    predicted = pin(union_all(parts))
+    n, std = predicted.agg(F.count(label), F.stddev_pop(label)).first()
+    final = linear_with_penalty(0.0, penalty / n, std, labelCol=label, featuresCol="member_predictions")
+    meta = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="member_predictions"), final])
+    return StackedModel({n: e.fit(df) for n, e in members.items()}, meta.fit(predicted), label)
 
 
 def tune(

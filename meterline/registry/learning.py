@@ -258,9 +258,7 @@ def m15(spark, sf):
 @query("m15_run_sweep")
 def m15b(spark, sf):
     f = feature_frame(spark, sf)
-    # The penalty of ridge needs the number of training rows: two folds of three.
-    rows = f.count() * 2 // 3
-    return V.run_sweep(f, V.model_specs(rows=rows, max_iter=ROUNDS, trees=TREES), 3, variant="dropped")
+    return V.run_sweep(f, V.specs_for(f, 3, max_iter=ROUNDS, trees=TREES), 3, variant="dropped")
 
 
 @query("m16_vote", f"""
