@@ -46,9 +46,15 @@ def route_columns(columns: Sequence[str], variant: str = "target_encoded", label
     return ColumnGroups(sorted(one_hot), sorted(used), sorted(numeric), sorted(unknown))
 
 
+def _named(cols: Sequence[str], suffix: str) -> list[str]:
+    return [f"{c}_{suffix}" for c in cols]
+
+
 def index_stages(cols: Sequence[str], order: str = "frequencyDesc") -> list[StringIndexer]:
-    """Number the levels of each column; unseen levels share one further number."""
-    return [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep", stringOrderType=order) for c in cols]
+    """Number the levels of all columns in one pass; unseen levels share one further number."""
+    if not cols:
+        return []
+    return [StringIndexer(inputCols=list(cols), outputCols=_named(cols, "idx"), handleInvalid="keep", stringOrderType=order)]
 
 
 class DropLastSlot(Estimator):
@@ -71,13 +77,14 @@ def ohe_stages(cols: Sequence[str], drop_first: bool = False) -> list:
     descending order, the encoder drops the slot of unseen levels, and the slot
     before it, the first level's, is cut off. Unseen levels are then all zero.
     """
+    if not cols:
+        return []
+    index, hot = _named(cols, "idx"), _named(cols, "ohe")
     if not drop_first:
-        return [*index_stages(cols), *[OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_ohe", dropLast=False) for c in cols]]
-    return [
-        *index_stages(cols, "alphabetDesc"),
-        *[OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_slots", dropLast=True) for c in cols],
-        *[DropLastSlot(f"{c}_slots", f"{c}_ohe") for c in cols],
-    ]
+        return [*index_stages(cols), OneHotEncoder(inputCols=index, outputCols=hot, dropLast=False)]
+    slots = _named(cols, "slots")
+    encoder = OneHotEncoder(inputCols=index, outputCols=slots, dropLast=True)
+    return [*index_stages(cols, "alphabetDesc"), encoder, *[DropLastSlot(a, b) for a, b in zip(slots, hot)]]
 
 
 def target_encoder_stage(col: str, label: str = K.TARGET, smoothing: float = K.SMOOTHING) -> TargetEncoder:

@@ -120,15 +120,21 @@ def box_stats(df: DataFrame, key: str, col: str) -> DataFrame:
 
 # --- caps ----------------------------------------------------------------------
 
-def compute_caps(df: DataFrame, accuracy: int = 1000) -> DataFrame:
+def compute_caps(df: DataFrame, accuracy: int = 1000, keep: Column | None = None) -> DataFrame:
     """Sketched p99 of fare and distance per service, of duration overall.
 
     The sketches merge, so the per-service row and the overall row come from one
-    pass. Service ``All`` carries the duration cap.
+    pass. Service ``All`` carries the duration cap. With ``keep`` only rows that
+    meet it enter the sketches; ``all_rows`` and ``kept_rows`` count both kinds.
     """
-    p99 = {f"{m}_p99": F.percentile_approx(c, F.lit(0.99), F.lit(accuracy)) for m, c in CAP_COLUMNS.items()}
+    kept = F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))
+    p99 = [
+        F.percentile_approx(F.when(kept, F.col(c)), F.lit(0.99), F.lit(accuracy)).alias(f"{m}_p99")
+        for m, c in CAP_COLUMNS.items()
+    ]
+    counts = [F.count(F.lit(1)).alias("all_rows"), F.count_if(kept).alias("kept_rows")]
     both = df.groupingSets([["service_type"], []], "service_type").agg(
-        F.grouping("service_type").alias("_overall"), *[v.alias(k) for k, v in p99.items()]
+        F.grouping("service_type").alias("_overall"), *p99, *counts
     )
     overall = F.col("_overall") == 1
     return both.select(
@@ -136,6 +142,7 @@ def compute_caps(df: DataFrame, accuracy: int = 1000) -> DataFrame:
         F.when(~overall, F.col("fare_p99")).alias("fare_p99"),
         F.when(~overall, F.col("distance_p99")).alias("distance_p99"),
         F.when(overall, F.col("duration_p99")).alias("duration_p99"),
+        "all_rows", "kept_rows",
     )
 
 

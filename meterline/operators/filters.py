@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
 from ..functions import trip_columns as C
 from .joins import known_zones
 
 __all__ = [
-    "guard", "derive", "derive_and_guard", "report_filter", "known_zones", "anomalous_passengers", "short_trips",
-    "between_ts", "plausible_box", "valid_sample", "bad_records", "page_filter",
+    "guards", "guard", "derive", "derive_and_guard", "report_filter", "known_zones", "anomalous_passengers",
+    "short_trips", "between_ts", "plausible_box", "valid_sample", "bad_records", "page_filter",
 ]
 
 
-def guard(df: DataFrame) -> DataFrame:
-    """Fare >= 0, distance > 0, at least one minute; NULL fails."""
-    return df.where(
+def guards() -> Column:
+    """The base guards as one condition."""
+    return (
         (F.col("fare_amount") >= 0)
         & (F.col("trip_distance") > 0)
         & (F.col("trip_duration_min") >= K.MIN_DURATION_MIN)
     )
 
 
+def guard(df: DataFrame) -> DataFrame:
+    """Fare >= 0, distance > 0, at least one minute; NULL fails."""
+    return df.where(guards())
+
+
 def derive(df: DataFrame) -> DataFrame:
     """The derived columns of the preparation step."""
     return (

@@ -12,6 +12,8 @@ from ..session import pin
 from .joins import small_side
 
 IN_PARTITION = (1 << 33) - 1
+# Copies written out by one task at a time.
+CHUNK = 1_000_000
 
 
 def global_row_number(df: DataFrame, order: Sequence[str], out: str = "seq") -> DataFrame:
@@ -66,75 +68,99 @@ def quota_split(
     on; the remaining rows are ``rest``. ``key`` should identify a row (by
     default it is the whole row).
 
-    A stratum is never sorted as a whole. Rows are counted per stratum and
-    16-bit hash prefix; that settles every row outside the few prefixes in
-    which a boundary falls. Rows inside those are reduced to distinct rows with
-    their number of copies, ranked, and written out again, so a row repeated
-    very often costs one counter and not one task.
+    A stratum is never sorted. Two passes over strata and key alone find the
+    hash at which each boundary falls: rows are counted per 16-bit hash prefix,
+    then per hash inside the prefix that holds the boundary. The full rows are
+    only compared with those hashes. A boundary inside a group of equal hashes
+    is settled by ``_split_ties``.
     """
-    strata, columns = list(strata), df.columns
-    keyed = df.withColumn("_hash", hash_order(list(key or columns))).withColumn("_prefix", F.substring("_hash", 1, 4))
+    strata, columns, names = list(strata), df.columns, list(fractions)
+    keyed = df.withColumn("_hash", hash_order(list(key or columns)))
+    slim = keyed.select(*strata, "_hash", F.substring("_hash", 1, 4).alias("_prefix"))
+    numbers = range(len(names))
+    cumulative = [sum(list(fractions.values())[: i + 1]) for i in numbers]
 
-    names = list(fractions)
-    cumulative = [sum(list(fractions.values())[: i + 1]) for i in range(len(names))]
     group = Window.partitionBy(*strata)
-    counts = keyed.groupBy(*strata, "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    counts = pin(slim.groupBy(*strata, "_prefix").agg(F.count(F.lit(1)).alias("_n")))
     ranked = counts.withColumns({
-        "_below": F.sum("_n").over(group.orderBy("_prefix")) - F.col("_n"),
+        "_upto": F.sum("_n").over(group.orderBy("_prefix")),
         "_rows": F.sum("_n").over(group),
     })
-    # Per stratum and boundary i: the prefix it falls in, and how many rows of
-    # that prefix come before it. A boundary at 0 or n needs no such prefix.
     cuts = [F.round(F.lit(c) * F.col("_rows")).cast("bigint") for c in cumulative]
 
-    def holds(cut):
-        return (cut > F.col("_below")) & (cut <= F.col("_below") + F.col("_n"))
-
-    bounds = ranked.groupBy(*strata).agg(
-        *[
-            F.coalesce(
-                F.max(F.when(holds(cut), F.struct(F.col("_prefix").alias("prefix"), (cut - F.col("_below")).alias("take")))),
-                F.struct(F.lit("").alias("prefix"), F.lit(0).cast("bigint").alias("take")),
-            ).alias(f"_b{i}")
-            for i, cut in enumerate(cuts)
-        ]
+    def holds(cut: Column) -> Column:
+        return (cut > F.col("_upto") - F.col("_n")) & (cut <= F.col("_upto"))
+
+    def place(cut: Column, name: str) -> Column:
+        """Where a cut falls: a prefix or hash, and its rows before the cut."""
+        here = F.struct(F.col(name).alias("at"), (cut - F.col("_upto") + F.col("_n")).alias("take"), F.col("_n").alias("size"))
+        nowhere = F.struct(F.lit("").alias("at"), F.lit(0).cast("bigint").alias("take"), F.lit(0).cast("bigint").alias("size"))
+        return F.coalesce(F.max(F.when(holds(cut), here)), nowhere)
+
+    prefixes = ranked.groupBy(*strata).agg(*[place(cut, "_prefix").alias(f"_p{i}") for i, cut in enumerate(cuts)])
+    near = _with_stratum(slim, prefixes, strata)
+    near = near.where(reduce(lambda a, b: a | b, [F.col("_prefix") == F.col(f"_p{i}.at") for i in numbers]))
+    # One value of the prefix columns per stratum, so any of them will do.
+    hashes = near.groupBy(*strata, "_prefix", "_hash").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.any_value(f"_p{i}").alias(f"_p{i}") for i in numbers]
     )
-    bounds = small_side(pin(bounds.withColumnsRenamed({s: f"_of_{s}" for s in strata})))
-    same_stratum = reduce(lambda a, b: a & b, [F.col(s).eqNullSafe(F.col(f"_of_{s}")) for s in strata])
-    located = keyed.join(bounds, same_stratum)
-
-    on_bound = F.lit(False)
-    part = F
+    inside = Window.partitionBy(*strata, "_prefix").orderBy("_hash")
+    hashes = hashes.withColumn("_upto", F.sum("_n").over(inside))
+    takes = [F.when(F.col("_prefix") == F.col(f"_p{i}.at"), F.col(f"_p{i}.take")) for i in numbers]
+    found = hashes.groupBy(*strata).agg(*[place(take, "_hash").alias(f"_b{i}") for i, take in enumerate(takes)])
+    bounds = pin(found)
+
+    located = _with_stratum(keyed, bounds, strata)
+    part, tied = F, F.lit(False)
     for i, name in enumerate(names):
-        on_bound = on_bound | (F.col("_prefix") == F.col(f"_b{i}.prefix"))
-        part = part.when(F.col("_prefix") < F.col(f"_b{i}.prefix"), F.lit(name))
-    settled = located.where(~on_bound).select(*columns, part.otherwise(F.lit(rest)).alias(out))
+        b = F.col(f"_b{i}")
+        whole = b["take"] == b["size"]
+        part = part.when((F.col("_hash") < b["at"]) | ((F.col("_hash") == b["at"]) & whole), F.lit(name))
+        tied = tied | ((F.col("_hash") == b["at"]) & ~whole)
+    settled = located.withColumn(out, part.otherwise(F.lit(rest)))
+    split_groups = reduce(lambda a, b: a | b, [F.col(f"_b{i}.take") != F.col(f"_b{i}.size") for i in numbers])
+    if bounds.where(split_groups).isEmpty():
+        return settled.select(*columns, out)
+    return settled.where(~tied).select(*columns, out).unionByName(
+        _split_ties(located.where(tied), columns, strata, [*names, rest], out)
+    )
+
+
+def _with_stratum(rows: DataFrame, per_stratum: DataFrame, strata: Sequence[str]) -> DataFrame:
+    """Add a stratum's columns to its rows; NULL is a stratum like any other."""
+    side = small_side(pin(per_stratum.withColumnsRenamed({s: f"_of_{s}" for s in strata})))
+    same = reduce(lambda a, b: a & b, [F.col(s).eqNullSafe(F.col(f"_of_{s}")) for s in strata])
+    return rows.join(side, same).drop(*[f"_of_{s}" for s in strata])
 
-    # Copies of a row are equal, so only their number matters from here on.
-    copies = located.where(on_bound).groupBy("_prefix", "_hash", *columns).agg(
-        F.count(F.lit(1)).alias("_copies"), *[F.first(f"_b{i}").alias(f"_b{i}") for i in range(len(names))]
+
+def _split_ties(tied: DataFrame, columns: Sequence[str], strata: Sequence[str], names: Sequence[str], out: str) -> DataFrame:
+    """Divide rows of equal hash between the parts.
+
+    Copies of a row are equal, so the rows are reduced to distinct rows with a
+    number of copies, divided as numbers, and written out again in chunks: a row
+    that makes up a third of the table costs one counter, not one task.
+    """
+    cuts = len(names) - 1
+    copies = tied.groupBy("_hash", *columns).agg(
+        F.count(F.lit(1)).alias("_copies"), *[F.any_value(f"_b{i}").alias(f"_b{i}") for i in range(cuts)]
     )
-    order = Window.partitionBy(*strata, "_prefix").orderBy("_hash", F.xxhash64(*columns))
+    order = Window.partitionBy(*strata, "_hash").orderBy(F.xxhash64(*columns))
     upto = copies.withColumn("_upto", F.sum("_copies").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     start, end = F.col("_upto") - F.col("_copies"), F.col("_upto")
 
-    def position(i):
-        """Rows of this prefix that come before boundary i."""
+    def edge(i: int) -> Column:
+        """Rows of this hash group that come before cut i."""
         b = F.col(f"_b{i}")
-        return F.when(F.col("_prefix") < b["prefix"], end).when(F.col("_prefix") > b["prefix"], F.lit(0)).otherwise(b["take"])
+        return F.when(F.col("_hash") < b["at"], end).when(F.col("_hash") > b["at"], F.lit(0)).otherwise(b["take"]).cast("bigint")
 
-    edges = [F.lit(0).cast("bigint"), *[position(i).cast("bigint") for i in range(len(names))]]
+    edges = [F.lit(0).cast("bigint"), *[edge(i) for i in range(cuts)], end]
     pieces = []
-    for i, name in enumerate([*names, rest]):
-        lo = edges[i]
-        hi = edges[i + 1] if i < len(names) else end
-        overlap = F.greatest(F.least(hi, end) - F.greatest(lo, start), F.lit(0))
-        pieces.append(F.struct(F.lit(name).alias("name"), overlap.alias("size")))
+    for i, name in enumerate(names):
+        size = F.least(edges[i + 1], end) - F.greatest(edges[i], start)
+        pieces.append(F.struct(F.lit(name).alias("name"), F.greatest(size, F.lit(0)).alias("size")))
     shares = upto.select(*columns, F.explode(F.array(*pieces)).alias("_piece")).where("_piece.size > 0")
-    chunk = 100_000
-    spread = shares.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_piece.size") - 1) / chunk))))
-    last = F.least(F.col("_piece.size") - F.col("_chunk") * chunk, F.lit(chunk))
-    boundary = spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), last.cast("bigint")))).select(
-        *columns, F.col("_piece.name").alias(out)
-    )
-    return settled.unionByName(boundary)
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_piece.size") - 1) / CHUNK))
+    spread = shares.withColumn("_chunk", F.explode(chunks)).repartition("_chunk", *columns)
+    last = F.least(F.col("_piece.size") - F.col("_chunk") * CHUNK, F.lit(CHUNK)).cast("bigint")
+    again = spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), last)))
+    return again.select(*columns, F.col("_piece.name").alias(out))

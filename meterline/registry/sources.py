@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import zone_centroids
 from ..functions.trip_columns import build_features
 from ..operators.aggregates import compute_caps
-from ..operators.filters import derive_and_guard
+from ..operators.filters import derive, derive_and_guard, guards
 from ..operators.metrics import regression_metrics
 from ..operators.sampling import hash_stratified_sample
 from ..plans import fixtures as X
@@ -183,7 +183,7 @@ def b06(spark, sf):
     guarded = derive_and_guard(fact)
     full, work = hash_stratified_sample(guarded, 0.5, "full"), hash_stratified_sample(guarded, 0.1, "work")
     path = scratch_path(spark, "stats")
-    B.write_stats(B.prep_stats(fact, guarded, full, work, pin(compute_caps(guarded)), seed=42), path)
+    B.write_stats(B.prep_stats(pin(compute_caps(derive(fact), keep=guards())), full, work, seed=42), path)
     # The map of caps per service comes back from JSON as one field per service.
     stats = spark.read.schema(
         "raw_rows bigint, guarded_rows bigint, full_rows bigint, work_rows bigint, seed int, duration_p99 double, "

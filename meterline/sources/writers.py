@@ -51,24 +51,24 @@ def write_score_once(df: DataFrame, path: str) -> None:
         raise ScoreExists(f"{path} exists; read it instead of scoring again") from error
 
 
-def prep_stats(raw: DataFrame, guarded: DataFrame, full: DataFrame, work: DataFrame, caps: DataFrame, **run) -> DataFrame:
+def prep_stats(caps: DataFrame, full: DataFrame, work: DataFrame, **run) -> DataFrame:
     """One row of row counts, caps per service and run settings.
 
-    Settings (seed, fractions, source) become columns as given. ``caps`` has the
-    shape of ``aggregates.compute_caps``: one row per service plus 'All'.
+    ``caps`` has the shape of ``aggregates.compute_caps``: one row per service,
+    and 'All' with the duration cap and the counts of raw and guarded rows.
+    Settings (seed, fractions, source) become columns as given.
     """
-    def rows(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(name))
-
+    overall = F.col("service_type") == "All"
     entry = F.struct("service_type", F.struct("fare_p99", "distance_p99").alias("caps"))
-    per_service = F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("service_type") != "All", entry))))
-    cap_row = caps.agg(
-        per_service.alias("per_service"),
-        F.max(F.when(F.col("service_type") == "All", F.col("duration_p99"))).alias("duration_p99"),
+    one = caps.agg(
+        F.max(F.when(overall, F.col("all_rows"))).alias("raw_rows"),
+        F.max(F.when(overall, F.col("kept_rows"))).alias("guarded_rows"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(~overall, entry)))).alias("per_service"),
+        F.max(F.when(overall, F.col("duration_p99"))).alias("duration_p99"),
     )
-    counts = {"raw_rows": raw, "guarded_rows": guarded, "full_rows": full, "work_rows": work}
-    return cap_row.select(
-        *[rows(df, name).scalar().alias(name) for name, df in counts.items()],
+    return one.select(
+        "raw_rows", "guarded_rows",
+        *[df.agg(F.count(F.lit(1))).scalar().alias(name) for name, df in (("full_rows", full), ("work_rows", work))],
         "per_service", "duration_p99",
         *[F.lit(v).alias(k) for k, v in run.items()],
     )
