@@ -22,7 +22,7 @@ from .. import constants as K
 from ..operators.encoding import encode_outer_fold
 from ..operators.metrics import METRICS, fold_metrics_to_row, fold_rows, leaderboard, regression_metrics
 from ..operators.splits import fold_split, union_all
-from ..session import pin
+from ..session import pin, spread
 from .stages import MeanRegressor, preprocessor, route_columns
 
 Halves = Callable[[DataFrame, int], tuple[DataFrame, DataFrame]]
@@ -38,7 +38,7 @@ def encoded_halves(k: int = K.FOLDS, smoothing: float = K.SMOOTHING, label: str
     def halves(df: DataFrame, i: int) -> tuple[DataFrame, DataFrame]:
         train, test = encode_outer_fold(df, i, k, smoothing, target=label, fold_col=fold)
         # Boosting reads the train half many times; the encoding is done once.
-        return pin(train), test
+        return spread(pin(train)), test
     return halves
 
 

@@ -270,14 +270,22 @@ def trend_line(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFra
 
 # --- histograms -------------------------------------------------------------------
 
-def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
+def _bin(value: Column, low: float, high: float, bins: int) -> Column:
     """Zero-based bin of equal width; the upper end belongs to the last bin."""
-    position = F.try_divide((value - low) * F.lit(float(bins)), high - low)
-    return F.coalesce(F.least(F.floor(position), F.lit(bins - 1)), F.lit(0)).cast("int")
+    if high == low:
+        return F.lit(0)
+    position = (value - F.lit(low)) * F.lit(float(bins)) / F.lit(high - low)
+    return F.least(F.floor(position), F.lit(bins - 1)).cast("int")
 
 
-def _edge(low: Column, high: Column, index: Column, bins: int) -> Column:
-    return low + (high - low) * index / F.lit(float(bins))
+def _edge(low: float, high: float, index: Column, bins: int) -> Column:
+    return F.lit(low) + F.lit(high - low) * index / F.lit(float(bins))
+
+
+def _range(df: DataFrame, *cols: str) -> list[tuple[float, float]]:
+    """Smallest and largest value of each column, the only numbers the driver gets."""
+    row = df.agg(*[f(c) for c in cols for f in (F.min, F.max)]).first()
+    return [(row[2 * i] or 0.0, row[2 * i + 1] or 0.0) for i in range(len(cols))]
 
 
 def histogram(df: DataFrame, col: str, bins: int, log: bool = False) -> DataFrame:
@@ -286,9 +294,9 @@ def histogram(df: DataFrame, col: str, bins: int, log: bool = False) -> DataFram
     Empty bins are not listed. On the log scale only positive values count.
     """
     v = F.col(col).cast("double")
-    values = df.select((F.log10(v) if log else v).alias("v")).where((v > 0) if log else v.isNotNull())
-    low, high = values.agg(F.min("v")).scalar(), values.agg(F.max("v")).scalar()
-    counts = values.select(_bin(F.col("v"), low, high, bins).alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    values = df.where((v > 0) if log else v.isNotNull()).select((F.log10(v) if log else v).alias("v"))
+    [(low, high)] = _range(values, "v")
+    counts = values.groupBy(_bin(F.col("v"), low, high, bins).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     left, right = _edge(low, high, F.col("bin"), bins), _edge(low, high, F.col("bin") + 1, bins)
     if log:
         left, right = F.pow(F.lit(10.0), left), F.pow(F.lit(10.0), right)
@@ -296,13 +304,12 @@ def histogram(df: DataFrame, col: str, bins: int, log: bool = False) -> DataFram
 
 
 def histogram2d(df: DataFrame, x: str, y: str, nx: int, ny: int) -> DataFrame:
-    """Rows per cell of a grid over log10(x), log10(y)."""
-    pairs = df.where((F.col(x) > 0) & (F.col(y) > 0)).select(F.log10(x).alias("x"), F.log10(y).alias("y"))
-    ends = pairs.agg(F.struct(F.min("x"), F.max("x"), F.min("y"), F.max("y")).alias("e")).scalar()
-    e = [ends.getField(f) for f in ("col1", "col2", "col3", "col4")]
-    return pairs.groupBy(
-        _bin(F.col("x"), e[0], e[1], nx).alias("x_bin"), _bin(F.col("y"), e[2], e[3], ny).alias("y_bin")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    """Rows per cell of a grid over log10(x), log10(y); positive values only."""
+    positive = df.where((F.col(x) > 0) & (F.col(y) > 0))
+    pairs = positive.select(F.log10(F.col(x)).alias("x"), F.log10(F.col(y)).alias("y"))
+    (x0, x1), (y0, y1) = _range(pairs, "x", "y")
+    cell = _bin(F.col("x"), x0, x1, nx).alias("x_bin"), _bin(F.col("y"), y0, y1, ny).alias("y_bin")
+    return pairs.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- checksums and parity ------------------------------------------------------------

@@ -10,6 +10,7 @@ from ..operators.aggregates import feature_correlations, trend_line
 from ..operators.filters import report_filter
 from ..operators.sampling import top_corridors
 from ..operators.windows import vs_baseline
+from ..session import pin
 
 HOURS = list(range(24))
 # Rate codes with a fixed meaning here; other codes are shown by number.
@@ -91,9 +92,18 @@ def heatmap(d: DataFrame) -> DataFrame:
 
 
 def top_zones_per_day(d: DataFrame, n: int = 10) -> DataFrame:
-    """Busiest pickup zones by trips per day of the whole period."""
-    days = d.select("pickup_date").distinct().agg(F.count(F.lit(1))).scalar()
-    z = d.groupBy("pickup_zone", "pickup_borough").agg(_count(), F.avg("fare_capped").alias("avg_fare"))
+    """Busiest pickup zones by trips per day of the whole period.
+
+    Zones and days are counted from one daily table, so trips are read once.
+    """
+    zone = ["pickup_zone", "pickup_borough"]
+    daily = pin(d.groupBy(*zone, "pickup_date").agg(
+        _count("_n"), F.sum("fare_capped").alias("_fare"), F.count("fare_capped").alias("_fares")
+    ))
+    days = daily.agg(F.count_distinct("pickup_date")).scalar()
+    z = daily.groupBy(*zone).agg(
+        F.sum("_n").alias("trips"), F.try_divide(F.sum("_fare"), F.sum("_fares")).alias("avg_fare")
+    )
     return z.withColumn("trips_per_day", F.col("trips") / days).orderBy(F.desc("trips"), "pickup_zone").limit(n)
 
 
@@ -186,7 +196,7 @@ def flow_edges(d: DataFrame, source: str = "pickup_borough", target: str = "drop
     A place is one node whether it starts or ends a flow. The numbering window
     runs over the list of places, not over trips.
     """
-    edges = d.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(_count("value"))
+    edges = pin(d.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(_count("value")))
     names = edges.select(F.explode(F.array("source", "target")).alias("name")).distinct()
     nodes = names.withColumn("node", F.dense_rank().over(Window.partitionBy().orderBy("name")) - 1)
     src = nodes.select(F.col("name").alias("source"), F.col("node").alias("source_node"))

@@ -10,6 +10,7 @@ from ..operators.filters import derive_and_guard
 from ..operators.sampling import md5_bucket
 from ..plans import fixtures as X
 from ..plans.reports import dashboard
+from ..session import pin
 from .columns import timed
 from .core import query
 from .helpers import rounded
@@ -145,7 +146,7 @@ select tripid, case when rn <= round(0.2 * n) then 'test' when rn <= round((0.2
   select tripid, row_number() over (partition by year(pickup_datetime), month(pickup_datetime) order by md5(tripid)) as rn,
     count(*) over (partition by year(pickup_datetime), month(pickup_datetime)) as n from trips)""", "trips")
 def j04(spark, sf):
-    return labelled(J.split_stratified_month(dated(spark, sf), 0.2))
+    return labelled(J.split_stratified_month(pin(dated(spark, sf)), 0.2))
 
 
 @query("j05_split_holdout_months", """
@@ -179,7 +180,8 @@ select tripid, case when rn <= round(0.2 * n) then 'holdout' else 'train' end as
   select tripid, row_number() over (partition by service_type, temp_band order by md5(tripid)) as rn,
     count(*) over (partition by service_type, temp_band) as n from guarded)""", "guarded")
 def j08(spark, sf):
-    rows = derive_and_guard(X.fact(spark, sf)).select("tripid", "service_type", "temp_band")
+    # The carve reads its input three times; a written sample is what it is meant for.
+    rows = pin(derive_and_guard(X.fact(spark, sf)).select("tripid", "service_type", "temp_band"))
     return J.carve_holdout(rows, key=["tripid"]).select("tripid", "part")
 
 
@@ -192,7 +194,7 @@ with c as (select count(*) as sample, count(*) filter (pickup_datetime >= timest
 select *, round(temporal / sample, 6) as temporal_share, round(holdout / (sample - temporal), 6) as holdout_share, round(train / sample, 6) as train_share,
   abs(holdout / (sample - temporal) - 0.2) <= 0.03 as shares_match from c""", "trips")
 def j09(spark, sf):
-    trips = X.trips(spark, sf).select("tripid", "pickup_datetime", "service_type")
+    trips = pin(X.trips(spark, sf).select("tripid", "pickup_datetime", "service_type"))
     before, sealed = J.carve_temporal(trips, "2000-11-01")
     parts = J.carve_holdout(before, key=["tripid"]).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     marked = parts.unionByName(sealed.agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit("temporal")))
