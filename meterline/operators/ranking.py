@@ -98,7 +98,7 @@ def quota_split(
         return F.coalesce(F.max(F.when(holds(cut), here)), nowhere)
 
     prefixes = ranked.groupBy(*strata).agg(*[place(cut, "_prefix").alias(f"_p{i}") for i, cut in enumerate(cuts)])
-    near = _with_stratum(slim, prefixes, strata)
+    near = _with_stratum(slim, _per_stratum(prefixes, strata), strata)
     near = near.where(reduce(lambda a, b: a | b, [F.col("_prefix") == F.col(f"_p{i}.at") for i in numbers]))
     # One value of the prefix columns per stratum, so any of them will do.
     hashes = near.groupBy(*strata, "_prefix", "_hash").agg(
@@ -108,7 +108,7 @@ def quota_split(
     hashes = hashes.withColumn("_upto", F.sum("_n").over(inside))
     takes = [F.when(F.col("_prefix") == F.col(f"_p{i}.at"), F.col(f"_p{i}.take")) for i in numbers]
     found = hashes.groupBy(*strata).agg(*[place(take, "_hash").alias(f"_b{i}") for i, take in enumerate(takes)])
-    bounds = pin(found)
+    bounds = _per_stratum(found, strata)
 
     located = _with_stratum(keyed, bounds, strata)
     part, tied = F, F.lit(False)
@@ -126,11 +126,15 @@ def quota_split(
     )
 
 
+def _per_stratum(table: DataFrame, strata: Sequence[str]) -> DataFrame:
+    """A table with one row per stratum, written once, its keys renamed for the join."""
+    return pin(table.withColumnsRenamed({s: f"_of_{s}" for s in strata}))
+
+
 def _with_stratum(rows: DataFrame, per_stratum: DataFrame, strata: Sequence[str]) -> DataFrame:
     """Add a stratum's columns to its rows; NULL is a stratum like any other."""
-    side = small_side(pin(per_stratum.withColumnsRenamed({s: f"_of_{s}" for s in strata})))
     same = reduce(lambda a, b: a & b, [F.col(s).eqNullSafe(F.col(f"_of_{s}")) for s in strata])
-    return rows.join(side, same).drop(*[f"_of_{s}" for s in strata])
+    return rows.join(small_side(per_stratum), same).drop(*[f"_of_{s}" for s in strata])
 
 
 def _split_ties(tied: DataFrame, columns: Sequence[str], strata: Sequence[str], names: Sequence[str], out: str) -> DataFrame:

@@ -14,8 +14,8 @@ from .helpers import rounded
 START, END = "1996-01-01", "2000-12-31"
 
 RAW_SQL = """
-select case when passenger_count = 9 then null else vendorid end as vendorid, cast(ratecodeid as bigint) as ratecodeid,
-  pickup_locationid, dropoff_locationid, pickup_datetime, dropoff_datetime, store_and_fwd_flag, cast(passenger_count as bigint) as passenger_count,
+select cast(case when passenger_count = 9 then null else vendorid end as bigint) as vendorid, cast(ratecodeid as bigint) as ratecodeid,
+  cast(pickup_locationid as bigint) as pickup_locationid, cast(dropoff_locationid as bigint) as dropoff_locationid, pickup_datetime, dropoff_datetime, store_and_fwd_flag, cast(passenger_count as bigint) as passenger_count,
   {money}, cast(payment_type as bigint) as payment_type, service_type from trips where service_type = '{service}'"""
 MONEY_SQL = ", ".join(
     [f"cast({c} as decimal(38,9)) as {c}" for c in ("trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge")]
@@ -122,13 +122,13 @@ def c09(spark, sf):
 
 @query("c10_monthly_zone_revenue", """
 select pickup_zone as revenue_zone, cast(date_trunc('month', pickup_datetime) as date) as revenue_month, service_type,
-  round(sum(fare_amount), 2) as revenue_fare_amount, round(sum(extra), 2) as revenue_extra, round(sum(mta_tax), 2) as revenue_mta_tax,
-  round(sum(tip_amount), 2) as revenue_tip_amount, round(sum(tolls_amount), 2) as revenue_tolls_amount,
-  round(sum(improvement_surcharge), 2) as revenue_improvement_surcharge, round(sum(total_amount), 2) as revenue_total_amount,
-  count(*) as total_trips, round(avg(passenger_count), 2) as avg_passenger_count, round(avg(trip_distance), 2) as avg_trip_distance
+  round(sum(fare_amount), 6) as revenue_fare_amount, round(sum(extra), 6) as revenue_extra, round(sum(mta_tax), 6) as revenue_mta_tax,
+  round(sum(tip_amount), 6) as revenue_tip_amount, round(sum(tolls_amount), 6) as revenue_tolls_amount,
+  round(sum(improvement_surcharge), 6) as revenue_improvement_surcharge, round(sum(total_amount), 6) as revenue_total_amount,
+  count(*) as total_trips, round(avg(passenger_count), 6) as avg_passenger_count, round(avg(trip_distance), 6) as avg_trip_distance
 from fact where fare_amount >= 0 group by 1, 2, 3""", "fact")
 def c10(spark, sf):
-    return rounded(S.monthly_zone_revenue(X.fact(spark, sf).where(F.col("fare_amount") >= 0)), 2)
+    return rounded(S.monthly_zone_revenue(X.fact(spark, sf).where(F.col("fare_amount") >= 0)), 6)
 
 
 @query("c11_payment_description", """

@@ -22,6 +22,9 @@ from meterline.session import local_session  # noqa: E402
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
+TYPES = {"int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     db = duckdb.connect()
     for t in TABLES:
@@ -59,6 +62,11 @@ def compare(spark, db, name: str, sf_dir: str) -> str:
     cur = db.execute(CHECK_SQL[name])
     want_names = [d[0] for d in cur.description]
     want = cur.fetchall()
+    if os.environ.get("CHECK_TYPES"):
+        theirs = {d[0]: str(d[1]) for d in cur.description}
+        odd = {n: (t, theirs.get(n)) for n, t in df.dtypes if TYPES.get(t, t.upper()) != theirs.get(n)}
+        if odd:
+            print(f"type {name} {odd}", flush=True)
     if sorted(names) != sorted(want_names):
         return f"columns {sorted(names)} != {sorted(want_names)}"
     if len(got) != len(want):
