@@ -15,12 +15,11 @@ BROADCAST_ROWS = 200_000
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only when a count proves it is small.
 
-    The count stops at ``max_rows + 1`` rows. A larger side comes back without
-    a hint, so the join shuffles and adaptive execution handles hot keys.
+    A larger side comes back without a hint, so the join shuffles and adaptive
+    execution splits hot keys. Counting moves no rows and reads no columns that
+    ``df`` does not need; a written table is counted from its file footers.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def known_zones(zones: DataFrame) -> DataFrame:
@@ -72,21 +71,16 @@ def zones_known_flag(raw: DataFrame, zones: DataFrame) -> DataFrame:
     return out.withColumn("zones_known", both).drop("pickup_known", "dropoff_known")
 
 
-def route_matrix(zones: DataFrame, mph: float = 12.0) -> DataFrame:
-    """Straight-line miles and minutes between all zone pairs.
+def route_matrix(pairs: DataFrame, zones: DataFrame, mph: float = 12.0) -> DataFrame:
+    """Straight-line miles, and minutes at a given speed, for pairs of zones.
 
-    The zone list is a closed lookup of a few hundred rows, so each zone carries
-    the whole list as one array and the pairs come from exploding it.
+    ``pairs`` holds the distinct (pickup, dropoff) ids that are needed, so the
+    matrix has no more rows than routes that occur. Ids without a zone are left out.
     """
-    z = zones.select("locationid", "lat", "lon")
-    targets = z.agg(F.array_sort(F.collect_list(F.struct("locationid", "lat", "lon")))).scalar()
-    pairs = z.select(
-        F.col("locationid").alias("pickup_locationid"), "lat", "lon", F.explode(targets).alias("to")
-    )
-    miles = haversine_mi(F.col("lat"), F.col("lon"), F.col("to.lat"), F.col("to.lon"))
-    return pairs.select(
-        "pickup_locationid", F.col("to.locationid").alias("dropoff_locationid"), miles.alias("route_miles")
-    ).withColumn("route_minutes", F.col("route_miles") / F.lit(mph) * 60.0)
+    located = attach_centroids(pairs, zones)
+    miles = haversine_mi(F.col("pickup_lat"), F.col("pickup_lon"), F.col("dropoff_lat"), F.col("dropoff_lon"))
+    routes = located.select("pickup_locationid", "dropoff_locationid", miles.alias("route_miles"))
+    return routes.where(F.col("route_miles").isNotNull()).withColumn("route_minutes", F.col("route_miles") / mph * 60.0)
 
 
 def attach_route(trips: DataFrame, matrix: DataFrame) -> DataFrame:
