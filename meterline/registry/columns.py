@@ -418,7 +418,7 @@ def k02(spark, sf):
         F.datediff(day, F.lit("2024-01-01").cast("date")).alias("days_in"),
         F.months_between(F.trunc(day, "month"), F.lit("2024-01-01").cast("date")).alias("months_in"),
         F.add_months(F.trunc(day, "month"), 1).alias("next_month"), F.date_add(day, 7).alias("week_later"), F.date_sub(day, 7).alias("week_before"),
-        F.unix_timestamp(as_text).alias("unix_s"),
+        (F.unix_timestamp(as_text) - F.unix_timestamp(F.lit("1970-01-01 00:00:00"))).alias("unix_s"),
         ((F.current_date() > day) & (F.current_timestamp() > F.to_timestamp(as_text))).alias("clock_runs"),
     )
 
