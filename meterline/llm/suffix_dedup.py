@@ -109,7 +109,9 @@ def _piece_ranks(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first ``depth`` symbols, by two-stage sorting; symbols are 0 to 511.
+    """Suffixes in the order of their first ``depth`` symbols, by two-stage sorting.
+
+    Symbols are 0 to 500, and the last one is 0.
 
     Suffixes smaller than their successors are sorted directly: by the pieces
     between them, doubling the number of pieces compared. The others are
@@ -119,7 +121,7 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     text = np.asarray(text, np.int64)
     n = len(text)
     step = np.sign(np.diff(text))
-    # Type of each suffix: the first different successor decides; the last suffix counts as smaller.
+    # Type of each suffix: the first different successor decides; the last suffix is sorted directly.
     place = np.where(step != 0, np.arange(n - 1), n - 1)
     decider = np.append(np.minimum.accumulate(place[::-1])[::-1], n - 1)
     smaller = np.append(step, 1)[decider] > 0
