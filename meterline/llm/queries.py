@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import elias_fano, mixing, odd_sketch, packing, quality, suffix_dedup
+from . import elias_fano, mixing, odd_sketch, packing, phrase_automata, quality, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -53,3 +53,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_suffix_array_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op3_phrase_automata")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_automata.remove_passages(table(spark, sf_dir, "documents"))
