@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import elias_fano, mixing, odd_sketch, packing, phrase_automata, quality, suffix_dedup
+from . import elias_fano, mixing, odd_sketch, packing, phrase_automata, quality, suffix_dedup, token_transducer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -58,3 +58,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_phrase_automata")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_automata.remove_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op5_token_transducer")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_transducer.token_counts(table(spark, sf_dir, "documents"))
