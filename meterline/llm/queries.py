@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import elias_fano, mixing, odd_sketch, packing, phrase_automata, quality, suffix_dedup, token_transducer
+from . import elias_fano, mixing, odd_sketch, packing, phrase_automata, quality, suffix_dedup, token_transducer, voronoi_knn
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -63,3 +64,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_token_transducer")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_transducer.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op8_voronoi_knn", voronoi_knn.check_sql())
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi_knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
