@@ -1,22 +1,58 @@
-"""The training-data pipeline: documents through the stages, each written and read again."""
+"""The training-data pipeline: documents through the stages, each written and read again.
+
+Quality rules drop rejected documents, near-dedup keeps one document of each
+group, suffix-array dedup cuts repeated bytes out of texts, mixing takes each
+source as often as its target weight asks, and packing turns what is left into
+sequences of token pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import packing
+from meterline.llm import mixing, odd_sketch, packing, quality, suffix_dedup
 from meterline.session import pin
 
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the adaptive thresholds keep."""
+    return quality.keep_good(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least doc_id of each near-duplicate group."""
+    return odd_sketch.drop_near_duplicates(docs)
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the strings of 200 bytes that occur twice or more."""
+    return suffix_dedup.without_repeats(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the target weights take them."""
+    return mixing.mix(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their sequence and offset."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
-    ("best-fit packing", lambda spark, docs, sf_dir: packing.pack_documents(docs)),
+    ("quality rules", quality_rules),
+    ("MinHash near-dedup", near_dedup),
+    ("suffix-array dedup", repeated_strings),
+    ("mixing sources to target weights", mix_sources),
+    ("best-fit packing", pack_sequences),
 ]
 
-# Tokenization, sketches and suffix arrays are not expressible in SQL.
+# Sketches, suffix arrays and tokenization are not expressible in SQL; tests/llm/test_pipeline.py has a direct version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table."""
+    """All stages over the documents table, each written as Parquet and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = pin(stage(spark, docs, sf_dir))

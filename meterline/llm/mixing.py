@@ -172,7 +172,7 @@ def check_sql(weights: dict | None = None, budget_share: float = BUDGET_SHARE, m
     ctes += [
         f"plan as (select l.*, cast(budget // tokens as bigint) as epochs, budget % tokens as room from leaves l join b{len(LEVELS)} b on {same('l', 'b')})",
         f"""placed as (select d.*, p.epochs, p.room, sum(d.tokens) over (partition by d.domain, d.lang, d.source
-      order by cast('0x' || substr(md5(concat_ws('|', '{seed}', p.epochs, d.doc_id)), 1, 15) as bigint), d.doc_id rows between unbounded preceding and current row) as upto
+      order by cast('0x' || substr(md5(concat_ws('|', '{seed}', p.epochs, coalesce(cast(d.doc_id as varchar), '-'))), 1, 15) as bigint), d.doc_id rows between unbounded preceding and current row) as upto
     from docs d join plan p on {same('d', 'p')})""",
     ]
     return "with " + ",\n".join(ctes) + """

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import elias_fano, mixing, odd_sketch, packing, phrase_automata, quality, suffix_dedup, token_transducer, voronoi_knn
+from . import elias_fano, mixing, odd_sketch, packing, phrase_automata, quality, suffix_dedup, token_transducer, tool_calls, voronoi_knn
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -69,3 +69,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_voronoi_knn", voronoi_knn.check_sql())
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi_knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op4_tool_call_linking", tool_calls.check_sql())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = tool_calls.link(tool_calls.table_messages(table(spark, sf_dir, "conversations")))
+    # SQL leaves the results' own texts out.
+    canonical = F.when(F.col("kind") == "call", F.col("canonical")).alias("canonical")
+    return events.select("conv_id", "stage", "turn", "kind", "call_id", "name", "status", F.array_join("errors", ",").alias("errors"), "copies", canonical)
