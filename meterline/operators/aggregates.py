@@ -167,14 +167,17 @@ def cap_band(df: DataFrame, observed: DataFrame) -> DataFrame:
 
     ``observed`` has columns metric, grp and cap, one row per cap to judge.
     """
-    hist = cap_histogram(df)
+    hist = pin(cap_histogram(df))
     bands = quantiles_from_histogram(hist, ["metric", "grp"], "v", {"p989": 0.989, "p99": 0.99, "p991": 0.991})
-    caps = small_side(observed.select("metric", "grp", "cap"))
-    below = hist.join(caps, ["metric", "grp"]).groupBy("metric", "grp", "cap").agg(
+    caps = small_side(observed.select(F.col("metric").alias("_metric"), F.col("grp").alias("_grp"), "cap"))
+    judged = hist.join(caps, F.col("metric").eqNullSafe(F.col("_metric")) & F.col("grp").eqNullSafe(F.col("_grp")))
+    below = judged.groupBy("metric", "grp", "cap").agg(
         F.count(F.lit(1)).alias("distinct_values"),
         F.sum(F.when(F.col("v") <= F.col("cap"), F.col("n")).otherwise(0)).alias("_below"),
     )
-    return bands.join(below, ["metric", "grp"]).select(
+    below = below.withColumnsRenamed({"metric": "_metric", "grp": "_grp"})
+    same = F.col("metric").eqNullSafe(F.col("_metric")) & F.col("grp").eqNullSafe(F.col("_grp"))
+    return bands.join(below, same).select(
         "metric", "grp", F.col("tot").alias("guarded_rows"), "distinct_values", "p989", "p99", "p991", "cap",
         (F.col("_below") / F.col("tot")).alias("cdf_at_cap"),
     )
@@ -318,7 +321,8 @@ def table_checksum(df: DataFrame, method: str = "xxhash64") -> DataFrame:
     """Rows and an order-free checksum of the whole table.
 
     ``xxhash64`` folds row hashes with XOR; ``md5`` adds up 32-bit prefixes,
-    which other engines can reproduce. Columns are taken in name order.
+    which other engines can reproduce, in a number that no table overflows.
+    Columns are taken in name order.
     """
     names = sorted(df.columns)
     if method == "xxhash64":
@@ -328,7 +332,7 @@ def table_checksum(df: DataFrame, method: str = "xxhash64") -> DataFrame:
         raise ValueError(f"unknown method: {method}")
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names])
     row = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(row), F.lit(0)).alias("checksum"))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(row.cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias("checksum"))
 
 
 def compare_groups(a: DataFrame, b: DataFrame, keys: Sequence[str], tolerance: float = 0.0) -> DataFrame:

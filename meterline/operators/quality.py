@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from ..session import pin
 from .filters import guard
 from .joins import orphans, zones_known_flag
 from .quantiles import quantiles_from_histogram
@@ -34,19 +35,24 @@ def reconcile(raw: DataFrame, zones: DataFrame) -> DataFrame:
     the two zone ids. The p99s are over rows whose zones are known.
     """
     flagged = zones_known_flag(guard(raw), zones)
+    metrics = {"fare": "fare_amount", "dist": "trip_distance", "dur": "trip_duration_min"}
+    # Every row counts once as a row and once in the histogram of each metric, so the trips are read once.
+    entries = F.array(F.struct(F.lit("rows").alias("metric"), F.lit(0.0).alias("v")), *[
+        F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("v")) for m, c in metrics.items()
+    ])
+    long = flagged.select("service_type", "zones_known", F.explode(entries).alias("e")).select("service_type", "zones_known", "e.metric", "e.v")
+    hist = pin(long.groupBy("service_type", "zones_known", "metric", "v").agg(F.count(F.lit(1)).alias("n")))
     known = F.col("zones_known")
-    counts = flagged.groupBy("service_type").agg(
-        F.count(F.lit(1)).alias("guarded"), F.count_if(known).alias("known"), F.count_if(~known).alias("unknown")
+    counts = hist.where("metric = 'rows'").groupBy(F.col("service_type").alias("_service")).agg(
+        F.sum("n").alias("guarded"), F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("known"),
+        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("unknown"),
     )
-    metrics = {"fare": "fare_amount", "dist": "trip_distance", "dur": "trip_duration_min"}
-    entries = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("v")) for m, c in metrics.items()])
-    long = flagged.where(known).select("service_type", F.explode(entries).alias("e")).select("service_type", "e.metric", "e.v")
-    hist = long.groupBy("service_type", "metric", "v").agg(F.count(F.lit(1)).alias("n"))
-    p99 = quantiles_from_histogram(hist, ["service_type", "metric"], "v", {"p99": 0.99})
+    judged = hist.where(known & (F.col("metric") != "rows") & F.col("v").isNotNull()).drop("zones_known")
+    p99 = quantiles_from_histogram(judged, ["service_type", "metric"], "v", {"p99": 0.99})
     wide = p99.groupBy("service_type").agg(*[
         F.max(F.when(F.col("metric") == m, F.col("p99"))).alias(f"{m}_p99") for m in metrics
     ])
-    return counts.join(wide, "service_type")
+    return counts.join(wide, F.col("service_type").eqNullSafe(F.col("_service"))).drop("_service")
 
 
 def climate_fanout(climate: DataFrame) -> DataFrame:
@@ -114,20 +120,27 @@ def key_ambiguity(df: DataFrame, keys: Sequence[str], pair: Sequence[str] = ("pi
 def schema_drift(spark: SparkSession, paths: Mapping[str, str], contract: StructType) -> DataFrame:
     """Columns of each file set that are missing, new or retyped.
 
-    Only file footers are read; a row here is one column of one schema.
+    Only file footers are read. Every file is looked at, in batches of file
+    names, and the driver holds each different (column, type) of a set once.
     """
-    found = [
-        (name, field.name, field.dataType.simpleString())
-        for name, path in paths.items()
-        for field in spark.read.parquet(path).schema
-    ]
+    found = []
+    for name, path in paths.items():
+        files = spark.read.format("binaryFile").load(path).select("path").distinct()
+        seen = {}
+        for r in files.toLocalIterator():
+            for field in spark.read.parquet(r["path"]).schema:
+                seen[field.name, field.dataType.simpleString()] = seen.get((field.name, field.dataType.simpleString()), 0) + 1
+            seen["", ""] = seen.get(("", ""), 0) + 1
+        n = seen.pop(("", ""), 0)
+        found += [(name, column, kind, rows == n) for (column, kind), rows in seen.items()]
     expected = [(name, f.name, f.dataType.simpleString()) for name in paths for f in contract]
-    have = spark.createDataFrame(found, "source string, column_name string, found_type string")
+    have = spark.createDataFrame(found, "source string, column_name string, found_type string, everywhere boolean")
     want = spark.createDataFrame(expected, "source string, column_name string, expected_type string")
     state = (
         F.when(F.col("found_type").isNull(), "missing")
         .when(F.col("expected_type").isNull(), "new")
         .when(F.col("found_type") != F.col("expected_type"), "retyped")
+        .when(~F.col("everywhere"), "missing in some files")
     )
     both = want.join(have, ["source", "column_name"], "full_outer")
-    return both.withColumn("drift", state).where(F.col("drift").isNotNull())
+    return both.withColumn("drift", state).where(F.col("drift").isNotNull()).drop("everywhere")

@@ -1,39 +1,38 @@
 """Exact quantiles and running totals without collecting a group in one task.
 
 The rows of a group are first counted per distinct value; copies combine on the
-map side. A small sketch over the distinct values of all groups then gives cut
-points, so every (group, bucket) holds at most about 1/buckets of the distinct
-values, whatever the distribution. Running counts need one short window over the
-bucket totals of a group, and one inside each bucket.
+map side. The histogram is then range-sorted by value over as many partitions
+as the shuffle setting asks for, whatever the distribution, and written once.
+Running counts need one short window over a group's totals per partition, and
+one inside each partition. NULL is a group like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import pin
 
-BUCKETS = 128
-
-
 def value_histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Rows per distinct (keys, value), NULL values left out."""
     return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def with_bucket(hist: DataFrame, value: str, buckets: int = BUCKETS) -> DataFrame:
-    """Keep the histogram and add ``_bucket``: order-preserving, balanced in distinct values.
+def with_bucket(hist: DataFrame, value: str) -> DataFrame:
+    """Keep the histogram, range-sorted, and add ``_bucket``: the number of its partition, in the order of values."""
+    return pin(hist.repartitionByRange(value).withColumn("_bucket", F.spark_partition_id()))
 
-    The histogram is read several times from here on, so it is written once; the
-    only thing that comes to the driver is the list of ``buckets - 1`` cut points.
-    """
-    hist = pin(hist)
-    points = [i / buckets for i in range(1, buckets)]
-    cuts = hist.agg(F.percentile_approx(value, points, 10_000)).first()[0] or []
-    literal = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast(f"array<{dict(hist.dtypes)[value]}>")
-    return hist.withColumn("_bucket", F.size(F.filter(literal, lambda c: c < F.col(value))))
+
+def _same(keys: Sequence[str]) -> Column:
+    """Whether a row belongs to the keys renamed by ``_renamed``."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+
+
+def _renamed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumnsRenamed({k: f"_of_{k}" for k in keys})
 
 
 def bucket_offsets(bucketed: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,14 +43,14 @@ def bucket_offsets(bucketed: DataFrame, keys: Sequence[str]) -> DataFrame:
     return per_bucket.withColumns({"_before": before, "_total": F.sum("_in_bucket").over(group)})
 
 
-def running_total(hist: DataFrame, keys: Sequence[str], value: str, buckets: int = BUCKETS) -> DataFrame:
+def running_total(hist: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """H4, H5: histogram with ``cum_n`` (running) and ``tot`` (group) counts."""
-    keys = list(keys)
-    bucketed = with_bucket(hist, value, buckets)
-    joined = bucketed.join(bucket_offsets(bucketed, keys), [*keys, "_bucket"])
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(value)
+    keys = [*keys, "_bucket"]
+    bucketed = with_bucket(hist, value)
+    joined = bucketed.join(_renamed(bucket_offsets(bucketed, keys[:-1]), keys), _same(keys))
+    inside = Window.partitionBy(*keys).orderBy(value)
     return joined.select(
-        *keys, value, "n",
+        *keys[:-1], value, "n",
         (F.col("_before") + F.sum("n").over(inside)).alias("cum_n"),
         F.col("_total").alias("tot"),
     )
@@ -63,7 +62,6 @@ def quantiles_from_histogram(
     value: str,
     probs: Mapping[str, float],
     interpolate: bool = False,
-    buckets: int = BUCKETS,
 ) -> DataFrame:
     """One row per group with a column per named probability, and ``tot``.
 
@@ -71,7 +69,7 @@ def quantiles_from_histogram(
     Interpolated: linear between the two values around ``p * (total - 1)``.
     """
     keys = list(keys)
-    bucketed = with_bucket(hist, value, buckets)
+    bucketed = with_bucket(hist, value)
     offsets = bucket_offsets(bucketed, keys)
 
     def wanted(p: float) -> list[Column]:
@@ -97,7 +95,7 @@ def quantiles_from_histogram(
     inside = Window.partitionBy(*keys, "_bucket").orderBy(value)
     upper = F.col("_before") + F.sum("n").over(inside)
     hits = (
-        bucketed.join(targets, [*keys, "_bucket"])
+        bucketed.join(_renamed(targets, [*keys, "_bucket"]), _same([*keys, "_bucket"]))
         .withColumn("_upper", upper)
         .withColumn("_hit", F.explode(F.filter(
             F.col("_ranks"),

@@ -46,10 +46,15 @@ def global_row_number(df: DataFrame, order: Sequence[str], out: str = "seq") ->
     )
 
 
-def hash_order(key: Sequence[str]) -> Column:
-    """md5 text of the key columns: a fixed, random-like order of rows."""
+def hash_order(key: Sequence[str], columns: Sequence[str]) -> Column:
+    """md5 text of the key columns: a fixed, random-like order of rows.
+
+    Rows without a single key are ordered by all their ``columns``, so that
+    they spread over hashes like other rows and none is without a place.
+    """
+    whole = F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
     if len(key) == 1:
-        return F.md5(F.col(key[0]).cast("string"))
+        return F.coalesce(F.md5(F.col(key[0]).cast("string")), whole)
     return F.md5(F.to_json(F.struct(*key), {"ignoreNullFields": "false"}))
 
 
@@ -75,7 +80,7 @@ def quota_split(
     is settled by ``_split_ties``.
     """
     strata, columns, names = list(strata), df.columns, list(fractions)
-    keyed = df.withColumn("_hash", hash_order(list(key or columns)))
+    keyed = df.withColumn("_hash", hash_order(list(key or columns), columns))
     slim = keyed.select(*strata, "_hash", F.substring("_hash", 1, 4).alias("_prefix"))
     numbers = range(len(names))
     cumulative = [sum(list(fractions.values())[: i + 1]) for i in numbers]
@@ -91,14 +96,17 @@ def quota_split(
     def holds(cut: Column) -> Column:
         return (cut > F.col("_upto") - F.col("_n")) & (cut <= F.col("_upto"))
 
+    # No hash is empty, so an empty one stands for a cut before the first row.
+    nowhere = F.struct(F.lit("").alias("at"), F.lit(0).cast("bigint").alias("take"), F.lit(0).cast("bigint").alias("size"))
+
     def place(cut: Column, name: str) -> Column:
         """Where a cut falls: a prefix or hash, and its rows before the cut."""
         here = F.struct(F.col(name).alias("at"), (cut - F.col("_upto") + F.col("_n")).alias("take"), F.col("_n").alias("size"))
-        nowhere = F.struct(F.lit("").alias("at"), F.lit(0).cast("bigint").alias("take"), F.lit(0).cast("bigint").alias("size"))
         return F.coalesce(F.max(F.when(holds(cut), here)), nowhere)
 
     prefixes = ranked.groupBy(*strata).agg(*[place(cut, "_prefix").alias(f"_p{i}") for i, cut in enumerate(cuts)])
-    near = _with_stratum(slim, _per_stratum(prefixes, strata), strata)
+    prefixes = _per_stratum(prefixes, strata)
+    near = _with_stratum(slim, prefixes, strata)
     near = near.where(reduce(lambda a, b: a | b, [F.col("_prefix") == F.col(f"_p{i}.at") for i in numbers]))
     # One value of the prefix columns per stratum, so any of them will do.
     hashes = near.groupBy(*strata, "_prefix", "_hash").agg(
@@ -108,7 +116,11 @@ def quota_split(
     hashes = hashes.withColumn("_upto", F.sum("_n").over(inside))
     takes = [F.when(F.col("_prefix") == F.col(f"_p{i}.at"), F.col(f"_p{i}.take")) for i in numbers]
     found = hashes.groupBy(*strata).agg(*[place(take, "_hash").alias(f"_b{i}") for i, take in enumerate(takes)])
-    bounds = _per_stratum(found, strata)
+    # Every stratum has bounds, also one in which all cuts fall before the first row.
+    same = reduce(lambda a, b: a & b, [F.col(f"_of_{s}").eqNullSafe(F.col(s)) for s in strata])
+    bounds = pin(prefixes.join(found, same, "left").select(
+        *[f"_of_{s}" for s in strata], *[F.coalesce(f"_b{i}", nowhere).alias(f"_b{i}") for i in numbers]
+    ))
 
     located = _with_stratum(keyed, bounds, strata)
     part, tied = F, F.lit(False)

@@ -261,7 +261,7 @@ def g22(spark, sf):
 
 @query("g23_table_checksum", """
 select count(*) as n_rows, cast(sum(('0x' || substr(md5(concat_ws('|', cast(dropoff_locationid as varchar), coalesce(cast(passenger_count as varchar), ''),
-  cast(pickup_datetime as varchar), tripid)), 1, 8))::bigint) as bigint) as checksum from trips""", "trips")
+  cast(pickup_datetime as varchar), tripid)), 1, 8))::bigint) as decimal(38,0)) as checksum from trips""", "trips")
 def g23(spark, sf):
     return G.table_checksum(X.trips(spark, sf).select("tripid", "pickup_datetime", "dropoff_locationid", "passenger_count"), "md5")
 

@@ -11,6 +11,7 @@ from meterline.operators.quantiles import exact_quantiles, running_total, value_
 from meterline.operators.ranking import global_row_number, quota_split
 from meterline.operators.staging import dedup_keep_first
 from meterline.operators.windows import sequence_trips
+from meterline.session import pin
 
 
 @pytest.fixture(scope="module")
@@ -49,7 +50,7 @@ def test_interpolated_quantiles(skewed):
 
 def test_running_total_matches_window(skewed):
     rows, df = skewed
-    for r in running_total(value_histogram(df, ["g"], "v"), ["g"], "v", buckets=4).collect():
+    for r in running_total(value_histogram(df, ["g"], "v"), ["g"], "v").collect():
         vs = values(rows, r["g"])
         assert r["cum_n"] == sum(v <= r["v"] for v in vs) and r["tot"] == len(vs)
 
@@ -141,3 +142,28 @@ def test_compare_groups_states(spark):
     b = spark.createDataFrame([("x", 1.0 + 1e-13), ("z", 2.0), (None, 4.0)], "k string, v double")
     got = {r["k"]: r["state"] for r in G.compare_groups(a, b, ["k"], tolerance=1e-9).collect()}
     assert got == {"x": "equal", "y": "left only", "z": "right only", None: "differs"}
+
+
+def test_exact_split_keeps_every_row(spark):
+    """NULL and repeated keys, NULL strata and tiny strata: nothing is lost, sizes are exact."""
+    for share in (0.0, 0.1, 0.5, 1.0):
+        rows = spark.range(1000).select(
+            F.when(F.col("id") % 100 >= int(100 * share), F.col("id") % 37).alias("key"), "id",
+            F.when(F.col("id") >= 2, F.when(F.col("id") % 3 > 0, F.col("id") % 3)).otherwise(F.lit(9)).alias("stratum"),
+        )
+        out = pin(quota_split(rows, ["stratum"], {"holdout": 0.2, "validation": 0.1}, key=["key"]))
+        assert out.count() == 1000 and out.select("id").distinct().count() == 1000
+        sizes = {r["stratum"]: r["count"] for r in rows.groupBy("stratum").count().collect()}
+        found = {(r["stratum"], r["part"]): r["count"] for r in out.groupBy("stratum", "part").count().collect()}
+        for stratum, n in sizes.items():
+            held = found.get((stratum, "holdout"), 0)
+            assert held == round(0.2 * n) and held + found.get((stratum, "validation"), 0) == round(0.3 * n + 1e-9)
+
+
+def test_null_groups_have_quantiles(spark):
+    rows = spark.range(300).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), (F.col("id") * 7 % 100).cast("double").alias("v"))
+    got = {r["g"]: (r["p"], r["tot"]) for r in exact_quantiles(rows, ["g"], "v", {"p": 0.5}).collect()}
+    want = {r["g"]: (r["p"], r["n"]) for r in rows.groupBy("g").agg(F.percentile_approx("v", 0.5, 100000).alias("p"), F.count("*").alias("n")).collect()}
+    assert got == want and None in got
+    running = running_total(value_histogram(rows, ["g"], "v"), ["g"], "v").collect()
+    assert max(r["cum_n"] for r in running if r["g"] is None) == 100
