@@ -248,6 +248,18 @@ def c12b(spark, sf):
     return monthly(spark, dst)
 
 
+@query("c12_ingest_inside_months", """
+select cast(date_trunc('month', o_orderdate) as date) as pickup_month, count(*) as n,
+  round(sum(case when o_orderdate >= date '1996-05-10' and o_orderdate < date '1996-07-21' then o_totalprice + 1 else o_totalprice end), 2) as total from orders
+where o_orderdate >= date '1996-02-01' and o_orderdate < date '1997-07-01' group by 1""")
+def c12c(spark, sf):
+    # A later load from the middle of one month to the middle of another replaces its own days only.
+    dst, orders = scratch_path(spark, "inside"), X.table(spark, sf, "orders")
+    ingest_months(orders, dst, *WINDOW, ts="o_orderdate")
+    ingest_months(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1), dst, "1996-05-10", "1996-07-20", ts="o_orderdate")
+    return monthly(spark, dst)
+
+
 @query("prep_sample", "select count(*) as n_rows, 22::int as n_columns from guarded", "guarded")
 def prep_sample(spark, sf):
     sample = prepared(X.fact(spark, sf))

@@ -11,9 +11,27 @@ from pyspark.sql.types import StructType
 from ..constants import TARGET
 
 
-def write_sample(df: DataFrame, path: str, parts: int) -> None:
-    """B1: replace ``path`` with ``parts`` parquet files of even size."""
-    df.repartition(parts).write.mode("overwrite").parquet(path)
+def write_sample(df: DataFrame, path: str, parts: int | None = None, rows_per_file: int = 5_000_000) -> None:
+    """B1: replace ``path`` with ``parts`` parquet files of even size, or with files of bounded size."""
+    rows = df if parts is None else df.repartition(parts)
+    writer = rows.write.mode("overwrite")
+    (writer if parts is not None else writer.option("maxRecordsPerFile", rows_per_file)).parquet(path)
+
+
+def by_month(df: DataFrame, spread: Sequence[str], files_per_month: int | None, rows_per_file: int) -> DataFrame:
+    """Rows dealt to (pickup_month, bucket), so that no writer gets a whole large month.
+
+    A month has as many buckets as files of ``rows_per_file`` rows need, from a
+    count of each month, or ``files_per_month`` if given.
+    """
+    if files_per_month is not None:
+        buckets, counted = F.lit(files_per_month), df
+    else:
+        sizes = df.groupBy(F.col("pickup_month").alias("_month")).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
+        counted = df.join(sizes, F.col("pickup_month").eqNullSafe(F.col("_month")))
+        buckets = F.col("_files")
+    dealt = counted.withColumn("_bucket", F.pmod(F.xxhash64(*spread), buckets))
+    return dealt.repartition("pickup_month", "_bucket").select(*df.columns)
 
 
 def csv_to_parquet(spark: SparkSession, src: str, dst: str, schema: str | StructType) -> None:
@@ -89,21 +107,23 @@ def write_leaderboard(rows: DataFrame, path: str, fmt: str = "csv") -> None:
 
 def save_fact(
     df: DataFrame,
-    path: str,
+    path: str | None = None,
     ts: str = "pickup_datetime",
     cluster: Sequence[str] = ("pickup_locationid", "dropoff_locationid"),
-    files_per_month: int = 8,
+    files_per_month: int | None = None,
+    rows_per_file: int = 5_000_000,
+    table: str | None = None,
 ) -> None:
-    """The mart in month folders, files clustered by the two zone ids.
+    """The mart by month, files clustered by the two zone ids, in a folder, as a table, or as a table over a folder.
 
     Rows go to (month, bucket of the zone pair and time), so a month, or a pair,
     that holds a third of all trips is still written by many tasks.
     """
-    bucket = F.pmod(F.xxhash64(*cluster, ts), F.lit(files_per_month))
-    (
-        df.withColumns({"pickup_month": F.trunc(F.to_date(ts), "month"), "_bucket": bucket})
-        .repartition("pickup_month", "_bucket")
-        .drop("_bucket")
-        .sortWithinPartitions("pickup_month", *cluster)
-        .write.mode("overwrite").partitionBy("pickup_month").parquet(path)
-    )
+    if path is None and table is None:
+        raise ValueError("the mart needs a path or a table name")
+    rows = by_month(df.withColumn("pickup_month", F.trunc(F.to_date(ts), "month")), [*cluster, ts], files_per_month, rows_per_file)
+    writer = rows.sortWithinPartitions("pickup_month", *cluster).write.mode("overwrite").partitionBy("pickup_month")
+    if table is None:
+        writer.parquet(path)
+    else:
+        (writer if path is None else writer.option("path", path)).format("parquet").saveAsTable(table)

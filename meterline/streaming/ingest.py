@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from ..session import pin
+from ..sources.writers import by_month
+
 
 def _window(df: DataFrame, start: str, end: str, ts: str) -> DataFrame:
     """Rows of the backfill window with their month."""
@@ -45,15 +49,29 @@ def ingest_incremental(
     query.awaitTermination()
 
 
-def ingest_months(df: DataFrame, dst: str, start: str, end: str, ts: str = "pickup_datetime", files_per_month: int = 8) -> None:
-    """C12 as a batch: replace the months of the window, leave the others alone.
+def ingest_months(
+    df: DataFrame, dst: str, start: str, end: str, ts: str = "pickup_datetime", files_per_month: int | None = None, rows_per_file: int = 5_000_000
+) -> None:
+    """C12 as a batch: replace the days of the window, leave all others alone.
 
-    All months are written by one job. Rows are spread over several tasks per
-    month, so one large month does not end in a single writer.
+    All months are written by one job, with files of bounded size. A window
+    that begins or ends inside a month keeps that month's other days: they are
+    read first, written aside, and go back with the new ones.
     """
-    rows = _window(df, start, end, ts).withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(files_per_month)))
+    rows = _window(df, start, end, ts)
+    spark = df.sparkSession
+    try:
+        there = spark.read.parquet(dst)
+    except AnalysisException:  # nothing is there yet
+        there = None
+    if there is not None:
+        day, month = F.to_date(ts), F.col("pickup_month").cast("date")
+        lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
+        partly = month.isin(F.trunc(lo, "month"), F.trunc(hi, "month"))
+        others = there.where(partly & ~day.between(lo, hi)).withColumn("pickup_month", month)
+        rows = rows.unionByName(pin(others), allowMissingColumns=True)
     (
-        rows.repartition("pickup_month", "_part").drop("_part")
+        by_month(rows, df.columns, files_per_month, rows_per_file)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("pickup_month").parquet(dst)
     )
