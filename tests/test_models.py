@@ -44,14 +44,6 @@ def test_holdout_without_strata_columns(spark):
     assert out.where("part = 'holdout'").count() == 20 and out.count() == 101
 
 
-def test_verify_carve():
-    ok = J.verify_carve(100, 10, 18, 72, temporal_share=0.1, holdout_share=0.2)
-    assert ok["shares_match"] and ok["holdout_share"] == 0.2
-    assert not J.verify_carve(100, 30, 14, 56, temporal_share=0.1)["shares_match"]
-    with pytest.raises(ValueError, match="parts hold 99"):
-        J.verify_carve(100, 10, 18, 71)
-
-
 def test_verify_carve_table_stops_on_lost_rows(spark):
     counts = spark.createDataFrame([(100, 10, 18, 71)], "sample bigint, temporal bigint, holdout bigint, train bigint")
     with pytest.raises(Exception, match="parts hold 99"):
