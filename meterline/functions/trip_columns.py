@@ -26,8 +26,10 @@ def cast_decimals(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # --- time ------------------------------------------------------------------
 
 def duration_sec(pickup: str | Column, dropoff: str | Column) -> Column:
-    """D3: whole seconds from pickup to dropoff."""
-    return F.timestamp_diff("SECOND", _c(pickup), _c(dropoff))
+    """D3: seconds from pickup to dropoff, each time without its fraction of a second."""
+    def second(ts: Column) -> Column:
+        return F.timestamp_diff("SECOND", F.expr(EPOCH), ts)
+    return second(_c(dropoff)) - second(_c(pickup))
 
 
 def duration_min(pickup: str | Column, dropoff: str | Column) -> Column:

@@ -55,10 +55,13 @@ def attach_centroids(trips: DataFrame, zones: DataFrame) -> DataFrame:
 def attach_climate(trips: DataFrame, climate: DataFrame) -> DataFrame:
     """daily climate by pickup date, never more than one row per trip.
 
-    The climate side is cut to one row per date, so a repeated date cannot
-    multiply trips; ``operators.quality.climate_fanout`` reports such dates.
+    The climate side is cut to one row per date, the least in column order, so a
+    repeated date cannot multiply trips and always gives the same row;
+    ``operators.quality.climate_fanout`` reports such dates.
     """
-    one_per_day = small_side(climate.dropDuplicates(["climate_date"]))
+    rest = [c for c in climate.columns if c != "climate_date"]
+    least = climate.groupBy("climate_date").agg(F.min(F.struct(*rest)).alias("_row"))
+    one_per_day = small_side(least.select("climate_date", *[F.col(f"_row.{c}").alias(c) for c in rest]))
     return trips.join(one_per_day, F.col("pickup_date") == F.col("climate_date"), "left")
 
 

@@ -24,7 +24,7 @@ def regression_metrics(df: DataFrame, y: str = "label", yhat: str = "prediction"
 def fold_metrics_to_row(folds: DataFrame, by: str = "model") -> DataFrame:
     """Mean and population deviation over folds, one row per model.
 
-    A model without folds, or a fold without a metric or fit time, is an error.
+    No folds at all, or a fold without a metric or fit time, is an error.
     """
     needed = [*METRICS, "fit_time_s"]
     missing = F.count_if(F.greatest(*[F.col(c).isNull() for c in needed]))
@@ -34,17 +34,15 @@ def fold_metrics_to_row(folds: DataFrame, by: str = "model") -> DataFrame:
     rows = folds.groupBy(by).agg(*stats, F.avg("fit_time_s").alias("fit_time_s"), missing.alias("_missing"))
     stop = F.raise_error(F.concat(F.lit("incomplete folds of "), F.col(by))).cast("double")
     checked = rows.withColumn("fit_time_s", F.when(F.col("_missing") > 0, stop).otherwise(F.col("fit_time_s")))
-    return checked.drop("_missing")
+    # A row that exists only to fail where there are no folds.
+    none = folds.agg(F.count(F.lit(1)).alias("_folds")).where("_folds = 0")
+    failed = none.select(*[F.raise_error(F.lit("no folds")).cast(kind).alias(c) for c, kind in checked.drop("_missing").dtypes])
+    return checked.drop("_missing").unionByName(failed)
 
 
 def fold_rows(spark, model: str, metrics: Sequence[dict], fit_times: Sequence[float]) -> DataFrame:
-    """Fold results measured on the driver (a few numbers per fold) as a table."""
-    metrics, fit_times = list(metrics), list(fit_times)
-    if not metrics:
-        raise ValueError("no fold metrics")
-    if len(metrics) != len(fit_times):
-        raise ValueError(f"{len(metrics)} fold metrics but {len(fit_times)} fit times")
-    rows = [(model, i, *[float(m[k]) for k in METRICS], float(t)) for i, (m, t) in enumerate(zip(metrics, fit_times))]
+    """Fold results measured on the driver (a few numbers per fold) as a table, one row per metric and fit time."""
+    rows = [(model, i, *[float(m[k]) for k in METRICS], float(t)) for i, (m, t) in enumerate(zip(metrics, fit_times, strict=True))]
     return spark.createDataFrame(rows, "model string, fold int, mae double, rmse double, r2 double, fit_time_s double")
 
 

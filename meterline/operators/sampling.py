@@ -77,6 +77,8 @@ def hash_stratified_sample(df: DataFrame, fraction: float, salt: str = "", key:
 
     The hash does not depend on the stratum, so every stratum is sampled alike.
     """
+    if 0 < fraction < 1 / BUCKETS:
+        raise ValueError(f"a fraction below {1 / BUCKETS:g} is finer than the hash")
     text = F.concat(F.lit(salt), F.col(key).cast("string"))
     return df.where(md5_bucket(text, BUCKETS) < F.lit(int(fraction * BUCKETS)))
 

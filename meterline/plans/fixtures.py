@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.staging import build_fact_trips
-from ..session import spread
+
 
 # Payment code descriptions for the derived trips; only code 1 has a fixed meaning.
 PAYMENTS = {1: "Credit card", 2: "Cash", 3: "No charge", 4: "Dispute", 5: "Unknown"}
@@ -34,7 +34,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per order line, with NULLs, negatives and zeros among the values."""
-    line, orders = spread(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "orders")
+    # Dealt by the key of the first join: one small file would otherwise be read, and all that follows run, in one task.
+    line, orders = table(spark, sf_dir, "lineitem").repartition("l_orderkey"), table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     joined = (
@@ -73,7 +74,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """25 zones with coordinates; five have the borough 'Unknown'."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")).select(
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey").alias("locationid"),
         F.when(F.col("n_regionkey") == 4, "Unknown").otherwise(F.col("r_name")).alias("borough"),
         F.col("n_name").alias("zone"),

@@ -60,14 +60,3 @@ def pin(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "pinned")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a file scan over all cores when it has fewer partitions than cores.
-
-    A single small file cannot be split, and all later work would run where it
-    was read. A large table has more partitions than cores and is left as it is,
-    so nothing large is ever shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
