@@ -20,8 +20,9 @@ from ..operators import encoding as M, metrics as R, quality as N
 from ..operators.filters import derive_and_guard
 from ..operators.sampling import md5_bucket
 from ..operators.splits import fold_split, union_all
-from ..plans import fixtures as X
-from ..session import pin
+from ..plans import fixtures as X, modelling as J
+from ..session import pin, scratch_path
+from ..sources.writers import ScoreExists
 from .core import NEEDS, VIEWS, query
 from .helpers import rounded
 
@@ -368,3 +369,33 @@ def m25(spark, sf):
 def m27(spark, sf):
     predictions, _ = V.oof_predictions(pin(enc(spark, sf)), one_feature(), 5)
     return rounded(predictions.select("tripid", "fold", "prediction"))
+
+
+@query("m27_diagnose", f"""
+with {FOLD_FIT.strip()}, long as (
+  select 'pickup_borough' as slice, pickup_borough as value, fare_capped, prediction from preds
+  union all select 'service_type', service_type, fare_capped, prediction from preds
+  union all select 'hour', cast(hour(pickup_datetime) as varchar), fare_capped, prediction from preds)
+select slice, value, count(*) as rows, round(avg(abs(fare_capped - prediction)), 4) as mae, round(sqrt(avg(pow(fare_capped - prediction, 2))), 4) as rmse from long group by 1, 2""", "enc")
+def m27b(spark, sf):
+    e = pin(enc(spark, sf).withColumn("hour", F.hour("pickup_datetime")))
+    return rounded(J.diagnose(e, one_feature(), ["pickup_borough", "service_type", "hour"]).drop("r2"))
+
+
+@query("m24_score_job", f"""
+with o as (select *, row_number() over (partition by service_type order by md5(tripid)) as k, count(*) over (partition by service_type) as n from enc where pickup_datetime < timestamp '1999-01-01'),
+parts as (select *, case when k <= round(0.2 * n) then 'holdout' else 'train' end as part from o
+  union all select *, null, null, 'temporal' from enc where pickup_datetime >= timestamp '1999-01-01'),
+fit as (select regr_slope(fare_capped, trip_distance) as a, regr_intercept(fare_capped, trip_distance) as b from parts where part = 'train'),
+p as (select parts.*, a * trip_distance + b as prediction from parts, fit where part <> 'train')
+select part as set, count(*) as rows, {METRIC_SQL}, (select count(*) from parts) as sample, true as second_run_refused from p group by part""", "enc")
+def m24b(spark, sf):
+    parts = J.model_parts(enc(spark, sf), "1999-01-01 00:00:00", fraction=0.2, strata=["service_type"], key=["tripid"])
+    path = scratch_path(spark, "score")
+    scores = J.score_job(parts, one_feature(), path).where("grp is null").drop("grp", "fit_time_s")
+    try:
+        J.score_job(parts, one_feature(), path)
+        refused = False
+    except ScoreExists:
+        refused = True
+    return rounded(scores.withColumns({"sample": J.part_sizes(parts).select("sample").scalar(), "second_run_refused": F.lit(refused)}))
