@@ -17,10 +17,10 @@ from .. import constants as K
 from ..functions import trip_columns as C
 from ..ml import evaluation as V, stages as P
 from ..operators import encoding as M, metrics as R, quality as N
-from ..operators.filters import derive_and_guard
 from ..operators.sampling import md5_bucket
 from ..operators.splits import fold_split, union_all
 from ..plans import fixtures as X, modelling as J
+from ..plans.prep import prepared
 from ..session import pin, scratch_path
 from ..sources.writers import ScoreExists
 from .core import NEEDS, VIEWS, query
@@ -156,10 +156,8 @@ def m07(spark, sf):
 
 
 def feature_frame(spark, sf):
-    """The 15 features and the label, with a fold per trip, kept for repeated fits."""
-    guarded = derive_and_guard(X.fact(spark, sf))
-    base = guarded.withColumns({"fare_capped": F.col("fare_amount"), "distance_capped": F.col("trip_distance")})
-    with_fold = base.withColumn("fold", md5_bucket(F.concat(F.lit("o"), "tripid"), 3).cast("int"))
+    """The 15 features and the label of the capped sample, with a fold per trip, kept for repeated fits."""
+    with_fold = prepared(X.fact(spark, sf)).withColumn("fold", md5_bucket(F.concat(F.lit("o"), "tripid"), 3).cast("int"))
     features = C.build_features(with_fold.select(*K.MODEL_COLUMNS, "fold"))
     return pin(features)
 
