@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from meterline.llm import mixing, odd_sketch, packing, quality, suffix_dedup
+from meterline.llm.ship import ship
 from meterline.session import pin
 
 
@@ -21,11 +22,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each near-duplicate group."""
+    ship(spark)
     return odd_sketch.drop_near_duplicates(docs)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the strings of 200 bytes that occur twice or more."""
+    ship(spark)
     return suffix_dedup.without_repeats(docs)
 
 
@@ -36,6 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and offset."""
+    ship(spark)
     return packing.pack_documents(docs)
 
 
