@@ -10,9 +10,10 @@ is built in two stages: suffixes smaller than their successors are sorted, the
 others follow by scans of the buckets. Windows whose neighbours in the array
 share WIDTH bytes occur elsewhere.
 
-An anchor with very many different contexts is not put into one batch: its
-windows are counted by digest instead, with counts that combine before the
-shuffle.
+A group whose different contexts outgrow a batch has its windows ordered by
+hash instead of content. An anchor that occurs very often is not put into one
+task at all: its windows are counted by digest, with counts that combine before
+the shuffle.
 """
 
 from __future__ import annotations
@@ -32,9 +33,9 @@ from .hashing import byte_windows, leftmost_minima, runs
 
 WIDTH = 200
 ANCHOR = 64
-BATCH_BYTES = 1 << 21       # text of one suffix array
-HOT_CONTEXTS = 20_000       # occurrences of an anchor beyond which its windows go by digest
-BLOCK_BYTES = 1 << 23       # text within which equal contexts are merged before the shuffle
+BATCH_BYTES = 1 << 20       # text of one suffix array
+HOT_CONTEXTS = 200_000      # occurrences of an anchor beyond which its windows go by digest
+BLOCK_BYTES = 1 << 22       # text within which equal contexts are merged before the shuffle
 SEGMENT = 1 << 26           # longer texts are cut into overlapping segments when hashed
 CAPTION = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
@@ -163,7 +164,7 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     larger_upto = np.cumsum(np.bincount(text[larger], minlength=symbols))
     final = np.empty(n, np.int64)
     final[at] = rank + larger_upto[text[at]]
-    by_symbol = larger[np.argsort(text[larger], kind="stable")]
+    by_symbol = larger[np.argsort(text[larger].astype(np.uint16), kind="stable")]
     edges = np.concatenate([[0], larger_upto])
     in_bucket = text[1:] == text[:-1]
     for c in range(symbols):
@@ -172,7 +173,7 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
         level = own[~in_bucket[own]]
         while len(level):
             successor = final[level + 1]
-            order = np.argsort(successor, kind="stable")
+            order = np.argsort(successor)
             ranked = successor[order]
             spot = np.arange(len(order))
             fresh = np.ones(len(order), bool)
@@ -182,7 +183,7 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
             before = level - 1
             before = before[before >= 0]
             level = before[(text[before] == c) & ~smaller[before]]
-    return np.argsort(final, kind="stable")
+    return np.argsort(final)
 
 
 def shared_prefix(data: np.ndarray, a: np.ndarray, b: np.ndarray, width: int) -> np.ndarray:
@@ -203,15 +204,21 @@ def shared_prefix(data: np.ndarray, a: np.ndarray, b: np.ndarray, width: int) ->
     return out
 
 
-def repeated_windows(contexts: list[bytes], width: int) -> list[np.ndarray]:
-    """For each of the different contexts, whether each of its windows also starts elsewhere in them."""
+def repeated_windows(contexts: list[bytes], width: int, by_hash: bool = False) -> list[np.ndarray]:
+    """For each of the different contexts, whether each of its windows also starts elsewhere in them.
+
+    Neighbours are compared in the order of the suffix array, or of the windows' hashes.
+    """
     joined = b"\0".join(contexts) + b"\0"
     data = np.frombuffer(joined, np.uint8)
     lengths = np.array([len(c) for c in contexts])
     begins = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
-    text = data.astype(np.int64) + 1
-    text[begins + lengths] = 0
-    order = suffix_order(text, width)
+    if by_hash:
+        order = np.argsort(byte_windows(data, width))
+    else:
+        text = data.astype(np.int64) + 1
+        text[begins + lengths] = 0
+        order = suffix_order(text, width)
     room = np.repeat(begins + lengths, lengths + 1) - np.arange(len(data))
     order = order[room[order] >= width]
     found = np.zeros(len(data), bool)
@@ -268,10 +275,11 @@ def covered(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, batch_byt
         for batch, block in text_blocks(batches, "text", BLOCK_BYTES):
             met: dict[tuple, list] = {}
             hits = batch.column("hits")
+            ends = hits.offsets.to_numpy()
+            fields = [hits.values.field(c).to_pylist() for c in ("lo", "n", "h", "hot")]
             for i, (doc, tag, text) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("tag").to_pylist(), block)):
-                for hit in hits[i].as_py():
-                    lo, n, h = hit["lo"], hit["n"], hit["h"]
-                    pieces = [(1, lo, text[lo:lo + n + width - 1])] if not hit["hot"] else [(2, s, text[s:s + width]) for s in range(lo, lo + n)]
+                for lo, n, h, is_hot in zip(*(f[ends[i]:ends[i + 1]] for f in fields)):
+                    pieces = [(1, lo, text[lo:lo + n + width - 1])] if not is_hot else [(2, s, text[s:s + width]) for s in range(lo, lo + n)]
                     for kind, start, piece in pieces:
                         met.setdefault((kind, h, piece if kind == 1 else xxhash.xxh128_digest(piece)), []).append((doc, tag, start, start + len(piece)))
             out = {f.name: [] for f in schema}
@@ -287,7 +295,7 @@ def covered(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, batch_byt
                         add(0, xxhash.xxh64_intdigest(b"%d %d" % (doc, lo)) - (1 << 63), 0, doc, tag, lo, hi, True, None)
                 doc, tag, lo, hi = places[0]
                 if kind == 1:
-                    add(1, h, xxhash.xxh64_intdigest(piece) - (1 << 63), doc, tag, lo, hi, many, piece)
+                    add(1, h, 0, doc, tag, lo, 0, many, piece)
                 else:
                     a, b = np.frombuffer(piece, np.int64).tolist()
                     add(2, a, b, doc, tag, lo, hi, many, None)
@@ -295,19 +303,38 @@ def covered(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, batch_byt
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Covered ranges of contexts that come in the order of their anchors."""
-        groups: dict[bytes, list] = {}
-        size, last = 0, None
-
-        def flush() -> pa.RecordBatch:
-            out = []
-            pieces = list(groups)
-            for piece, flags in zip(pieces, repeated_windows(pieces, width) if pieces else []):
-                places, many = groups[piece]
-                if many or len(places) > 1:
-                    flags = np.ones(len(piece) - width + 1, bool)
-                for doc, tag, lo in places:
-                    out += [(doc, tag, lo + a, lo + b) for a, b in _spans(flags, width)]
-            columns = list(zip(*out)) or [[]] * 4
+        found: list[tuple] = []
+        batch_groups: dict[bytes, list] = {}
+        group: dict[bytes, list] = {}  # of the present anchor: context to its places, and whether there are more
+        size, own_size, last = 0, 0, None
+
+        def cover(piece: bytes, entry: list, flags: np.ndarray) -> None:
+            spans = [(0, len(piece))] if entry[1] or len(entry[0]) > 1 else _spans(flags, width)
+            found.extend((doc, tag, lo + a, lo + b) for doc, tag, lo in entry[0] for a, b in spans)
+
+        def solve(entries: dict[bytes, list], by_hash: bool) -> None:
+            pieces = list(entries)
+            for piece, flags in zip(pieces, repeated_windows(pieces, width, by_hash) if pieces else []):
+                cover(piece, entries[piece], flags)
+
+        def close() -> None:
+            nonlocal group, own_size, batch_groups, size
+            if len(group) == 1:  # nothing to compare with
+                (piece, entry), = group.items()
+                cover(piece, entry, np.zeros(1, bool))
+            elif own_size > 4 * batch_bytes:
+                solve(group, True)
+            else:
+                batch_groups |= group
+                size += own_size
+                if size >= batch_bytes:
+                    solve(batch_groups, False)
+                    batch_groups, size = {}, 0
+            group, own_size = {}, 0
+
+        def out() -> pa.RecordBatch:
+            columns = list(zip(*found)) or [[]] * 4
+            found.clear()
             return record_batch(ranges, doc=columns[0], tag=columns[1], lo=columns[2], hi=columns[3])
 
         for batch in batches:
@@ -315,25 +342,28 @@ def covered(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, batch_byt
             if plain.num_rows:
                 yield record_batch(ranges, **{c: plain.column(c) for c in ("doc", "tag", "lo", "hi")})
             own = batch.filter(pa.compute.equal(batch.column("kind"), 1))
-            columns = [own.column(c).to_pylist() for c in ("h", "doc", "tag", "lo", "many")]
-            for (h, doc, tag, lo, many), piece in zip(zip(*columns), own.column("bytes").to_pylist()):
-                if h != last and size >= batch_bytes:
-                    yield flush()
-                    groups, size = {}, 0
-                last = h
-                if piece not in groups:
-                    groups[piece] = [[], False]
-                    size += len(piece)
-                groups[piece][0].append((doc, tag, lo))
-                groups[piece][1] |= many
-        if groups:
-            yield flush()
+            columns = [own.column(c).to_pylist() for c in ("h", "doc", "tag", "lo", "many", "bytes")]
+            for h, doc, tag, lo, many, piece in zip(*columns):
+                if h != last:
+                    close()
+                    last = h
+                entry = group.get(piece)
+                if entry is None:
+                    entry = group[piece] = [[], False]
+                    own_size += len(piece)
+                entry[0].append((doc, tag, lo))
+                entry[1] |= many
+            if found:
+                yield out()
+        close()
+        solve(batch_groups, False)
+        yield out()
 
     ranges = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
     range_type = "doc long, tag long, lo long, hi long"
     with_hits = texts.join(hits, ["doc", "tag"]).select("doc", "tag", "doc_id", "text", "hits")
     rows = with_hits.mapInArrow(contexts, row)
-    plain = rows.where("kind < 2").repartition(partitions, "h").sortWithinPartitions("h", "g")
+    plain = rows.where("kind < 2").repartition(partitions, "h").sortWithinPartitions("h")
     found = plain.mapInArrow(arrays, range_type)
     if not repeated.where(F.col("count") > hot).isEmpty():
         digests = pin(rows.where("kind = 2").select("h", "g", "doc", "tag", "lo", "hi", "many"))

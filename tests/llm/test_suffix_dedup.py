@@ -55,8 +55,9 @@ def test_repeated_windows(seed):
     contexts = list({bytes(rng.choices(b"abc", k=rng.randrange(0, 30))) + common[rng.randrange(20):rng.randrange(30, 61)] + bytes(rng.choices(b"ab", k=30)) for _ in range(40)})
     width = 20
     seen = Counter(c[i:i + width] for c in contexts for i in range(len(c) - width + 1))
-    got = suffix_dedup.repeated_windows(contexts, width)
-    assert [g.tolist() for g in got] == [[seen[c[i:i + width]] > 1 for i in range(len(c) - width + 1)] for c in contexts]
+    for by_hash in (False, True):
+        got = suffix_dedup.repeated_windows(contexts, width, by_hash)
+        assert [g.tolist() for g in got] == [[seen[c[i:i + width]] > 1 for i in range(len(c) - width + 1)] for c in contexts]
 
 
 def brute(rows, width):
@@ -95,6 +96,7 @@ def test_removal_in_small_batches_and_hot_anchors(spark, odd_rows, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 500)
     monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 2000)
     check(spark, odd_rows + passages(random.Random(2)), batch_bytes=3000, hot=5)
+    check(spark, odd_rows + passages(random.Random(2)), batch_bytes=300)
 
 
 def test_other_widths(spark):
