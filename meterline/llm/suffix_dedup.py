@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import pin
@@ -37,7 +37,6 @@ BATCH_BYTES = 1 << 20       # text of one suffix array
 HOT_CONTEXTS = 200_000      # occurrences of an anchor beyond which its windows go by digest
 BLOCK_BYTES = 1 << 22       # text within which equal contexts are merged before the shuffle
 SEGMENT = 1 << 26           # longer texts are cut into overlapping segments when hashed
-CAPTION = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
 
 def anchored(texts: list[bytes], width: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -239,14 +238,18 @@ def _spans(flags: np.ndarray, width: int) -> list[tuple[int, int]]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, its stand-in without nulls, a hash of the text, and the text."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    doc = F.col("doc_id").cast("long")
-    return docs.select(F.coalesce(doc, F.lit(-(1 << 63))).alias("doc"), F.xxhash64(text).alias("tag"), doc.alias("doc_id"), text.alias("text"))
+    """doc_id, its stand-in (for null, a hash of the text), a short hash of the text, and the text."""
+    text, doc = F.coalesce(F.col("text").cast("string"), F.lit("")), F.col("doc_id").cast("long")
+    return docs.select(*_names(doc, text), doc.alias("doc_id"), text.alias("text"))
+
+
+def _names(doc: Column, text: Column) -> tuple[Column, Column]:
+    """``doc`` and ``tag``, which name a row; rows that share both have one text."""
+    return F.coalesce(doc, F.xxhash64(text)).alias("doc"), F.hash(text).alias("tag")
 
 
 def _anchors(keyed: DataFrame, width: int, anchor: int) -> DataFrame:
-    schema = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("h", pa.int64()), ("lo", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("doc", pa.int64()), ("tag", pa.int32()), ("h", pa.int64()), ("lo", pa.int64()), ("n", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_blocks(batches, "text"):
@@ -255,7 +258,7 @@ def _anchors(keyed: DataFrame, width: int, anchor: int) -> DataFrame:
             yield record_batch(schema, doc=batch.column("doc").take(at), tag=batch.column("tag").take(at), h=hashes, lo=lo, n=n)
 
     long_enough = keyed.where(F.octet_length("text") >= width).select("doc", "tag", "text")
-    return long_enough.mapInArrow(cut, "doc long, tag long, h long, lo long, n long")
+    return long_enough.mapInArrow(cut, "doc long, tag int, h long, lo long, n long")
 
 
 def covered(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, batch_bytes: int = BATCH_BYTES, hot: int = HOT_CONTEXTS) -> DataFrame:
@@ -268,8 +271,8 @@ def covered(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, batch_byt
     # Both uses of the texts read one exchange.
     texts = source.repartition(partitions, "doc", "tag")
     # kind 0: a covered range; 1: a context, filed under its anchor; 2: a window of a hot anchor, by digest.
-    schema = pa.schema([("kind", pa.int32()), ("h", pa.int64()), ("g", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("many", pa.bool_()), ("bytes", pa.binary())])
-    row = "kind int, h long, g long, doc long, tag long, lo long, hi long, many boolean, bytes binary"
+    schema = pa.schema([("kind", pa.int32()), ("h", pa.int64()), ("g", pa.int64()), ("doc", pa.int64()), ("tag", pa.int32()), ("lo", pa.int64()), ("hi", pa.int64()), ("many", pa.bool_()), ("bytes", pa.binary())])
+    row = "kind int, h long, g long, doc long, tag int, lo long, hi long, many boolean, bytes binary"
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, block in text_blocks(batches, "text", BLOCK_BYTES):
@@ -292,7 +295,7 @@ def covered(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, batch_byt
                 many = len(places) > 1
                 if many:  # repeated already here; one stands for all elsewhere
                     for doc, tag, lo, hi in places:
-                        add(0, xxhash.xxh64_intdigest(b"%d %d" % (doc, lo)) - (1 << 63), 0, doc, tag, lo, hi, True, None)
+                        add(0, doc, 0, doc, tag, lo, hi, True, None)
                 doc, tag, lo, hi = places[0]
                 if kind == 1:
                     add(1, h, 0, doc, tag, lo, 0, many, piece)
@@ -359,8 +362,8 @@ def covered(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, batch_byt
         solve(batch_groups, False)
         yield out()
 
-    ranges = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
-    range_type = "doc long, tag long, lo long, hi long"
+    ranges = pa.schema([("doc", pa.int64()), ("tag", pa.int32()), ("lo", pa.int64()), ("hi", pa.int64())])
+    range_type = "doc long, tag int, lo long, hi long"
     with_hits = texts.join(hits, ["doc", "tag"]).select("doc", "tag", "doc_id", "text", "hits")
     rows = with_hits.mapInArrow(contexts, row)
     plain = rows.where("kind < 2").repartition(partitions, "h").sortWithinPartitions("h")
@@ -424,7 +427,7 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
     found = covered(docs, **options).where("spans is not null").groupBy("doc", "tag").agg(F.any_value("spans").alias("spans"))
     text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
     rows = docs.select(F.struct("*").alias("row"))
-    rows = rows.select("row", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64(text).alias("tag"))
+    rows = rows.select("row", *_names(F.col("row.doc_id").cast("long"), text))
     joined = rows.join(found, ["doc", "tag"], "left")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
