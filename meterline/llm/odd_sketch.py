@@ -2,9 +2,10 @@
 
 Documents with the same shingle set are one node, named by a 64-bit hash of
 the set (among ten billion sets, about three pairs share one). Band buckets link their
-nodes to the least node of the bucket first; only where a bucket still holds
-several components are the remaining pairs compared, block by block, by the
-sketches. No bucket is gathered whole and no group is expanded into all pairs.
+nodes to one hub first, the node that shares most buckets. Only where a bucket
+still holds several components are the remaining pairs compared, block by
+block, and only links that join components come out. No bucket is gathered
+whole and no group is expanded into all pairs.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ PERCENT = 75        # least similarity, in percent
 BANDS, ROWS = 32, 3  # a pair at 0.75 shares no band once in 40 million
 SKETCH_BITS = 512
 SCREEN = 0.45       # sketches estimating less are no candidates; 0.3 below the threshold is over six standard errors
-BLOCK = 512         # nodes of a bucket that are compared together
+BLOCK = 256         # nodes of a bucket that are compared together
 _WORDS = SKETCH_BITS // 64
 
 
@@ -115,56 +116,91 @@ def _close(a: str, b: str):
     return bits <= largest_distance()
 
 
-def confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose full shingle sets are similar enough.
-
-    Sets are made anew from the texts of one row of each node in a pair.
-    """
-    in_pairs = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = nodes.join(in_pairs, "node").select("node", F.col("row.doc_id").alias("w_doc"), F.col("row.tag").alias("w_tag"))
-    texts = _identified(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.col("tag") == F.col("w_tag")), "left_semi")
+def node_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Full shingle set of each node in ``wanted(node)``, made anew from the text of one of its rows."""
+    rows = nodes.join(wanted, "node").select("node", F.col("row.doc_id").alias("w_doc"), F.col("row.tag").alias("w_tag"))
+    texts = _identified(docs).join(rows, F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.col("tag") == F.col("w_tag")), "left_semi")
     made = _shingles(texts)
-    sets = made.join(wanted, made.doc_id.eqNullSafe(F.col("w_doc")) & (made.tag == F.col("w_tag"))).groupBy("node").agg(F.any_value("shingles").alias("shingles"))
-    sets = pin(sets)
+    sets = made.join(rows, made.doc_id.eqNullSafe(F.col("w_doc")) & (made.tag == F.col("w_tag")))
+    return sets.groupBy("node").agg(F.any_value("shingles").alias("shingles"))
+
+
+def confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose full shingle sets are similar enough."""
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = pin(node_sets(docs, nodes, wanted))
     left = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     both = left.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(100 * common >= PERCENT * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
-def _rest(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Sketch-close pairs of different components that share a bucket, compared block by block."""
-    at = buckets.join(roots, "node", "left").select("band", "node", "sketch", F.coalesce("root", "node").alias("root"))
+class _Block:
+    """Nodes of a bucket that are compared with those of another block."""
+
+    def __init__(self, rows: pa.StructArray) -> None:
+        self.nodes, self.roots = rows.field("node").to_numpy(), rows.field("root").to_numpy()
+        self.sketches = rows.field("sketch").flatten().to_numpy().reshape(len(rows), -1).view(np.uint64)
+        self.bands = rows.field("bands").flatten().to_numpy().reshape(len(rows), -1)
+        sets = rows.field("shingles")
+        self.sizes = sets.value_lengths().to_numpy()
+        self.sets = np.split(sets.flatten().to_numpy(), np.cumsum(self.sizes)[:-1])
+
+
+def joining_links(band: int, x: _Block, y: _Block) -> list[tuple[int, int]]:
+    """Links between two blocks of one bucket that join different components; none that follows from others.
+
+    A pair is compared only in the first of its common bands.
+    """
+    above: dict[int, int] = {}
+
+    def find(r: int) -> int:
+        while above.get(r, r) != r:
+            r = above[r]
+        return r
+
+    most, out = largest_distance(), []
+    for k, node in enumerate(x.nodes.tolist()):
+        far = np.bitwise_count(y.sketches ^ x.sketches[k]).sum(axis=1)
+        maybe = np.flatnonzero((far <= most) & (y.roots != x.roots[k]))
+        if len(maybe):
+            same = y.bands[maybe] == x.bands[k]
+            maybe = maybe[y.bands[maybe, same.argmax(axis=1)] == band]
+        mine = find(int(x.roots[k]))
+        maybe = [j for j in maybe.tolist() if find(int(y.roots[j])) != mine]
+        if not maybe:
+            continue
+        inside = np.isin(np.concatenate([y.sets[j] for j in maybe]), x.sets[k], kind="sort")
+        common = np.add.reduceat(inside, np.concatenate([[0], np.cumsum(y.sizes[maybe])[:-1]]))
+        close = 100 * common >= PERCENT * (x.sizes[k] + y.sizes[maybe] - common)
+        for j in np.array(maybe)[close].tolist():
+            one, other = find(int(x.roots[k])), find(int(y.roots[j]))
+            if one != other:
+                above[one] = other
+                out.append((node, int(y.nodes[j])))
+    return out
+
+
+def _rest(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links (a, b) between different components that share a bucket, compared block by block."""
+    at = buckets.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
     split = at.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
     blocks = split.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    members = at.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    packed = pin(members.groupBy("band", "blocks", "block").agg(F.collect_list(F.struct("node", "root", "sketch")).alias("rows")))
-    left = packed.select("band", F.col("block").alias("i"), F.col("rows").alias("left_rows"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("block"))
+    members = pin(at.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    sets = node_sets(docs, nodes, members.select("node").distinct())
+    known = pin(sets.join(nodes.select("node", "sketch", "bands"), "node"))
+    packed = pin(members.join(known, "node").groupBy("band", "blocks", "block").agg(F.collect_list(F.struct("node", "root", "sketch", "bands", "shingles")).alias("rows")))
+    left = packed.select("band", F.col("rows").alias("left_rows"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("block"))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    most = largest_distance()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def parts(rows: list[dict]) -> tuple:
-            roots = {}
-            named = [roots.setdefault(r["root"], len(roots)) for r in rows]
-            return [r["node"] for r in rows], np.array([r["sketch"] for r in rows], np.int64).view(np.uint64), roots, np.array(named)
-
         for batch in batches:
-            for x, y in zip(batch.column("left_rows"), batch.column("rows")):
-                na, sa, ra, ia = parts(x.as_py())
-                nb, sb, rb, ib = parts(y.as_py())
-                same = np.array([rb.get(r, -1) for r in ra])[ia]
-                out_a, out_b = [], []
-                for k in range(len(na)):
-                    far = np.bitwise_count(sb ^ sa[k]).sum(axis=1)
-                    for j in np.flatnonzero((far <= most) & (ib != same[k])):
-                        out_a.append(na[k])
-                        out_b.append(nb[int(j)])
-                yield record_batch(schema, a=out_a, b=out_b)
-
-    joined = left.join(packed.select("band", "block", "rows"), ["band", "block"]).select("left_rows", "rows")
-    found = joined.mapInArrow(compare, "a long, b long")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            for band, x, y in zip(batch.column("band").to_pylist(), batch.column("left_rows"), batch.column("rows")):
+                links = joining_links(band, _Block(x.values), _Block(y.values))
+                yield record_batch(schema, a=[a for a, _ in links], b=[b for _, b in links])
+
+    joined = left.join(packed.select("band", "block", "rows"), ["band", "block"]).select("band", "left_rows", "rows")
+    return joined.mapInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -183,10 +219,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = pin(sets.select(F.col("key").alias("node"), "n_shingles", "row", "bands", "sketch"))
 
     bands = nodes.select("node", F.explode("bands").alias("band"))
-    hubs = bands.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub != last").select("band", "hub")
-    shared = pin(bands.join(hubs, "band"))
+    several = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    shared = pin(bands.join(several, "band"))
+    # The original of many copies shares more buckets with them than they do among themselves.
+    degrees = shared.groupBy("node").agg(F.sum("n").alias("degree"))
+    ranked = pin(shared.join(degrees, "node").select("band", "node", F.struct(F.col("degree"), F.col("node").alias("hub")).alias("at")))
+    hubs = ranked.groupBy("band").agg(F.max("at").alias("at")).select("band", "at.hub")
     sketches = nodes.select("node", "sketch")
-    pairs = shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = shared.join(hubs, "band").where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     near = (
         pairs.join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
         .join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
@@ -195,11 +235,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = pin(confirm(docs, nodes, tried))
     roots = pin(components(links))
 
-    rest = _rest(shared.select("band", "node").join(sketches, "node"), roots)
-    rest = pin(rest.join(tried, ["a", "b"], "left_anti"))
+    rest = pin(_rest(docs, nodes, shared.select("band", "node"), roots))
     if not rest.isEmpty():
-        links = pin(links.unionByName(confirm(docs, nodes, rest)))
-        roots = pin(components(links))
+        roots = pin(components(links.unionByName(rest)))
 
     linked = nodes.select("node", "row.order").join(roots, "node")
     least = linked.groupBy("root").agg(F.min("order").alias("least"))
