@@ -36,10 +36,10 @@ _NO_DOC = -(1 << 63)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, its stand-in without nulls, a hash of the text, and the text."""
+    """doc_id, its stand-in (for null, a hash of the text), whether there is an id, a short hash of the text, and the text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     doc = F.col("doc_id").cast("long")
-    return docs.select(F.coalesce(doc, F.lit(_NO_DOC)).alias("doc"), F.xxhash64(text).alias("tag"), doc.alias("doc_id"), text.alias("text"))
+    return docs.select(F.coalesce(doc, F.xxhash64(text)).alias("doc"), doc.isNotNull().alias("known"), F.hash(text).alias("tag"), doc.alias("doc_id"), text.alias("text"))
 
 
 def _windows(texts: list[bytes], hashes: WordHashes, width: int, anchor: int) -> tuple[np.ndarray, ...]:
@@ -69,47 +69,45 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
+_ROW = "kind int, key long, doc long, tag int, lo int"
+_ROW_SCHEMA = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("tag", pa.int32()), ("lo", pa.int32())])
+
+
 def _elsewhere(rows: DataFrame, partitions: int, with_first_row: bool) -> DataFrame:
-    """Rows ``(kind, key, doc, tag, lo, first)`` whose key other documents have.
+    """Rows ``(kind, key, doc, tag, lo)`` whose key a smaller doc has.
 
-    Rows of kind 0 are known to recur and pass. Of the others, those after the
-    least doc of their key come out, with that doc as ``first``; and the first
-    row itself, if asked for, once there is another (or its ``lo`` says that
+    Rows of kind 0 are known to recur and pass. The first row of a key comes
+    out as well if asked for, once there is another (or its ``lo`` says that
     its block has others). Rows come in order, so one row is all that is held.
     """
-    schema = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("key", pa.int64()), ("lo", pa.int64()), ("first", pa.int64())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the last key's first row, and whether it is out
         for batch in batches:
-            kind, key, doc, tag, lo, first = (batch.column(c).to_numpy() for c in ("kind", "key", "doc", "tag", "lo", "first"))
-            known = kind == 0
-            out = [[x[known] for x in (doc, tag, key, lo, first)]]
-            key, doc, tag, lo, first = (x[~known] for x in (key, doc, tag, lo, first))
-            if len(key):
+            columns = [batch.column(c).to_numpy() for c in _ROW_SCHEMA.names]
+            fresh = columns[0] != 0
+            out = [[x[~fresh] for x in columns]]
+            columns = [x[fresh] for x in columns]
+            if len(columns[0]):
                 done = False
                 if held is not None:
                     row, done = held
-                    key, doc, tag, lo, first = (np.insert(x, 0, v) for x, v in zip((key, doc, tag, lo, first), row))
+                    columns = [np.insert(x, 0, v) for x, v in zip(columns, row)]
+                _, key, doc, _, lo = columns
                 start = np.maximum.accumulate(np.where(_changes(key), np.arange(len(key)), 0))
-                sizes = np.bincount(start, minlength=len(key))
                 if with_first_row:
-                    take = (sizes[start] > 1) | (lo == 1)
+                    take = (np.bincount(start, minlength=len(key))[start] > 1) | (lo == 1)
                     take[0] &= not (held is not None and done)
                 else:
                     take = doc > doc[start]
-                out.append([x[take] for x in (doc, tag, key, lo, doc[start])])
+                out.append([x[take] for x in columns])
                 at = int(start[-1])
-                held = ([x[at] for x in (key, doc, tag, lo, first)], bool(take[at]) or (at == 0 and done))
-            columns = [np.concatenate(x) for x in zip(*out)]
-            yield record_batch(schema, **dict(zip(schema.names, columns)))
-
-    ordered = rows.repartition(partitions, "key").sortWithinPartitions("kind", "key", "doc")
-    return ordered.mapInArrow(read, "doc long, tag long, key long, lo long, first long")
+                held = ([x[at] for x in columns], bool(take[at]) or (at == 0 and done))
+            yield record_batch(_ROW_SCHEMA, **dict(zip(_ROW_SCHEMA.names, (np.concatenate(x) for x in zip(*out)))))
 
-
-_ROW = "kind int, key long, doc long, tag long, lo long, first long"
-_ROW_SCHEMA = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()), ("lo", pa.int64()), ("first", pa.int64())])
+    # Known rows need no company, so the copies of a frequent key spread by doc.
+    ordered = rows.repartition(partitions, F.when(F.col("kind") == 0, F.col("doc")).otherwise(F.col("key"))).sortWithinPartitions("kind", "key", "doc")
+    return ordered.mapInArrow(read, _ROW)
 
 
 def _anchor_rows(keyed: DataFrame, width: int, anchor: int) -> DataFrame:
@@ -120,22 +118,16 @@ def _anchor_rows(keyed: DataFrame, width: int, anchor: int) -> DataFrame:
         for batch, texts in text_blocks(batches, "text", BLOCK_BYTES):
             _, _, key, owner, _, place = _windows(texts, hashes, width, anchor)
             begin, _ = runs(place)
-            key, owner = key[begin], owner[begin]
-            doc, tag = batch.column("doc").to_numpy()[owner], batch.column("tag").to_numpy()[owner]
-            order = np.lexsort((tag, doc, key))
-            key, doc, tag = key[order], doc[order], tag[order]
-            fresh = _changes(key, doc, tag)
-            key, doc, tag = key[fresh], doc[fresh], tag[fresh]
+            key, doc = key[begin], batch.column("doc").to_numpy()[owner[begin]]
+            order = np.lexsort((doc, key))
+            key, doc = key[order], doc[order]
+            fresh = _changes(key, doc)
+            key, doc = key[fresh], doc[fresh]
             least = _changes(key)
             several = np.append(~least[1:], False) if len(key) else least
-            salted = mix(key.view(np.uint64) + doc.view(np.uint64) * np.uint64(3) + tag.view(np.uint64)).view(np.int64)
-            # Known rows keep the anchor in ``first``, as ``lo`` 2 tells; their key only spreads them.
-            yield record_batch(
-                _ROW_SCHEMA, kind=least.astype(np.int32), key=np.where(least, key, salted), doc=doc, tag=tag,
-                lo=np.where(least, several.astype(np.int64), 2), first=key,
-            )
+            yield record_batch(_ROW_SCHEMA, kind=least.astype(np.int32), key=key, doc=doc, tag=np.zeros(len(key), np.int32), lo=several.astype(np.int32))
 
-    return keyed.where(F.col("doc") != _NO_DOC).select("doc", "tag", "text").mapInArrow(cut, _ROW)
+    return keyed.where("known").select("doc", "text").mapInArrow(cut, _ROW)
 
 
 def _window_rows(texts: DataFrame, width: int, anchor: int) -> DataFrame:
@@ -148,12 +140,10 @@ def _window_rows(texts: DataFrame, width: int, anchor: int) -> DataFrame:
             every, first_word, key, owner, at, _ = _windows(block, hashes, width, anchor)
             hits = batch.column("hits")
             offsets = hits.offsets.to_numpy()
-            flat = hits.values.to_numpy()
             # A window is a candidate if its anchor is a hit of its own row.
             row_of = np.repeat(np.arange(len(block)), np.diff(offsets))
-            mine = mix(flat[offsets[0]:offsets[-1]].view(np.uint64) ^ (row_of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-            asked = mix(key.view(np.uint64) ^ (owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-            chosen = np.flatnonzero(np.isin(asked, mine))
+            own = lambda h, row: mix(h.view(np.uint64) ^ (row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+            chosen = np.flatnonzero(np.isin(own(key, owner), own(hits.values.to_numpy()[offsets[0]:offsets[-1]], row_of)))
             at, owner = at[chosen], owner[chosen]
             digest = np.zeros(len(at), np.uint64)
             for j in range(width):
@@ -163,37 +153,31 @@ def _window_rows(texts: DataFrame, width: int, anchor: int) -> DataFrame:
             order = np.lexsort((doc, key))
             key, doc, tag, lo = key[order], doc[order], tag[order], lo[order]
             least = doc[np.maximum.accumulate(np.where(_changes(key), np.arange(len(key)), 0))]
-            later = doc > least
-            salted = mix(key.view(np.uint64) + doc.view(np.uint64) * np.uint64(3) + lo.view(np.uint64)).view(np.int64)
-            yield record_batch(_ROW_SCHEMA, kind=(~later).astype(np.int32), key=np.where(later, salted, key), doc=doc, tag=tag, lo=lo, first=least)
+            # The key of a known row is of no more use.
+            yield record_batch(_ROW_SCHEMA, kind=(doc == least).astype(np.int32), key=np.where(doc > least, 0, key), doc=doc, tag=tag, lo=lo)
 
     return texts.mapInArrow(cut, _ROW)
 
 
-def _passages(found: list[dict], width: int) -> list[tuple[int, int, int]]:
-    """Maximal runs of windows as (first word, end word, greatest first doc), in pieces of bounded length."""
-    if not found:
-        return []
-    lo = np.array([x["lo"] for x in found])
-    order = np.argsort(lo, kind="stable")
-    lo, first = lo[order], np.array([x["first"] for x in found])[order]
+def _passages(found: np.ndarray, width: int) -> list[tuple[int, int]]:
+    """Maximal runs of windows as (first word, end word), in pieces of bounded length."""
+    lo = np.sort(found)
     cut = np.flatnonzero(np.diff(lo) > 1) + 1
     out = []
-    for a, b in zip(np.append(0, cut), np.append(cut, len(lo))):
-        begin, last = int(lo[a]), int(lo[b - 1])
+    for begin, last in zip(lo[np.append(0, cut)].tolist(), lo[np.append(cut, len(lo)) - 1].tolist()) if len(lo) else []:
         while begin <= last:
             end = min(last, begin + PIECE_WORDS)
-            inside = (lo[a:b] >= begin) & (lo[a:b] <= end)
-            out.append((begin, end + width, int(first[a:b][inside].max())))
+            out.append((begin, end + width))
             begin = end + 1
     return out
 
 
 def locate(words: list[list[str]], docs: list[int], passages: dict[str, int]) -> list[np.ndarray]:
-    """Which words of each document lie in an occurrence of a passage whose first doc is smaller.
+    """Which words of each document lie in an occurrence of a passage that is confirmed for it.
 
-    ``passages`` maps words with one space before, between and behind them to
-    that doc. Automata are compiled for a bounded number of characters each.
+    ``passages`` maps words, with one space before, between and behind them, to
+    the least doc for which they are confirmed; larger docs have the same
+    earlier ones. Automata are compiled for a bounded number of characters each.
     """
     marks = [np.zeros(len(w) + 1, np.int64) for w in words]
     normal = [" " + " ".join(w) + " " for w in words]
@@ -208,7 +192,7 @@ def locate(words: list[list[str]], docs: list[int], passages: dict[str, int]) ->
             at += 1
         automaton.make_automaton()
         for i, text in enumerate(normal):
-            found = [(e, n) for e, (n, first) in automaton.iter(text) if first < docs[i]]
+            found = [(e, n) for e, (n, least) in automaton.iter(text) if least <= docs[i]]
             if found:
                 place, n = np.array(found).T
                 last = np.searchsorted(ends[i], place) + 1
@@ -227,29 +211,33 @@ def remove_passages(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) -
     """
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     source = _keyed(docs)
-    texts = source.repartition(partitions, "doc", "tag")
+    texts = source.repartition(partitions, "doc")
     recurring = _elsewhere(_anchor_rows(source, width, anchor), partitions, True)
-    # A known row has its anchor in ``first``, the others in ``key``.
-    hits = recurring.select("doc", "tag", F.when(F.col("lo") == 2, F.col("first")).otherwise(F.col("key")).alias("h"))
-    hits = hits.groupBy("doc", "tag").agg(F.collect_set("h").alias("hits"))
-    candidates = texts.join(hits, ["doc", "tag"]).select("doc", "tag", "doc_id", "text", "hits")
+    hits = recurring.groupBy("doc").agg(F.collect_set("key").alias("hits"))
+    candidates = texts.join(hits, "doc").select("doc", "known", "tag", "doc_id", "text", "hits")
     found = _elsewhere(_window_rows(candidates, width, anchor), partitions, False)
-    found = found.groupBy("doc", "tag").agg(F.collect_set(F.struct("lo", "first")).alias("found"))
-    joined = texts.join(found, ["doc", "tag"], "left")
+    # The row's tag and the window's first word in one number; joined by doc alone, as the texts are dealt.
+    place = F.shiftleft(F.col("tag").cast("long"), 32) + F.col("lo")
+    found = found.groupBy("doc").agg(F.collect_set(place).alias("found"))
+    joined = texts.join(found, "doc", "left").select("doc", "known", "tag", "doc_id", "text", "found")
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, block in text_blocks(batches, "text"):
             # Latin-1 keeps bytes and characters alike, so that words are matched byte by byte.
             words = [[w.decode("latin-1") for w in text.split()] for text in block]
-            ids = batch.column("doc").to_pylist()
+            # Rows without an id are no document's later ones.
+            ids = [_NO_DOC if d is None else d for d in batch.column("doc_id").to_pylist()]
             passages: dict[str, int] = {}
-            for own, found in zip(words, batch.column("found").to_pylist()):
-                for a, b, first in _passages(found or [], width):
+            for doc, tag, own, found in zip(ids, batch.column("tag").to_pylist(), words, batch.column("found")):
+                if doc == _NO_DOC or not found.is_valid:
+                    continue
+                places = found.values.to_numpy()
+                for a, b in _passages(places[places >> 32 == tag] & 0xFFFFFFFF, width):
                     text = " " + " ".join(own[a:b]) + " "
-                    passages[text] = min(first, passages.get(text, first))
+                    passages[text] = min(doc, passages.get(text, doc))
             gone = locate(words, ids, passages)
             left = [hashlib.sha256(" ".join(w for w, g in zip(own, flags) if not g).encode("latin-1")).hexdigest() if flags.any() else hashlib.sha256(" ".join(own).encode("latin-1")).hexdigest() for own, flags in zip(words, gone)]
             yield record_batch(schema, doc_id=batch.column("doc_id"), n_words=[len(w) for w in words], n_removed=[int(g.sum()) for g in gone], kept_sha256=left)
 
-    return joined.select("doc_id", "doc", "text", "found").mapInArrow(stream, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return joined.mapInArrow(stream, "doc_id long, n_words long, n_removed long, kept_sha256 string")
