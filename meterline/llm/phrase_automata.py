@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import pin
 from .arrow import record_batch, text_blocks
 from .hashing import WordHashes, leftmost_minima, mix, odd_numbers, runs, word_windows
 
@@ -211,6 +212,13 @@ def remove_passages(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) -
     """
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     source = _keyed(docs)
+    # Only rows that share a doc_id and differ in text need their tag; all others do without its bytes.
+    shared = pin(source.groupBy("doc").agg(F.min("tag").alias("lo"), F.max("tag").alias("hi")).where("lo <> hi").select(F.col("doc").alias("s_doc")))
+    if shared.isEmpty():
+        source = source.withColumn("tag", F.lit(0))
+    else:
+        tagged = source.join(shared, F.col("doc") == F.col("s_doc"), "left").withColumn("tag", F.when(F.col("s_doc").isNull(), 0).otherwise(F.col("tag")))
+        source = tagged.drop("s_doc")
     texts = source.repartition(partitions, "doc")
     recurring = _elsewhere(_anchor_rows(source, width, anchor), partitions, True)
     hits = recurring.groupBy("doc").agg(F.collect_set("key").alias("hits"))
