@@ -144,7 +144,19 @@ class _Block:
         self.bands = rows.field("bands").flatten().to_numpy().reshape(len(rows), -1)
         sets = rows.field("shingles")
         self.sizes = sets.value_lengths().to_numpy()
-        self.sets = np.split(sets.flatten().to_numpy(), np.cumsum(self.sizes)[:-1])
+        self.flat = sets.flatten().to_numpy()
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.index: tuple[np.ndarray, np.ndarray] | None = None
+
+    def common(self, shingles: np.ndarray) -> np.ndarray:
+        """How many of a sorted set's shingles each node of the block has."""
+        if self.index is None:
+            self.index = np.unique(self.flat, return_inverse=True)
+        values, places = self.index
+        at = np.minimum(np.searchsorted(values, shingles), len(values) - 1)
+        there = np.zeros(len(values), np.int32)
+        there[at[values[at] == shingles]] = 1
+        return np.add.reduceat(there[places], self.starts)
 
 
 def joining_links(band: int, x: _Block, y: _Block) -> list[tuple[int, int]]:
@@ -170,8 +182,7 @@ def joining_links(band: int, x: _Block, y: _Block) -> list[tuple[int, int]]:
         maybe = [j for j in maybe.tolist() if find(int(y.roots[j])) != mine]
         if not maybe:
             continue
-        inside = np.isin(np.concatenate([y.sets[j] for j in maybe]), x.sets[k], kind="sort")
-        common = np.add.reduceat(inside, np.concatenate([[0], np.cumsum(y.sizes[maybe])[:-1]]))
+        common = y.common(x.flat[x.starts[k]:x.starts[k] + x.sizes[k]])[maybe]
         close = 100 * common >= PERCENT * (x.sizes[k] + y.sizes[maybe] - common)
         for j in np.array(maybe)[close].tolist():
             one, other = find(int(x.roots[k])), find(int(y.roots[j]))
