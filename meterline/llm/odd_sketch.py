@@ -2,10 +2,11 @@
 
 Documents with the same shingle set are one node, named by a 64-bit hash of
 the set (among ten billion sets, about three pairs share one). Band buckets link their
-nodes to one hub first, the node that shares most buckets. Only where a bucket
-still holds several components are the remaining pairs compared, block by
-block, and only links that join components come out. No bucket is gathered
-whole and no group is expanded into all pairs.
+nodes to one hub first, the node that shares most buckets. Buckets that share
+nodes form a cluster, and only where a cluster still holds several components
+are the remaining pairs compared, block by block; only links that join
+components come out. Nothing is gathered whole and no group is expanded into
+all pairs.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ PERCENT = 75        # least similarity, in percent
 BANDS, ROWS = 32, 3  # a pair at 0.75 shares no band once in 40 million
 SKETCH_BITS = 512
 SCREEN = 0.45       # sketches estimating less are no candidates; 0.3 below the threshold is over six standard errors
-BLOCK = 256         # nodes of a bucket that are compared together
+BLOCK = 256         # nodes of a cluster that are compared together
 _WORDS = SKETCH_BITS // 64
 
 
@@ -136,12 +137,11 @@ def confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 class _Block:
-    """Nodes of a bucket that are compared with those of another block."""
+    """Nodes of a cluster that are compared with those of another block."""
 
     def __init__(self, rows: pa.StructArray) -> None:
         self.nodes, self.roots = rows.field("node").to_numpy(), rows.field("root").to_numpy()
         self.sketches = rows.field("sketch").flatten().to_numpy().reshape(len(rows), -1).view(np.uint64)
-        self.bands = rows.field("bands").flatten().to_numpy().reshape(len(rows), -1)
         sets = rows.field("shingles")
         self.sizes = sets.value_lengths().to_numpy()
         self.flat = sets.flatten().to_numpy()
@@ -159,11 +159,8 @@ class _Block:
         return np.add.reduceat(there[places], self.starts)
 
 
-def joining_links(band: int, x: _Block, y: _Block) -> list[tuple[int, int]]:
-    """Links between two blocks of one bucket that join different components; none that follows from others.
-
-    A pair is compared only in the first of its common bands.
-    """
+def joining_links(x: _Block, y: _Block) -> list[tuple[int, int]]:
+    """Links between two blocks of one cluster that join different components; none that follows from others."""
     above: dict[int, int] = {}
 
     def find(r: int) -> int:
@@ -175,9 +172,6 @@ def joining_links(band: int, x: _Block, y: _Block) -> list[tuple[int, int]]:
     for k, node in enumerate(x.nodes.tolist()):
         far = np.bitwise_count(y.sketches ^ x.sketches[k]).sum(axis=1)
         maybe = np.flatnonzero((far <= most) & (y.roots != x.roots[k]))
-        if len(maybe):
-            same = y.bands[maybe] == x.bands[k]
-            maybe = maybe[y.bands[maybe, same.argmax(axis=1)] == band]
         mine = find(int(x.roots[k]))
         maybe = [j for j in maybe.tolist() if find(int(y.roots[j])) != mine]
         if not maybe:
@@ -192,25 +186,26 @@ def joining_links(band: int, x: _Block, y: _Block) -> list[tuple[int, int]]:
     return out
 
 
-def _rest(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Links (a, b) between different components that share a bucket, compared block by block."""
-    at = buckets.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-    split = at.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    blocks = split.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    members = pin(at.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
-    sets = node_sets(docs, nodes, members.select("node").distinct())
-    known = pin(sets.join(nodes.select("node", "sketch", "bands"), "node"))
-    packed = pin(members.join(known, "node").groupBy("band", "blocks", "block").agg(F.collect_list(F.struct("node", "root", "sketch", "bands", "shingles")).alias("rows")))
-    left = packed.select("band", F.col("rows").alias("left_rows"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("block"))
+def _rest(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links (a, b) between different components of a cluster; ``pairs`` ties each node to the hubs of its buckets."""
+    clusters = components(pairs).select("node", F.col("root").alias("cluster"))
+    at = pin(clusters.join(roots, "node", "left").select("cluster", "node", F.coalesce("root", "node").alias("root")))
+    split = at.groupBy("cluster").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    blocks = split.select("cluster", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    members = pin(at.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    sets = node_sets(docs, nodes, members.select("node"))
+    known = members.join(sets, "node").join(nodes.select("node", "sketch"), "node")
+    packed = pin(known.groupBy("cluster", "blocks", "block").agg(F.collect_list(F.struct("node", "root", "sketch", "shingles")).alias("rows")))
+    left = packed.select("cluster", F.col("rows").alias("left_rows"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("block"))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for band, x, y in zip(batch.column("band").to_pylist(), batch.column("left_rows"), batch.column("rows")):
-                links = joining_links(band, _Block(x.values), _Block(y.values))
+            for x, y in zip(batch.column("left_rows"), batch.column("rows")):
+                links = joining_links(_Block(x.values), _Block(y.values))
                 yield record_batch(schema, a=[a for a, _ in links], b=[b for _, b in links])
 
-    joined = left.join(packed.select("band", "block", "rows"), ["band", "block"]).select("band", "left_rows", "rows")
+    joined = left.join(packed.select("cluster", "block", "rows"), ["cluster", "block"]).select("left_rows", "rows")
     return joined.mapInArrow(compare, "a long, b long").distinct()
 
 
@@ -237,7 +232,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ranked = pin(shared.join(degrees, "node").select("band", "node", F.struct(F.col("degree"), F.col("node").alias("hub")).alias("at")))
     hubs = ranked.groupBy("band").agg(F.max("at").alias("at")).select("band", "at.hub")
     sketches = nodes.select("node", "sketch")
-    pairs = shared.join(hubs, "band").where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = pin(shared.join(hubs, "band").where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     near = (
         pairs.join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
         .join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
@@ -246,7 +241,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = pin(confirm(docs, nodes, tried))
     roots = pin(components(links))
 
-    rest = pin(_rest(docs, nodes, shared.select("band", "node"), roots))
+    rest = pin(_rest(docs, nodes, pairs, roots))
     if not rest.isEmpty():
         roots = pin(components(links.unionByName(rest)))
 
