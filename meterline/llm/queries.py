@@ -73,9 +73,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi_knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query("op4_tool_call_events")
+def op4_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = tool_calls.link(tool_calls.table_messages(table(spark, sf_dir, "conversations")))
+    return events.withColumn("errors", F.array_join("errors", ","))
+
+
 @query("op4_tool_call_linking", tool_calls.check_sql())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tool_calls.link(tool_calls.table_messages(table(spark, sf_dir, "conversations")))
-    # SQL leaves the results' own texts out.
+    # What the SQL has: no pos, and no text of results. op4_tool_call_events returns both.
     canonical = F.when(F.col("kind") == "call", F.col("canonical")).alias("canonical")
     return events.select("conv_id", "stage", "turn", "kind", "call_id", "name", "status", F.array_join("errors", ",").alias("errors"), "copies", canonical)

@@ -1,8 +1,13 @@
 """Linking, order, validation and canonical form of tool calls."""
 
 import json
+import re
+from collections import Counter
+
+import pytest
 
 from meterline.llm import tool_calls
+from meterline.llm.queries import QUERIES
 
 SCHEMA = "conv_id long, turn long, role string, text string, tool_calls array<struct<id:string,name:string,arguments:string>>, tool_call_id string, stage string"
 
@@ -63,3 +68,69 @@ def test_validation_and_canonical_json(spark):
 
 def test_no_messages(spark):
     assert events(spark, []) == []
+
+
+def compact(value):
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def parsed(text):
+    try:
+        return json.loads(text)
+    except (TypeError, ValueError):
+        return text
+
+
+def direct(messages):
+    """The events of messages that have identifiers and turns, message by message."""
+    calls, results = Counter(), Counter()
+    for m in messages:
+        for pos, c in enumerate(m.tool_calls):
+            calls[m.conv_id, c.id, m.turn, pos, c.name, c.arguments] += 1
+        if m.role == "tool":
+            results[m.conv_id, m.tool_call_id, m.turn, m.text] += 1
+    holder, first, depth = {}, {}, {}
+    for conv, call_id, *at in sorted(calls):
+        holder.setdefault((conv, call_id), at)
+    for conv, call_id, turn, text in sorted(results, key=lambda r: (*r[:3], r[3] or "")):
+        if (conv, call_id) in holder and turn > holder[conv, call_id][0]:
+            first.setdefault((conv, call_id), (turn, text or ""))
+    refs = {(conv, i): [(conv, r) for r in re.findall(tool_calls.REFERENCE, at[3]) if (conv, r) in holder] for (conv, i), at in holder.items()}
+    found = True
+    while found:
+        found = {k: max([depth[r] + 1 for r in of], default=0) for k, of in refs.items() if k not in depth and all(r in depth for r in of)}
+        depth |= found
+    out = []
+    for (conv, call_id, turn, pos, name, arguments), copies in calls.items():
+        key, value = (conv, call_id), parsed(arguments)
+        holds = holder[key] == [turn, pos, name, arguments]
+        status = "duplicate" if not holds else "cycle" if key not in depth else "answered" if key in first else "unanswered"
+        if not isinstance(value, dict):
+            errors = ["not_json"]
+        elif name not in tool_calls.SCHEMAS:
+            errors = ["unknown_tool"]
+        else:
+            fields = tool_calls.SCHEMAS[name]
+            errors = [f"extra:{k}" for k in value if k not in fields] + [f"missing:{k}" for k, (_, needed) in fields.items() if needed and k not in value]
+            errors += [f"type:{k}" for k, (kind, _) in fields.items() if k in value and not str(value[k]).startswith("$ref:") and isinstance(value[k], str) != (kind == "string")]
+        stage = 2 * depth[key] if holds and key in depth else None
+        out.append((conv, stage, turn, pos, "call", call_id, name, status, ",".join(sorted(errors)), copies, compact({"type": "call", "id": call_id, "name": name, "arguments": value})))
+    for (conv, call_id, turn, text), copies in results.items():
+        key = (conv, call_id)
+        linked = first.get(key) == (turn, text or "")
+        status = "orphan" if key not in holder else "early" if turn <= holder[key][0] else "linked" if linked else "extra"
+        stage = 2 * depth[key] + 1 if linked and key in depth else None
+        out.append((conv, stage, turn, 0, "result", call_id, None, status, "", copies, compact({"type": "result", "id": call_id, "content": text})))
+    return out
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_query_returns_whole_events(spark, scale):
+    """Results have their canonical texts, and events their place in the message."""
+    folder = f"/root/testdata/{scale}"
+    got = QUERIES["op4_tool_call_events"](spark, folder)
+    assert got.columns == ["conv_id", "stage", "turn", "pos", "kind", "call_id", "name", "status", "errors", "copies", "canonical"]
+    want = direct(tool_calls.table_messages(spark.read.parquet(f"{folder}/conversations.parquet")).collect())
+    rows = sorted((tuple(r) for r in got.collect()), key=repr)
+    assert rows == sorted(want, key=repr)
+    assert any(r[4] == "result" for r in rows) and all(r[-1] is not None for r in rows)
