@@ -209,18 +209,14 @@ def _rest(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, roots: DataFrame)
     return joined.mapInArrow(compare, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, tag, n_shingles, component_id, kept.
+def _grouped(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, tag, n_shingles, and its component's ``first`` row; null without words.
 
-    A component is what links of at least PERCENT join. component_id is its
-    least doc_id; kept says that this row's doc_id is that. Rows without words
-    stay alone. A null doc_id counts as larger than any other, so such a row
-    is kept only in a component without known ids, whose component_id is null.
-    Rows that repeat a doc_id are documents of their own.
+    ``first`` is the least (unknown, order, doc_id, tag), where a null doc_id is unknown.
     """
     signed = pin(signatures(docs))
     top = F.lit((1 << 63) - 1)
-    full = signed.where("n_shingles > 0").withColumn("row", F.struct(F.coalesce("doc_id", top).alias("order"), "doc_id", "tag"))
+    full = signed.where("n_shingles > 0").withColumn("row", F.struct(F.col("doc_id").isNull().alias("unknown"), F.coalesce("doc_id", top).alias("order"), "doc_id", "tag"))
     sets = full.groupBy("key").agg(F.any_value("n_shingles").alias("n_shingles"), F.min("row").alias("row"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
     nodes = pin(sets.select(F.col("key").alias("node"), "n_shingles", "row", "bands", "sketch"))
 
@@ -245,21 +241,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not rest.isEmpty():
         roots = pin(components(links.unionByName(rest)))
 
-    linked = nodes.select("node", "row.order").join(roots, "node")
-    least = linked.groupBy("root").agg(F.min("order").alias("least"))
+    linked = nodes.select("node", "row").join(roots, "node")
+    least = linked.groupBy("root").agg(F.min("row").alias("least"))
     in_group = linked.join(least, "root").select("node", "least")
-    of_key = nodes.join(in_group, "node", "left").select(F.col("node").alias("key"), F.coalesce("least", "row.order").alias("component"))
-    joined = signed.join(of_key, "key", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.nullif("component", top))
-    return joined.select("doc_id", "tag", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    of_key = nodes.join(in_group, "node", "left").select(F.col("node").alias("key"), F.coalesce("least", "row").alias("first"))
+    # Rows without words share a key and have no node.
+    return signed.join(of_key, "key", "left").select("doc_id", "tag", "n_shingles", "first")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, tag, n_shingles, component_id, kept.
+
+    A component is what links of at least PERCENT join. component_id is its
+    least doc_id; kept says that this row's doc_id is that. Rows without words
+    stay alone. A null doc_id counts as larger than any other, so such a row
+    is kept only in a component without known ids, whose component_id is null.
+    Rows that repeat a doc_id are documents of their own.
+    """
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.nullif("first.order", F.lit((1 << 63) - 1)))
+    return _grouped(docs).select("doc_id", "tag", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without all but one of each component, with their columns.
 
-    Of rows that are equal in doc_id and text, one stays.
+    The one is the least by doc_id, null last, then by hash of the text; of
+    rows that are equal in both, one stays. Rows without words all stay.
     """
-    kept = pin(near_duplicates(docs).where("kept").select("doc_id", "tag", "n_shingles"))
+    first = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.tag") == F.col("tag"))
+    kept = pin(_grouped(docs).where((F.col("n_shingles") == 0) | first).select("doc_id", "tag", "n_shingles"))
     keys = kept.where("n_shingles > 0").groupBy("doc_id", "tag").agg(F.count("*").alias("copies"))
     wanted = kept.select("doc_id", "tag").distinct()
     names = docs.columns

@@ -86,6 +86,19 @@ def test_dropping_keeps_columns_and_one_row(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "4", "5", "None"]
 
 
+def test_one_row_stays_of_each_group_with_null_or_repeated_ids(spark):
+    """Near copies without an id, or with one id, are one group; a known id comes before null."""
+    rng = random.Random(6)
+    null, equal, both, alone = (prose(rng, 120) for _ in range(4))
+    near = lambda base: [base, *(edited(rng, base, 1 + i % 3) for i in range(6))]
+    rows = [(None, t) for t in near(null)] + [(7, t) for t in near(equal)] + [(None, t) for t in near(both)] + [(9, t) for t in near(both)]
+    rows += [(8, t) for t in near(both)] + [(7, alone), (7, alone), (None, ""), (None, None), (7, " "), (7, " ")]
+    got = [(r.doc_id, r.text) for r in odd_sketch.drop_near_duplicates(frame(spark, rows)).collect()]
+    assert set(got) <= set(rows)
+    assert sorted(str(d) for d, t in got if t and t.strip()) == ["7", "7", "8", "None"]
+    assert sorted(str(d) for d, t in got if not t or not t.strip()) == ["7", "7", "None", "None"]
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)] + [(500, i) for i in range(501, 600)]
