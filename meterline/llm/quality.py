@@ -4,6 +4,9 @@ Everything is a column expression. Counts are taken within each row, so no
 text is shuffled. Sketches are merged from tasks into (language, source)
 groups, from groups into languages and from languages into one; a group with
 few rows takes the sketch of its language, or of all rows.
+
+Fences come from the quartiles (``thresholds``, which the SQL states) or from
+the tails (``tail_thresholds``, which the pipeline takes).
 """
 
 from __future__ import annotations
@@ -31,6 +34,17 @@ FEATURES = {
     "dup_line_share": (0.1, "upper"),
     "word_length": (0.4, "both"),
 }
+# Tail fences: by name, the least spread counted, the sides, and the largest fence.
+TAILS = {
+    "symbol_share": (0.01, "upper", 0.5),
+    "capital_share": (0.025, "upper", 0.5),
+    "dup_line_share": (0.09, "upper", 0.5),
+    "word_length": (0.5, "both", float("inf")),
+}
+BODY = 0.2                        # share of a group that may be junk at an end before its spread is
+TAIL_RANKS = (0.1, 0.05, 0.02)    # further out, as far as the values go on without a gap
+GAP = 2.0                         # spreads between two ranks that end the tail
+REACH = 4.0                       # spreads beyond the end of the tail
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -88,11 +102,41 @@ def measured(rows: DataFrame, text: Column) -> DataFrame:
     return out.drop("_text", "_words", "_lines", "_windows", "_ordered", "_places", "_capitals", "_n_lines")
 
 
-def thresholds(measures: DataFrame) -> DataFrame:
+def _quartile_fences(at) -> list[Column]:
+    """FENCE quartile distances outside the quartiles; ``at(feature, q)`` is a quantile."""
+    out = []
+    for f, (least, sides) in FEATURES.items():
+        low, high = at(f, 0.25), at(f, 0.75)
+        reach = FENCE * F.greatest(high - low, F.lit(least))
+        out.append((high + reach).alias(f"{f}_hi"))
+        out.append((low - reach if sides == "both" else F.lit(None).cast("double")).alias(f"{f}_lo"))
+    return out
+
+
+def _tail_end(at, f: str, spread: Column, upper: bool) -> Column:
+    """The value of the outermost rank that no gap parts from the body."""
+    rank = lambda q: at(f, 1 - q if upper else q)
+    values = F.array(*(rank(q) for q in (BODY, *TAIL_RANKS)))
+    joined = lambda a, v: a["on"] & (F.abs(v - a["end"]) <= GAP * spread)
+    start = F.struct(rank(BODY).alias("end"), F.lit(True).alias("on"))
+    return F.aggregate(values, start, lambda a, v: F.struct(F.when(joined(a, v), v).otherwise(a["end"]).alias("end"), joined(a, v).alias("on")), lambda a: a["end"])
+
+
+def _tail_fences(at) -> list[Column]:
+    """REACH spreads beyond the end of each tail, where a spread is that of the body on this side of the median."""
+    out = []
+    for f, (least, sides, largest) in TAILS.items():
+        above = F.greatest(at(f, 1 - BODY) - at(f, 0.5), F.lit(least))
+        below = F.greatest(at(f, 0.5) - at(f, BODY), F.lit(least))
+        out.append(F.least(_tail_end(at, f, above, True) + REACH * above, F.lit(largest)).alias(f"{f}_hi"))
+        out.append((_tail_end(at, f, below, False) - REACH * below if sides == "both" else F.lit(None).cast("double")).alias(f"{f}_lo"))
+    return out
+
+
+def thresholds(measures: DataFrame, fences=_quartile_fences) -> DataFrame:
     """Per (lang, source) of the rows that pass the base rules: ``<feature>_lo`` and ``<feature>_hi``.
 
-    Fences lie FENCE quartile distances outside the quartiles. Null languages
-    and sources are groups of their own.
+    Null languages and sources are groups of their own.
     """
     passed = measures.where(~F.col("base_failed"))
     leaf = passed.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(f, F.lit(SKETCH_K)).alias(f) for f in FEATURES))
@@ -102,14 +146,18 @@ def thresholds(measures: DataFrame) -> DataFrame:
     everything = merged(langs).select(F.col("n").alias("n2"), *(F.col(f).alias(f"{f}2") for f in FEATURES))
     langs = langs.select(F.col("lang").alias("lang1"), F.col("n").alias("n1"), *(F.col(f).alias(f"{f}1") for f in FEATURES))
     groups = leaf.join(langs, F.col("lang").eqNullSafe(F.col("lang1"))).join(everything, F.lit(True))
-    out = ["lang", "source"]
-    for f, (least, sides) in FEATURES.items():
-        sketch = F.when(F.col("n") >= MIN_ROWS, F.col(f)).when(F.col("n1") >= MIN_ROWS, F.col(f"{f}1")).otherwise(F.col(f"{f}2"))
-        low, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.75))
-        reach = FENCE * F.greatest(high - low, F.lit(least))
-        out.append((high + reach).alias(f"{f}_hi"))
-        out.append((low - reach if sides == "both" else F.lit(None).cast("double")).alias(f"{f}_lo"))
-    return groups.select(*out)
+    sketch = lambda f: F.when(F.col("n") >= MIN_ROWS, F.col(f)).when(F.col("n1") >= MIN_ROWS, F.col(f"{f}1")).otherwise(F.col(f"{f}2"))
+    return groups.select("lang", "source", *fences(lambda f, q: F.kll_sketch_get_quantile_double(sketch(f), F.lit(q))))
+
+
+def tail_thresholds(measures: DataFrame) -> DataFrame:
+    """As ``thresholds``, from the tails.
+
+    A feature that is 0 for most rows has no quartile distance, yet its fence
+    follows the rows that have some: the tail goes out rank by rank until a
+    gap, and what lies behind a gap, as junk does, moves nothing.
+    """
+    return thresholds(measures, _tail_fences)
 
 
 def judged(measures: DataFrame, limits: DataFrame) -> DataFrame:
@@ -122,24 +170,24 @@ def judged(measures: DataFrame, limits: DataFrame) -> DataFrame:
     return joined.withColumn("kept", ~F.col("base_failed") & within)
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, lang, source, the base counts, base_failed and kept."""
+def judge(docs: DataFrame, limit=thresholds) -> DataFrame:
+    """Per row of ``docs``: doc_id, lang, source, the base counts, base_failed and kept, by the fences of ``limit``."""
     text = F.col("text")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), text)
     measures = pin(measured(rows, text).drop("text"))
-    limits = pin(thresholds(measures))
+    limits = pin(limit(measures))
     return judged(measures, limits).select("doc_id", "lang", "source", *BASE, "base_failed", "kept")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns.
+    """The rows of ``docs`` that the tail fences keep, with their columns.
 
     Rows and measures are written together once, so that no text is shuffled
     to meet its verdict.
     """
     row = docs.select(F.struct("*").alias("row"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
     measures = pin(measured(row, F.col("row.text")))
-    limits = pin(thresholds(measures))
+    limits = pin(tail_thresholds(measures))
     return judged(measures, limits).where("kept").select(*[F.col("row")[n].alias(n) for n in docs.columns])
 
 

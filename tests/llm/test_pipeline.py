@@ -6,6 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 from conftest import frame, prose
+from pyspark.sql import functions as F
 from test_near_dedup import brute as near_groups
 from test_suffix_dedup import brute as repeated
 
@@ -90,6 +91,30 @@ def test_quality_over_odd_rows(spark, docs):
     assert tidy(want) == tidy(quality.judge(docs).select(*names).collect())
 
 
+def test_junk_behind_a_gap_goes_and_tails_stay(spark):
+    """Symbols are rare in prose, so menus and noise are out; where many rows have some, they stay."""
+    rng = random.Random(9)
+    plain = [(i, prose(rng, 80), "en", "prose") for i in range(200)]
+    menus = [(1000 + i, " ".join(f"{w} |" if j % 2 else w for j, w in enumerate(prose(rng, 40).split())), "en", "prose") for i in range(16)]
+    lists = [(2000 + i, " ".join(f"# {w}" if j % (20 - i % 15) == 0 else w for j, w in enumerate(prose(rng, 80).split())), "en", "notes") for i in range(200)]
+    docs = spark.createDataFrame(plain + menus + lists, "doc_id long, text string, lang string, source string")
+    kept = lambda df: {r.doc_id for r in df.where("kept").collect()}
+    want = {r[0] for r in plain + lists}
+    assert kept(quality.judge(docs)) & {r[0] for r in menus}
+    assert kept(quality.judge(docs, quality.tail_thresholds)) == want
+    assert {r.doc_id for r in quality.keep_good(docs).collect()} == want
+
+
+def test_labelled_documents(spark):
+    """Junk by its symbols goes and clean documents stay."""
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = quality.judge(docs, quality.tail_thresholds).join(labels, "doc_id").where("not base_failed").collect()
+    assert any(r.quality == 0 and r.n_symbols > 0 for r in rows)
+    assert all(r.kept for r in rows if r.quality == 1)
+    assert not any(r.kept for r in rows if r.quality == 0 and r.n_symbols > 0.04 * r.word_chars)
+
+
 def test_shortages_go_to_siblings_first(spark):
     leaves = spark.createDataFrame([("=d0", "=en", "=a", 1, 100), ("=d0", "=en", "=b", 1, 1000), ("=d1", "=en", "=c", 1, 1000)], "domain string, lang string, source string, n long, tokens long")
     got = {r.source: r.budget for r in mixing.budgets(leaves, {"domain": {"d0": 1, "d1": 1}}, 0.5, 1).collect()}
