@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import elias_fano, mixing, odd_sketch, packing, phrase_automata, quality, suffix_dedup, token_transducer, tool_calls, voronoi_knn
+from . import elias_fano, max_sketch, mixing, odd_sketch, packing, phrase_automata, quality, suffix_dedup, token_transducer, tool_calls, voronoi_knn
 from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     # What the SQL has: no pos, and no text of results. op4_tool_call_events returns both.
     canonical = F.when(F.col("kind") == "call", F.col("canonical")).alias("canonical")
     return events.select("conv_id", "stage", "turn", "kind", "call_id", "name", "status", F.array_join("errors", ",").alias("errors"), "copies", canonical)
+
+
+@query("op11_max_sketch_search", max_sketch.check_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return max_sketch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
