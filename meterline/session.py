@@ -5,9 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_scopes: list[list[str]] = []  # paths written by pin, for each open scope
+
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
     """A local Spark session with the settings the checks rely on."""
@@ -49,14 +54,45 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame) -> DataFrame:
+def pin(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Compute ``df`` once, as a table in the shared folder, and read that.
 
     Used where a result feeds several later steps, or must not change on
     recomputation (random draws, positions). It survives lost executors, and
-    the planner knows its size from the files.
+    the planner knows its size from the files. The shuffles behind the table
+    are dropped once it is written. With ``by``, rows lie in one folder for
+    each value of those columns, and filters on them read only theirs.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "pinned")
-    df.write.parquet(path)
+    for scope in _scopes:
+        scope.append(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.partitionBy(*by).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def collecting() -> Iterator[list[str]]:
+    """The paths of the tables that ``pin`` writes inside the block."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield made
+    finally:
+        _scopes.remove(made)
+
+
+def release(spark: SparkSession, paths: Sequence[str], reader: DataFrame | None = None) -> None:
+    """Delete pinned tables that nothing needs any more, but for those that ``reader`` still reads."""
+    used = [f.split(":", 1)[-1] for f in reader.inputFiles()] if reader is not None and paths else []
+    for path in paths:
+        folder = path.split(":", 1)[-1].lstrip("/")
+        if any(f.lstrip("/").startswith(folder + "/") for f in used):
+            continue
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
