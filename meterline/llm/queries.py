@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import elias_fano, max_sketch, mixing, odd_sketch, packing, phrase_automata, quality, suffix_dedup, token_transducer, tool_calls, variants, voronoi_knn
+from . import elias_fano, max_sketch, mixing, odd_sketch, packing, phrase_automata, pitman_yor, quality, suffix_dedup, token_transducer, tool_calls, variants, voronoi_knn
 from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +97,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return max_sketch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op12_pitman_yor_scores")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"))
+
+
 @query("op13_spelling_variants")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(table(spark, sf_dir, "documents"))
