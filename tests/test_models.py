@@ -70,9 +70,12 @@ def folds(spark, model, maes, times):
 
 
 def test_fold_rows_reject_gaps(spark):
-    with pytest.raises(ValueError, match="no fold metrics"):
-        folds(spark, "a", [], [])
-    with pytest.raises(ValueError, match="2 fold metrics but 1"):
+    with pytest.raises(Exception, match="no folds"):
+        R.fold_metrics_to_row(folds(spark, "a", [], [])).collect()
+    incomplete = spark.createDataFrame([("a", 0, 1.0, 1.0, 0.5, None)], folds(spark, "a", [], []).schema)
+    with pytest.raises(Exception, match="incomplete folds of a"):
+        R.fold_metrics_to_row(incomplete).collect()
+    with pytest.raises(ValueError, match="shorter"):
         folds(spark, "a", [1.0, 2.0], [1.0])
 
 
