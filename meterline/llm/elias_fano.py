@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .arrow import record_batch, text_blocks
-from .tokenizer import WORD_FILE, tokenizer_path, word_encoder
+from .tokenizer import ENCODE_BYTES, WORD_FILE, tokenizer_path, word_encoder
 
 MAGIC = b"EFTOK1\0\0"
 SHARD_IDS = 1 << 20
@@ -144,7 +144,7 @@ def encode_shards(docs: DataFrame, path: str | None = None, end_id: int = 1, sha
             ids = np.concatenate(held)
             return record_batch(schema, part=[part], seq=[seq], n_docs=[len(doc_ids)], n_ids=[len(ids)], shard=[TokenShard.pack(doc_ids, np.concatenate(lengths), ids)])
 
-        for batch, texts in text_blocks(batches, "text"):
+        for batch, texts in text_blocks(batches, "text", ENCODE_BYTES):
             ids, counts = encoder.encode(texts)
             doc_ids += batch.column("doc_id").to_pylist()
             lengths.append(counts + 1)
@@ -157,8 +157,9 @@ def encode_shards(docs: DataFrame, path: str | None = None, end_id: int = 1, sha
         if doc_ids:
             yield flush()
 
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("tie"))
-    return keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text").mapInArrow(write, SHARDS)
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("nr"))
+    order = ["doc_id", "tie", "nr"]  # the row number lets a range end between equal rows
+    return keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(write, SHARDS)
 
 
 def write_shards(docs: DataFrame, folder: str, **options) -> None:
