@@ -5,9 +5,10 @@ where the sum, over residual gaps, of the squared number of open sequences
 with that gap grows least, so that no gap piles up and later pieces find a
 fitting one. A new sequence is opened only for a piece that fits no open one,
 and longer pieces go first; on the test documents this needs 1 to 2 % fewer
-sequences than letting a new sequence compete. Pieces are dealt by hash into groups of bounded size that are
-packed side by side. Sequences that stay underfilled are opened again and
-packed together in fewer groups, until one group is left.
+sequences than letting a new sequence compete. Pieces are dealt by their row number into groups of bounded
+size that are packed side by side. Sequences that stay underfilled are opened
+again and packed together, in as many groups of that size as they need, until
+one group is left or too few sequences fill up for another round to pay.
 """
 
 from __future__ import annotations
@@ -23,11 +24,10 @@ from pyspark.sql import functions as F
 
 from ..session import pin
 from .arrow import record_batch, text_blocks
-from .tokenizer import WORD_FILE, tokenizer_path, word_encoder
+from .tokenizer import ENCODE_BYTES, WORD_FILE, tokenizer_path, word_encoder
 
 CAPACITY = 2048
 GROUP_ROWS = 50_000  # pieces that one task packs
-MERGED_GROUPS = 32   # groups whose underfilled sequences are packed together
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 
@@ -42,18 +42,19 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
         encoder = word_encoder(path)
-        for batch, texts in text_blocks(batches, "text"):
+        for batch, texts in text_blocks(batches, "text", ENCODE_BYTES):
             ids, counts = encoder.encode(texts)
-            rows = []
-            at = 0
-            for doc_id, n in zip(batch.column("doc_id").to_pylist(), counts.tolist()):
-                own = np.append(ids[at:at + n], end_id).astype("<u4")
-                at += n
-                for piece, start in enumerate(range(0, n + 1, capacity)):
-                    part = own[start:start + capacity]
-                    rows.append((doc_id, piece, start, len(part), zlib.crc32(part.tobytes())))
-            columns = list(zip(*rows))
-            yield record_batch(schema, **{f.name: columns[i] for i, f in enumerate(schema)})
+            whole = np.insert(ids.astype("<u4"), np.cumsum(counts), end_id)
+            sizes = counts + 1
+            pieces = -(-sizes // capacity)
+            row = np.repeat(np.arange(len(sizes)), pieces)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start = piece * capacity
+            length = np.minimum(sizes[row] - start, capacity)
+            at = (np.cumsum(sizes) - sizes)[row] + start
+            data = memoryview(whole).cast("B")
+            sums = [zlib.crc32(data[4 * a:4 * (a + n)]) for a, n in zip(at.tolist(), length.tolist())]
+            yield record_batch(schema, doc_id=batch.column("doc_id").take(pa.array(row)), piece=piece, start=start, length=length, ids_crc32=sums)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, PIECES)
 
@@ -95,7 +96,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
     Empty input gives no rows. A length below 1 or above the capacity fails.
     """
     names = [c.split()[0] for c in PIECES.split(", ")]
-    todo = pin(pieces.select(*names))
+    todo = pin(pieces.select(*names).withColumn("nr", F.monotonically_increasing_id()))
     groups = -(-todo.count() // group_rows)
     done = None
     level = 0
@@ -103,7 +104,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
         tag = level << 56
 
         def place(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-            frame = frame.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], kind="stable").reset_index(drop=True)
+            frame = frame.sort_values(["length", "nr"], ascending=[False, True]).reset_index(drop=True)
             lengths = frame["length"].to_numpy()
             if len(lengths) and not (1 <= lengths.min() and lengths.max() <= capacity):
                 raise ValueError("piece lengths must lie between 1 and the capacity")
@@ -111,18 +112,20 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
             frame["sequence_id"] = tag + (int(key[0]) << 24) + bins
             frame["offset"] = offsets
             frame["filled"] = np.bincount(bins, weights=lengths)[bins]
-            return frame[[*names, "sequence_id", "offset", "filled"]]
-
-        group = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(level)), F.lit(groups)).cast("int")
-        placed = pin(todo.withColumn("grp", group).groupBy("grp").applyInPandas(place, PACKED + ", filled double"))
-        last = groups == 1
-        full = placed if last else placed.where(F.col("filled") >= refill_below * capacity)
+            return frame[[*names, "nr", "sequence_id", "offset", "filled"]]
+
+        group = F.pmod(F.xxhash64("nr", F.lit(level)), F.lit(groups)).cast("int")
+        placed = pin(todo.withColumn("grp", group).groupBy("grp").applyInPandas(place, f"{PIECES}, nr long, sequence_id long, offset long, filled double"))
+        open_again = F.col("filled") < refill_below * capacity
+        fewer = -(-placed.where(open_again).count() // group_rows) if groups > 1 else 0
+        last = fewer > groups // 2 or not fewer
+        full = placed if last else placed.where(~open_again)
         full = full.select(*names, "sequence_id", "offset")
         done = full if done is None else done.unionByName(full)
         if last:
             break
-        todo = placed.where(F.col("filled") < refill_below * capacity).select(*names)
-        groups = -(-groups // MERGED_GROUPS)
+        todo = placed.where(open_again).select(*names, "nr")
+        groups = fewer
         level += 1
     return done if done is not None else pieces.sparkSession.createDataFrame([], PACKED)
 

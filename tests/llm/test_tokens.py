@@ -1,7 +1,7 @@
 """Token shards and packing against the tokenizers library, text by text."""
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -113,3 +113,39 @@ def test_few_sequences(spark):
     pieces = packing.pin(packing.token_pieces(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")))
     total = pieces.groupBy().sum("length").first()[0]
     assert packing.pack(pieces).select("sequence_id").distinct().count() <= 1.002 * total / packing.CAPACITY + 1
+
+
+def direct_sum_of_squares(lengths, capacity):
+    """Every open sequence tried, by the sum over gaps of the squared number of open sequences."""
+    gaps, out = [], []
+    for size in lengths:
+        def total(k):
+            after = [g - size if i == k else g for i, g in enumerate(gaps)]
+            return sum(n * n for g, n in Counter(after).items() if g)
+        fitting = [k for k, g in enumerate(gaps) if g >= size]
+        if fitting:
+            k = min(fitting, key=lambda k: (total(k), gaps[k]))
+        else:
+            k = len(gaps)
+            gaps.append(capacity)
+        out.append(gaps[k])
+        gaps[k] -= size
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_choice_equals_a_direct_search(seed):
+    rng = np.random.default_rng(seed)
+    lengths = np.sort(rng.integers(1, 40, 120))[::-1] if seed % 2 else rng.integers(1, 40, 120)
+    _, offsets = packing.sum_of_squares(lengths, 40)
+    assert (40 - offsets).tolist() == direct_sum_of_squares(lengths.tolist(), 40)
+
+
+def test_groups_stay_bounded_where_rows_repeat_or_nothing_fills_up(spark, monkeypatch):
+    rows = [(None, "one two three " * 20)] * 90 + [(i, "word " * 55) for i in range(90)]
+    pieces = packing.token_pieces(frame(spark, rows), capacity=100)
+    packed = packing.pack(pieces, 100, group_rows=30).collect()
+    assert len(packed) == 180
+    groups = Counter((r.sequence_id >> 24) for r in packed)
+    assert len(groups) >= 6 and max(groups.values()) <= 60
+    assert sorted(r.length for r in packed) == sorted([61] * 90 + [56] * 90)
