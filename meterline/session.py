@@ -84,7 +84,7 @@ def collecting() -> Iterator[list[str]]:
     try:
         yield made
     finally:
-        _scopes.remove(made)
+        _scopes[:] = [s for s in _scopes if s is not made]
 
 
 def release(spark: SparkSession, paths: Sequence[str], reader: DataFrame | None = None) -> None:
