@@ -10,10 +10,12 @@ is built in two stages: suffixes smaller than their successors are sorted, the
 others follow by scans of the buckets. Windows whose neighbours in the array
 share WIDTH bytes occur elsewhere.
 
-A group whose different contexts outgrow a batch has its windows ordered by
-hash instead of content. An anchor that occurs very often is not put into one
-task at all: its windows are counted by digest, with counts that combine before
-the shuffle.
+An anchor that occurs very often, as in a line that many texts share, is
+refined first: equal contexts are found by their digests, with counts that
+combine before the shuffle, and one of each goes on. Where one anchor still
+has too many different contexts, their windows are filed under longer anchors
+(LONGER) and at last under themselves. A group whose different contexts
+outgrow a batch has its windows ordered by hash instead of content.
 """
 
 from __future__ import annotations
@@ -24,23 +26,28 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import pin
+from ..session import collecting, pin, release
 from .arrow import record_batch, text_blocks
-from .hashing import byte_windows, leftmost_minima, runs
+from .hashing import byte_windows, leftmost_minima
 
 WIDTH = 200
 ANCHOR = 64
 BATCH_BYTES = 1 << 20       # text of one suffix array
-HOT_CONTEXTS = 200_000      # occurrences of an anchor beyond which its windows go by digest
+HOT_CONTEXTS = 200_000      # contexts of an anchor beyond which it is refined
+LONGER = (0.64, 0.96)       # longer anchors, in widths
 BLOCK_BYTES = 1 << 22       # text within which equal contexts are merged before the shuffle
 SEGMENT = 1 << 26           # longer texts are cut into overlapping segments when hashed
 
 
-def anchored(texts: list[bytes], width: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per run of windows with one anchor: index of the text, anchor hash, first window start, number of windows."""
+def anchored(texts: list[bytes], width: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """Per run of windows with equal anchors: index of the text, anchor hash, first window start, number of windows, of anchors.
+
+    Neighbouring windows with equal anchors make one run also where the anchor
+    moves on, as it does in a text that repeats itself.
+    """
     out = []
     group, size = [], 0
 
@@ -55,10 +62,15 @@ def anchored(texts: list[bytes], width: int, anchor: int) -> tuple[np.ndarray, n
         least = leftmost_minima(hashes, width - anchor + 1)
         owner = np.repeat(np.arange(len(group)), lengths)[:len(least)]
         at = np.flatnonzero(np.arange(len(least)) + width <= (begins + lengths)[owner])
-        first, last = runs(least[at])
-        who = owner[at[first]]
-        index, offset = np.array([i for i, _, _ in group])[who], np.array([o for _, o, _ in group])[who]
-        out.append((index, hashes[least[at[first]]].view(np.int64), at[first] - begins[who] + offset, last - first + 1))
+        if len(at):
+            own, place = hashes[least[at]], least[at]
+            fresh = np.append(True, (own[1:] != own[:-1]) | (np.diff(at) > 1))
+            first = np.flatnonzero(fresh)
+            moved = np.append(0, np.cumsum(place[1:] != place[:-1]))
+            last = np.append(first[1:], len(at)) - 1
+            who = owner[at[first]]
+            index, offset = np.array([i for i, _, _ in group])[who], np.array([o for _, o, _ in group])[who]
+            out.append((index, own[first].view(np.int64), at[first] - begins[who] + offset, last - first + 1, moved[last] - moved[first] + 1))
         group, size = [], 0
 
     for i, text in enumerate(texts):
@@ -70,7 +82,7 @@ def anchored(texts: list[bytes], width: int, anchor: int) -> tuple[np.ndarray, n
                 flush()
     flush()
     if not out:
-        return tuple(np.empty(0, np.int64) for _ in range(4))
+        return tuple(np.empty(0, np.int64) for _ in range(5))
     return tuple(np.concatenate(x).astype(np.int64) for x in zip(*out))
 
 
@@ -238,70 +250,144 @@ def _spans(flags: np.ndarray, width: int) -> list[tuple[int, int]]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, its stand-in (for null, a hash of the text), a short hash of the text, and the text."""
+    """``doc`` and ``tag``, which name a row, its text, and its other columns as ``rest``.
+
+    doc is the doc_id, or a hash of the text where that is null; tag is a hash
+    of the text. Rows that share both have one text.
+    """
     text, doc = F.coalesce(F.col("text").cast("string"), F.lit("")), F.col("doc_id").cast("long")
-    return docs.select(*_names(doc, text), doc.alias("doc_id"), text.alias("text"))
+    others = [F.col(c) for c in docs.columns if c != "text"]
+    return docs.select(F.coalesce(doc, F.xxhash64(text)).alias("doc"), F.xxhash64(text).alias("tag"), F.col("text").cast("string").alias("text"), F.struct(*others).alias("rest"))
 
 
-def _names(doc: Column, text: Column) -> tuple[Column, Column]:
-    """``doc`` and ``tag``, which name a row; rows that share both have one text."""
-    return F.coalesce(doc, F.xxhash64(text)).alias("doc"), F.hash(text).alias("tag")
+_HIT = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("h", pa.int64()), ("lo", pa.int64()), ("n", pa.int64()), ("places", pa.int64())])
+_HIT_TYPE = "doc long, tag long, h long, lo long, n long, places long"
 
 
 def _anchors(keyed: DataFrame, width: int, anchor: int) -> DataFrame:
-    schema = pa.schema([("doc", pa.int64()), ("tag", pa.int32()), ("h", pa.int64()), ("lo", pa.int64()), ("n", pa.int64())])
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_blocks(batches, "text"):
-            index, hashes, lo, n = anchored(texts, width, anchor)
+            index, hashes, lo, n, places = anchored(texts, width, anchor)
             at = pa.array(index)
-            yield record_batch(schema, doc=batch.column("doc").take(at), tag=batch.column("tag").take(at), h=hashes, lo=lo, n=n)
+            yield record_batch(_HIT, doc=batch.column("doc").take(at), tag=batch.column("tag").take(at), h=hashes, lo=lo, n=n, places=places)
 
     long_enough = keyed.where(F.octet_length("text") >= width).select("doc", "tag", "text")
-    return long_enough.mapInArrow(cut, "doc long, tag int, h long, lo long, n long")
-
-
-def covered(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, batch_bytes: int = BATCH_BYTES, hot: int = HOT_CONTEXTS) -> DataFrame:
-    """``_keyed`` rows of ``docs`` with ``spans``: byte ranges (lo, hi) covered by repeated windows, null where none are."""
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    source = _keyed(docs)
-    anchors = pin(_anchors(source, width, anchor))
-    repeated = anchors.groupBy("h").agg(F.count("*").alias("count")).where("count > 1")
-    hits = anchors.join(repeated, "h").groupBy("doc", "tag").agg(F.collect_set(F.struct("lo", "n", "h", (F.col("count") > hot).alias("hot"))).alias("hits"))
-    # Both uses of the texts read one exchange.
-    texts = source.repartition(partitions, "doc", "tag")
-    # kind 0: a covered range; 1: a context, filed under its anchor; 2: a window of a hot anchor, by digest.
-    schema = pa.schema([("kind", pa.int32()), ("h", pa.int64()), ("g", pa.int64()), ("doc", pa.int64()), ("tag", pa.int32()), ("lo", pa.int64()), ("hi", pa.int64()), ("many", pa.bool_()), ("bytes", pa.binary())])
-    row = "kind int, h long, g long, doc long, tag int, lo long, hi long, many boolean, bytes binary"
+    return long_enough.mapInArrow(cut, _HIT_TYPE)
+
+
+def _by_row(hits: DataFrame, *columns: str) -> DataFrame:
+    """The hits of each row as one array."""
+    return hits.groupBy("doc", "tag").agg(F.collect_set(F.struct(*columns)).alias("hits"))
+
+
+def _contexts(batch: pa.RecordBatch, block: list[bytes], width: int, *columns: str) -> Iterator[tuple]:
+    """doc, tag, first window, and context of each hit, with the named fields of the hit."""
+    hits = batch.column("hits")
+    ends = hits.offsets.to_numpy()
+    fields = [hits.values.field(c).to_pylist() for c in ("lo", "n", *columns)]
+    for i, (doc, tag, text) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("tag").to_pylist(), block)):
+        for lo, n, *more in zip(*(f[ends[i]:ends[i + 1]] for f in fields)):
+            yield doc, tag, lo, text[lo:lo + n + width - 1], *more
+
+
+def _digests(texts: DataFrame, hits: DataFrame, width: int, anchor: int) -> DataFrame:
+    """The contexts of longer anchors inside those of ``hits``, each with a digest (g1, g2).
+
+    Where the anchor is the window itself, the digest is that of one window.
+    """
+    schema = pa.schema([*_HIT, ("g1", pa.int64()), ("g2", pa.int64())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, block in text_blocks(batches, "text", BLOCK_BYTES):
+            found = list(_contexts(batch, block, width))
+            index, hashes, lo, n, places = anchored([f[3] for f in found], width, anchor)
+            whole = [(found[i][3], a, a + (width if anchor == width else k + width - 1)) for i, a, k in zip(index.tolist(), lo.tolist(), n.tolist())]
+            digest = np.frombuffer(b"".join(xxhash.xxh128_digest(piece[a:b]) for piece, a, b in whole), np.int64).reshape(-1, 2)
+            names = {c: np.array([f[k] for f in found], np.int64)[index] for k, c in enumerate(("doc", "tag", "start"))}
+            yield record_batch(schema, doc=names["doc"], tag=names["tag"], h=hashes, lo=names["start"] + lo, n=n, places=places, g1=digest[:, 0], g2=digest[:, 1])
+
+    rows = texts.join(hits, ["doc", "tag"]).select("doc", "tag", "text", "hits")
+    return rows.mapInArrow(cut, _HIT_TYPE + ", g1 long, g2 long")
+
+
+def _refined(texts: DataFrame, hits: DataFrame, width: int, anchor: int, hot: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Covered ranges found by digests inside the contexts of hot anchors, and the hits left to compare.
+
+    Of equal contexts one goes on; ``many`` says that it stands for others.
+    """
+    ranges, plain = [], []
+    for length in (anchor, *(int(w * width) for w in LONGER if anchor < int(w * width) < width), width):
+        rows = pin(_digests(texts, _by_row(hits, "lo", "n"), width, length))
+        one = F.min(F.struct("doc", "tag", "lo", "n")).alias("one")
+        kinds = pin(rows.groupBy("h", "g1", "g2").agg(F.count("*").alias("copies"), F.sum("places").alias("places"), one))
+        repeated = kinds.where("places > 1" if length == width else "copies > 1").select("h", "g1", "g2")
+        ranges.append(rows.join(repeated, ["h", "g1", "g2"]).select("doc", "tag", "lo", (F.col("lo") + F.col("n") + width - 1).alias("hi")))
+        if length == width:
+            break
+        different = kinds.groupBy("h").agg(F.count("*").alias("different"), F.max(F.col("places") / F.col("copies")).alias("most")).where("different > 1 or most > 1")
+        left = pin(kinds.join(different, "h").select("one.*", "h", (F.col("copies") > 1).alias("many"), (F.col("different") > hot).alias("hot")))
+        plain.append(left.where("not hot").drop("hot"))
+        hits = left.where("hot")
+        if hits.isEmpty():
+            break
+    return ranges, plain
+
+
+def covered(keyed: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, batch_bytes: int = BATCH_BYTES, hot: int = HOT_CONTEXTS) -> DataFrame:
+    """doc, tag and ``spans`` of the rows of ``keyed`` that hold repeated windows: byte ranges (lo, hi) covered by those."""
+    spark = keyed.sparkSession
+    texts = keyed.select("doc", "tag", "text")
+    with collecting() as made:
+        anchors = pin(_anchors(keyed, width, anchor))
+        counts = anchors.groupBy("h").agg(F.sum("places").alias("count"), F.count("*").alias("contexts")).where("count > 1")
+        hits = pin(anchors.join(counts, "h").select("doc", "tag", "lo", "n", "h", F.lit(False).alias("many"), (F.col("contexts") > hot).alias("hot")))
+        ranges, plain = [], [hits.where("not hot").drop("hot")]
+        often = hits.where("hot")
+        if not often.isEmpty():
+            more_ranges, more_plain = _refined(texts, often, width, anchor, hot)
+            ranges, plain = ranges + more_ranges, plain + more_plain
+        to_compare = plain[0]
+        for more in plain[1:]:
+            to_compare = to_compare.unionByName(more)
+        found = _compared(texts, _by_row(to_compare, "lo", "n", "h", "many"), width, batch_bytes)
+        for more in ranges:
+            found = found.unionByName(more)
+    with collecting() as kept:
+        spans = pin(found.groupBy("doc", "tag").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")))
+    release(spark, [p for p in made if p not in kept])
+    return spans
+
+
+def _compared(texts: DataFrame, hits: DataFrame, width: int, batch_bytes: int) -> DataFrame:
+    """Byte ranges (doc, tag, lo, hi) of the contexts of ``hits`` that repeated windows cover."""
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # kind 0: a covered range; 1: a context, filed under its anchor.
+    schema = pa.schema([("kind", pa.int32()), ("h", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("many", pa.bool_()), ("bytes", pa.binary())])
+    row = "kind int, h long, doc long, tag long, lo long, hi long, many boolean, bytes binary"
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, block in text_blocks(batches, "text", BLOCK_BYTES):
             met: dict[tuple, list] = {}
-            hits = batch.column("hits")
-            ends = hits.offsets.to_numpy()
-            fields = [hits.values.field(c).to_pylist() for c in ("lo", "n", "h", "hot")]
-            for i, (doc, tag, text) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("tag").to_pylist(), block)):
-                for lo, n, h, is_hot in zip(*(f[ends[i]:ends[i + 1]] for f in fields)):
-                    pieces = [(1, lo, text[lo:lo + n + width - 1])] if not is_hot else [(2, s, text[s:s + width]) for s in range(lo, lo + n)]
-                    for kind, start, piece in pieces:
-                        met.setdefault((kind, h, piece if kind == 1 else xxhash.xxh128_digest(piece)), []).append((doc, tag, start, start + len(piece)))
+            for doc, tag, lo, piece, h, many in _contexts(batch, block, width, "h", "many"):
+                entry = met.setdefault((h, piece), [[], False])
+                entry[0].append((doc, tag, lo))
+                entry[1] |= many
             out = {f.name: [] for f in schema}
 
             def add(*values) -> None:
                 for name, value in zip(out, values):
                     out[name].append(value)
 
-            for (kind, h, piece), places in met.items():
-                many = len(places) > 1
-                if many:  # repeated already here; one stands for all elsewhere
-                    for doc, tag, lo, hi in places:
-                        add(0, doc, 0, doc, tag, lo, hi, True, None)
-                doc, tag, lo, hi = places[0]
-                if kind == 1:
-                    add(1, h, 0, doc, tag, lo, 0, many, piece)
-                else:
-                    a, b = np.frombuffer(piece, np.int64).tolist()
-                    add(2, a, b, doc, tag, lo, hi, many, None)
+            known: dict[tuple, list] = {}
+            for (h, piece), (places, many) in met.items():
+                if len(places) > 1:  # repeated already here; one stands for all elsewhere
+                    for doc, tag, lo in places:
+                        known.setdefault((doc, tag), []).append({"lo": lo, "hi": lo + len(piece)})
+                doc, tag, lo = places[0]
+                add(1, h, doc, tag, lo, 0, many or len(places) > 1, piece)
+            for (doc, tag), spans in known.items():
+                for lo, hi in _merged(spans):
+                    add(0, doc, doc, tag, lo, hi, True, None)
             yield record_batch(schema, **out)
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +395,7 @@ def covered(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, batch_byt
         found: list[tuple] = []
         batch_groups: dict[bytes, list] = {}
         group: dict[bytes, list] = {}  # of the present anchor: context to its places, and whether there are more
-        size, own_size, last = 0, 0, None
+        size, own_size, longest, last = 0, 0, 0, None
 
         def cover(piece: bytes, entry: list, flags: np.ndarray) -> None:
             spans = [(0, len(piece))] if entry[1] or len(entry[0]) > 1 else _spans(flags, width)
@@ -321,11 +407,11 @@ def covered(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, batch_byt
                 cover(piece, entries[piece], flags)
 
         def close() -> None:
-            nonlocal group, own_size, batch_groups, size
-            if len(group) == 1:  # nothing to compare with
+            nonlocal group, own_size, longest, batch_groups, size
+            if len(group) == 1 and all(many or len(places) > 1 for places, many in group.values()):  # nothing to compare with
                 (piece, entry), = group.items()
                 cover(piece, entry, np.zeros(1, bool))
-            elif own_size > 4 * batch_bytes:
+            elif own_size > 4 * batch_bytes or longest > 8 * width:  # the scan of a long run would go letter by letter
                 solve(group, True)
             else:
                 batch_groups |= group
@@ -333,7 +419,7 @@ def covered(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, batch_byt
                 if size >= batch_bytes:
                     solve(batch_groups, False)
                     batch_groups, size = {}, 0
-            group, own_size = {}, 0
+            group, own_size, longest = {}, 0, 0
 
         def out() -> pa.RecordBatch:
             columns = list(zip(*found)) or [[]] * 4
@@ -354,6 +440,7 @@ def covered(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, batch_byt
                 if entry is None:
                     entry = group[piece] = [[], False]
                     own_size += len(piece)
+                    longest = max(longest, len(piece))
                 entry[0].append((doc, tag, lo))
                 entry[1] |= many
             if found:
@@ -362,18 +449,9 @@ def covered(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, batch_byt
         solve(batch_groups, False)
         yield out()
 
-    ranges = pa.schema([("doc", pa.int64()), ("tag", pa.int32()), ("lo", pa.int64()), ("hi", pa.int64())])
-    range_type = "doc long, tag int, lo long, hi long"
-    with_hits = texts.join(hits, ["doc", "tag"]).select("doc", "tag", "doc_id", "text", "hits")
-    rows = with_hits.mapInArrow(contexts, row)
-    plain = rows.where("kind < 2").repartition(partitions, "h").sortWithinPartitions("h")
-    found = plain.mapInArrow(arrays, range_type)
-    if not repeated.where(F.col("count") > hot).isEmpty():
-        digests = pin(rows.where("kind = 2").select("h", "g", "doc", "tag", "lo", "hi", "many"))
-        often = digests.groupBy("h", "g").agg(F.count("*").alias("count"), F.max("many").alias("any")).where("count > 1 or any").select("h", "g")
-        found = found.unionByName(digests.join(often, ["h", "g"]).select("doc", "tag", "lo", "hi"))
-    spans = found.groupBy("doc", "tag").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
-    return texts.join(spans, ["doc", "tag"], "left")
+    ranges = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
+    rows = texts.join(hits, ["doc", "tag"]).select("doc", "tag", "text", "hits").mapInArrow(contexts, row)
+    return rows.repartition(partitions, "h").sortWithinPartitions("h").mapInArrow(arrays, "doc long, tag long, lo long, hi long")
 
 
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -415,7 +493,9 @@ def remove_repeats(docs: DataFrame, **options) -> DataFrame:
                 n_spans=[x[2] for x in left], kept_sha256=[hashlib.sha256(x[0]).hexdigest() for x in left],
             )
 
-    return covered(docs, **options).select("doc_id", "text", "spans").mapInArrow(measure, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    keyed = _keyed(docs.select("doc_id", "text"))
+    rows = keyed.join(covered(keyed, **options), ["doc", "tag"], "left").select(F.col("rest.doc_id").cast("long").alias("doc_id"), "text", "spans")
+    return rows.mapInArrow(measure, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
@@ -424,22 +504,18 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
     A character of which a byte is removed goes whole. A null text stays null.
     """
     names = docs.columns
-    found = covered(docs, **options).where("spans is not null").groupBy("doc", "tag").agg(F.any_value("spans").alias("spans"))
-    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
-    rows = docs.select(F.struct("*").alias("row"))
-    rows = rows.select("row", *_names(F.col("row.doc_id").cast("long"), text))
-    joined = rows.join(found, ["doc", "tag"], "left")
+    keyed = _keyed(docs)
+    joined = keyed.join(covered(keyed, **options), ["doc", "tag"], "left")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = pa.schema([("left", pa.string())])
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             kept = [None if t is None else _kept(t, s)[0].decode("utf-8", "ignore") if s else t.decode("utf-8", "replace") for t, s in zip(texts, batch.column("spans").to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:1], pa.array(kept, pa.string())], schema=pa.schema([batch.schema.field(0), *out]))
+            yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(kept, pa.string())], schema=pa.schema([batch.schema.field("rest"), ("text", pa.string())]))
 
-    fields = joined.schema["row"].dataType.simpleString()
-    cleaned = joined.select("row", F.col("row.text").cast("string").alias("text"), "spans").mapInArrow(clean, f"row {fields}, left string")
-    columns = {n: F.col("row")[n] for n in names} | {"text": F.col("left")}
+    fields = joined.schema["rest"].dataType.simpleString()
+    cleaned = joined.select("rest", "text", "spans").mapInArrow(clean, f"rest {fields}, text string")
+    columns = {n: F.col("rest")[n] for n in names if n != "text"} | {"text": F.col("text")}
     if "n_chars" in names:
-        columns["n_chars"] = F.length("left").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
     return cleaned.select(*[columns[n].alias(n) for n in names])

@@ -99,6 +99,22 @@ def test_removal_in_small_batches_and_hot_anchors(spark, odd_rows, monkeypatch):
     check(spark, odd_rows + passages(random.Random(2)), batch_bytes=300)
 
 
+@pytest.mark.parametrize("hot", [200_000, 5])
+def test_runs_and_common_lines(spark, hot):
+    """Long runs of one and two characters, and lines of several lengths in very many rows."""
+    rng = random.Random(8)
+    lines = {n: prose(rng, 400)[:n] for n in (90, 150, 199, 200, 201, 260, 450)}
+    rows = [(i, prose(rng, rng.randrange(0, 30)) + lines[n] + prose(rng, rng.randrange(0, 30))) for i, n in enumerate(sorted(lines) * 40)]
+    rows += [(900, "a" * 20_000), (901, "x" + "a" * 300), (902, "ab" * 9_000), (903, "c" * 201), (904, "abc" * 70 + "ab" * 120)]
+    check(spark, rows, hot=hot)
+
+
+def test_a_run_is_one_context():
+    for text, windows in ((b"a" * 20_000, 19_801), (b"ab" * 5_000, 9_801)):
+        index, _, lo, n, places = suffix_dedup.anchored([b"xyz", text], 200, 64)
+        assert (index.tolist(), lo.tolist(), n.tolist()) == ([1], [0], [windows]) and places[0] > 1
+
+
 def test_other_widths(spark):
     check(spark, passages(random.Random(3)), width=50, anchor=20)
 
