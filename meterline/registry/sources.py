@@ -18,7 +18,7 @@ from ..operators.sampling import hash_stratified_sample
 from ..plans import fixtures as X
 from ..plans.prep import prepared, run_prep
 from ..session import pin, scratch_path
-from ..sources import readers as A, writers as B
+from ..sources import live, readers as A, writers as B
 from ..streaming.ingest import ingest_incremental, ingest_months
 from .core import query
 from .helpers import rounded
@@ -221,14 +221,36 @@ def b08(spark, sf):
     )
 
 
+@query("b08_zone_files", """
+select p.id as zone, p.n as pickups, d.n as dropoffs, true as few_files
+from (select pickup_locationid as id, count(*) as n from fact group by 1) p join (select dropoff_locationid as id, count(*) as n from fact group by 1) d using (id)""", "fact")
+def b08_zones(spark, sf):
+    # Files of the largest month whose range of ids holds the zone: at most five eighths of them, on average over both ids.
+    path = scratch_path(spark, "clustered")
+    B.save_fact(X.fact(spark, sf), path, files_per_month=16)
+    mart = spark.read.parquet(path)
+    month = mart.groupBy("pickup_month").count().orderBy(F.desc("count"), "pickup_month").first()["pickup_month"]
+    files = mart.where(F.col("pickup_month") == F.lit(month)).groupBy(F.input_file_name().alias("file")).agg(
+        *[f(c).alias(f"{f.__name__}_{c[:1]}") for c in ("pickup_locationid", "dropoff_locationid") for f in (F.min, F.max)])
+    total = files.agg(F.count(F.lit(1))).scalar()
+
+    def per_zone(side, name):
+        return mart.groupBy(F.col(f"{side}_locationid").alias("zone")).agg(F.count(F.lit(1)).alias(name))
+
+    zones = per_zone("pickup", "pickups").join(per_zone("dropoff", "dropoffs"), "zone")
+    met = [F.col("zone").between(F.col(f"min_{c}"), F.col(f"max_{c}")) for c in "pd"]
+    shares = zones.join(files, met[0] | met[1], "left").groupBy("zone", "pickups", "dropoffs").agg(*[F.count_if(m).alias(c) for m, c in zip(met, "pd")])
+    return shares.select("zone", "pickups", "dropoffs", ((F.col("p") + F.col("d")) * 8 <= total * 2 * 5).alias("few_files"))
+
+
 INGEST_SQL = """
 select cast(date_trunc('month', o_orderdate) as date) as pickup_month, count(*) as n, round(sum(o_totalprice), 2) as total from orders
 where o_orderdate >= date '1996-02-01' and o_orderdate < date '1997-07-01' group by 1"""
 WINDOW = ("1996-02-01", "1997-06-30")
 
 
-def monthly(spark, path):
-    return spark.read.parquet(path).groupBy("pickup_month").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+def monthly(rows):
+    return rows.groupBy("pickup_month").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
 @query("c12_ingest_incremental", INGEST_SQL)
@@ -237,7 +259,7 @@ def c12(spark, sf):
     schema = X.table(spark, sf, "orders").schema
     for _ in range(2):  # the second run finds nothing new
         ingest_incremental(spark, sf, dst, checkpoint, *WINDOW, schema=schema, ts="o_orderdate", pattern="orders*.parquet")
-    return monthly(spark, dst)
+    return monthly(spark.read.parquet(dst))
 
 
 @query("c12_ingest_months", INGEST_SQL)
@@ -245,7 +267,7 @@ def c12b(spark, sf):
     dst = scratch_path(spark, "months")
     for _ in range(2):  # the second run replaces the same months
         ingest_months(X.table(spark, sf, "orders"), dst, *WINDOW, ts="o_orderdate", files_per_month=2)
-    return monthly(spark, dst)
+    return monthly(live.read(spark, dst))
 
 
 @query("c12_ingest_inside_months", """
@@ -257,7 +279,34 @@ def c12c(spark, sf):
     dst, orders = scratch_path(spark, "inside"), X.table(spark, sf, "orders")
     ingest_months(orders, dst, *WINDOW, ts="o_orderdate")
     ingest_months(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1), dst, "1996-05-10", "1996-07-20", ts="o_orderdate")
-    return monthly(spark, dst)
+    return monthly(live.read(spark, dst))
+
+
+@query("c12_replace_window", """
+select cast(date_trunc('month', o_orderdate) as date) as pickup_month, count(*) as n, round(sum(o_totalprice), 2) as total from orders
+where o_orderdate >= date '1996-02-01' and o_orderdate < date '1997-07-01' and (o_orderdate < date '1996-04-11' or o_orderdate >= date '1996-07-01' or
+  (o_orderdate >= date '1996-06-01' and o_orderkey % 2 = 0)) group by 1""")
+def c12d(spark, sf):
+    # A second load whose window ends a month early, and has no row at all in another, takes those days out.
+    dst, orders = scratch_path(spark, "window"), X.table(spark, sf, "orders")
+    ingest_months(orders, dst, *WINDOW, ts="o_orderdate")
+    again = orders.where((F.month("o_orderdate") == 6) & (F.col("o_orderkey") % 2 == 0))
+    ingest_months(again, dst, "1996-04-11", "1996-06-30", ts="o_orderdate")
+    return monthly(live.read(spark, dst))
+
+
+@query("c12_versions", """
+select v.version, v.n_rows + 0 as n_rows from (
+  select 1::bigint as version, count(*) as n_rows from orders where o_orderdate >= date '1996-02-01' and o_orderdate < date '1997-07-01'
+  union all select 2::bigint, count(*) from orders where o_orderdate >= date '1996-06-01' and o_orderdate < date '1997-07-01') v""")
+def c12e(spark, sf):
+    # Each commit stays readable; a load that never commits is not seen.
+    dst, orders = scratch_path(spark, "versions"), X.table(spark, sf, "orders")
+    ingest_months(orders, dst, *WINDOW, ts="o_orderdate")
+    ingest_months(orders.limit(0), dst, "1996-02-01", "1996-05-31", ts="o_orderdate")
+    live.write_load(orders.select("o_orderkey", F.trunc("o_orderdate", "month").alias("pickup_month")), dst)
+    counts = [live.read(spark, dst, v).agg(F.lit(v).cast("long").alias("version"), F.count(F.lit(1)).alias("n_rows")) for v in (1, 2)]
+    return counts[0].unionByName(counts[1])
 
 
 @query("prep_sample", "select count(*) as n_rows, 22::int as n_columns from guarded", "guarded")

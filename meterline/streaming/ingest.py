@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ..session import pin
+from ..sources import live
 from ..sources.writers import by_month
 
 
@@ -51,27 +52,31 @@ def ingest_incremental(
 
 def ingest_months(
     df: DataFrame, dst: str, start: str, end: str, ts: str = "pickup_datetime", files_per_month: int | None = None, rows_per_file: int = 5_000_000
-) -> None:
-    """C12 as a batch: replace the days of the window, leave all others alone.
+) -> int:
+    """C12 as a batch: replace the days of the window as a whole, leave all others alone, and return the new version.
 
-    All months are written by one job, with files of bounded size. A window
-    that begins or ends inside a month keeps that month's other days: they are
-    read first, written aside, and go back with the new ones.
+    Days of the window without new rows end up empty, and a month without any
+    row left is no longer live. A window that begins or ends inside a month
+    writes that month's other days again, together with the new ones. All
+    months are written by one job, with files of bounded size, and take effect
+    together with the commit at the end (``sources.live``): a run that stops
+    before changes nothing. Read the table with ``live.read``. Rows without a
+    time lie in no window. Columns that one side lacks are null there.
     """
-    rows = _window(df, start, end, ts)
     spark = df.sparkSession
-    try:
-        there = spark.read.parquet(dst)
-    except AnalysisException:  # nothing is there yet
-        there = None
-    if there is not None:
-        day, month = F.to_date(ts), F.col("pickup_month").cast("date")
-        lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
-        partly = month.isin(F.trunc(lo, "month"), F.trunc(hi, "month"))
-        others = there.where(partly & ~day.between(lo, hi)).withColumn("pickup_month", month)
-        rows = rows.unionByName(pin(others), allowMissingColumns=True)
-    (
-        by_month(rows, df.columns, files_per_month, rows_per_file)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("pickup_month").parquet(dst)
-    )
+    before = live.state(spark, dst)
+    rows = _window(df, start, end, ts)
+    lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
+    first, last = (date.fromisoformat(d).replace(day=1) for d in (start, end))
+    inside = [m for m in before.loads if first <= m <= last]
+    edges = [m for m in inside if m in (first, last)]
+    if edges:
+        there = live.rows_of(spark, live.LiveTable(dst, before.version, before.columns, {m: before.loads[m] for m in edges}))
+        rows = rows.unionByName(there.where(~F.to_date(ts).between(lo, hi)), allowMissingColumns=True)
+    load = live.write_load(by_month(rows, df.columns, files_per_month, rows_per_file), dst)
+    loads = {m: old for m, old in before.loads.items() if m not in inside}
+    loads |= dict.fromkeys(live.load_months(spark, dst, load), load)
+    columns = {f.name: f for schema in (df.schema, before.columns or StructType()) for f in schema}
+    columns |= {f.name: f for f in df.schema}
+    columns.pop(live.MONTH, None)
+    return live.commit(spark, before, StructType(list(columns.values())), loads)

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from meterline.operators import quality as N
-from meterline.session import scratch_path, shared_dir
-from meterline.sources import readers as A, writers as B
+from meterline.session import pin, scratch_path, shared_dir
+from meterline.sources import live, readers as A, writers as B
 from meterline.streaming.ingest import ingest_incremental, ingest_months
 
 
@@ -117,12 +117,59 @@ def test_stream_ingest_takes_each_file_once(spark):
     assert months == {"2016-01-01", "2016-02-01", "2016-03-01"}
 
 
+def months_of(rows):
+    return {str(r["pickup_month"]): r["n"] for r in rows.groupBy("pickup_month").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
 def test_batch_ingest_replaces_only_its_months(spark):
     dst = scratch_path(spark, "batch")
     ingest_months(dated(spark, "2016-01-01", 60), dst, "2016-01-01", "2016-02-29")
     ingest_months(dated(spark, "2016-02-01", 5), dst, "2016-02-01", "2016-02-29")
-    got = {str(r["pickup_month"]): r["n"] for r in spark.read.parquet(dst).groupBy("pickup_month").agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert got == {"2016-01-01": 310, "2016-02-01": 50}
+    assert months_of(live.read(spark, dst)) == {"2016-01-01": 310, "2016-02-01": 50}
+
+
+def test_batch_ingest_replaces_days_without_new_rows(spark):
+    dst = scratch_path(spark, "batch")
+    assert ingest_months(dated(spark, "2016-01-01", 91), dst, "2016-01-01", "2016-03-31") == 1
+    # The same window with one February day: January and March go.
+    one = dated(spark, "2016-02-10", 1)
+    assert ingest_months(one, dst, "2016-01-01", "2016-03-31") == 2
+    assert months_of(live.read(spark, dst)) == {"2016-02-01": 10}
+    assert months_of(live.read(spark, dst, 1)) == {"2016-01-01": 310, "2016-02-01": 290, "2016-03-01": 310}
+    # A window inside months takes out its own days, here all of them, and then everything.
+    ingest_months(one.limit(0), dst, "2016-02-09", "2016-02-11")
+    assert live.read(spark, dst).count() == 0 and live.read(spark, dst).columns == ["id", "pickup_datetime", "pickup_month"]
+    ingest_months(dated(spark, "2016-04-01", 2).withColumn("new", F.lit(1)), dst, "2016-04-01", "2016-04-30")
+    ingest_months(dated(spark, "2016-04-03", 2), dst, "2016-04-03", "2016-04-04")
+    assert sorted(r["new"] or 0 for r in live.read(spark, dst).collect()) == [0] * 20 + [1] * 20
+
+
+def test_batch_ingest_that_stops_changes_nothing(spark, monkeypatch):
+    dst = scratch_path(spark, "batch")
+    ingest_months(dated(spark, "2016-01-01", 60), dst, "2016-01-01", "2016-02-29")
+
+    def killed(*args):
+        raise KeyboardInterrupt
+    with monkeypatch.context() as stop, pytest.raises(KeyboardInterrupt):
+        stop.setattr(live, "commit", killed)
+        ingest_months(dated(spark, "2016-01-01", 3), dst, "2016-01-01", "2016-02-29")
+    assert months_of(live.read(spark, dst)) == {"2016-01-01": 310, "2016-02-01": 290}
+    before = live.state(spark, dst)
+    ingest_months(dated(spark, "2016-01-01", 3), dst, "2016-01-01", "2016-02-29")
+    with pytest.raises(live.CommitConflict):
+        live.commit(spark, before, before.columns, {})
+    assert months_of(live.read(spark, dst)) == {"2016-01-01": 30}
+
+
+def test_live_readers_open_only_the_months_they_ask_for(spark):
+    dst = scratch_path(spark, "batch")
+    ingest_months(dated(spark, "2016-01-01", 60), dst, "2016-01-01", "2016-02-29")
+    january = live.read(spark, dst).where(F.col("pickup_month") == F.lit("2016-01-01").cast("date"))
+    plan = january._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(pickup_month" in plan
+    assert january.count() == 310
+    with pytest.raises(ValueError, match="no commit"):
+        live.read(spark, scratch_path(spark, "nothing"))
 
 
 def test_fact_files_prune_by_month(spark):
@@ -132,7 +179,41 @@ def test_fact_files_prune_by_month(spark):
     one = spark.read.parquet(path).where(F.col("pickup_month") == F.lit("2016-01-01").cast("date"))
     assert one.count() == 310
     files = one.select(F.input_file_name().alias("f")).distinct().collect()
-    assert 1 <= len(files) <= 2 and all("pickup_month=2016-01-01" in r["f"] for r in files)
+    assert 1 <= len(files) <= 3 and all("pickup_month=2016-01-01" in r["f"] for r in files)
+
+
+def rows_scanned(df):
+    """Rows that the scan of a plan gave to the filter behind it."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.collect()
+    nodes, out = [plan], []
+    while nodes:
+        node = nodes.pop()
+        if "FileSourceScan" in node.getClass().getSimpleName():
+            out.append(node.metrics().apply("numOutputRows").value())
+        if "AdaptiveSparkPlan" in node.getClass().getSimpleName():
+            nodes.append(node.executedPlan())
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return sum(out)
+
+
+def test_fact_files_are_clustered_by_both_zones(spark):
+    path = scratch_path(spark, "fact")
+    times = F.expr("timestampadd(SECOND, cast(id % 86400 as int), timestamp_ntz'2016-01-05 00:00:00')")
+    zone = lambda seed: F.when(F.rand(seed) < 0.33, 17).otherwise((F.rand(seed + 1) * 256).cast("int"))
+    rows = pin(spark.range(64_000).select("id", times.alias("pickup_datetime"), zone(1).alias("pickup_locationid"), zone(5).alias("dropoff_locationid")))
+    B.save_fact(rows, path, files_per_month=32)
+    mart = spark.read.parquet(path)
+    assert mart.drop("pickup_month").exceptAll(rows).isEmpty() and mart.count() == 64_000
+    files = mart.groupBy(F.input_file_name()).agg(*[f(c) for c in ("pickup_locationid", "dropoff_locationid") for f in (F.min, F.max)], F.count("*")).collect()
+    assert max(f[5] for f in files) < 2 * 64_000 / 32  # the pair (17, 17) and the zone 17 are cut as well
+    share = lambda i, z: sum(f[i] <= z <= f[i + 1] for f in files) / len(files)
+    for side in (1, 3):
+        assert sum(share(side, z) for z in range(256)) / 256 < 0.3
+    for column in ("pickup_locationid", "dropoff_locationid"):
+        assert rows_scanned(mart.where(F.col(column) == 200)) < 0.5 * 64_000
+    assert rows_scanned(mart.where("pickup_locationid = 200 and dropoff_locationid = 30")) < 0.15 * 64_000
 
 
 def test_schema_drift(spark):
