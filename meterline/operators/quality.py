@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -117,24 +119,56 @@ def key_ambiguity(df: DataFrame, keys: Sequence[str], pair: Sequence[str] = ("pi
     )
 
 
+def file_columns(spark: SparkSession, path: str) -> DataFrame:
+    """(file, column_name, found_type) of every column in the footers of a set of parquet files.
+
+    Files are rows, and tasks read their footers side by side. Types are those
+    that Spark noted in a file it wrote, or else follow from the file's own.
+    """
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"))
+    out = pa.schema([("file", pa.string()), ("column_name", pa.string()), ("found_type", pa.string())])
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs, parquet
+        from pyspark.sql.pandas.types import from_arrow_type
+
+        def spark_type(kind: pa.DataType) -> str:
+            kind = kind.value_type if pa.types.is_dictionary(kind) else kind
+            try:
+                return from_arrow_type(kind, prefer_timestamp_ntz=True).simpleString()
+            except Exception:  # a type Spark has no name for is told by the file's own
+                return str(kind)
+
+        for batch in batches:
+            rows = []
+            for file in batch.column("file").to_pylist():
+                store, name = fs.FileSystem.from_uri(file)
+                found = parquet.read_schema(name, filesystem=store)
+                noted = (found.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+                columns = [(f.name, f.dataType.simpleString()) for f in StructType.fromJson(json.loads(noted))] if noted else [(f.name, spark_type(f.type)) for f in found]
+                # A file without columns still counts as one.
+                rows += [(file, *c) for c in columns] or [(file, None, None)]
+            yield pa.RecordBatch.from_pylist([dict(zip(out.names, r)) for r in rows], schema=out)
+
+    # One file is a small row that stands for a slow read, so rows alone do not spread the work.
+    tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return files.repartition(tasks, "file").mapInArrow(footers, "file string, column_name string, found_type string")
+
+
 def schema_drift(spark: SparkSession, paths: Mapping[str, str], contract: StructType) -> DataFrame:
     """Columns of each file set that are missing, new or retyped.
 
-    Only file footers are read. Every file is looked at, in batches of file
-    names, and the driver holds each different (column, type) of a set once.
+    Only file footers are read, by the tasks; what they find is counted by
+    column and type before anything else happens to it.
     """
-    found = []
+    have = None
     for name, path in paths.items():
-        files = spark.read.format("binaryFile").load(path).select("path").distinct()
-        seen = {}
-        for r in files.toLocalIterator():
-            for field in spark.read.parquet(r["path"]).schema:
-                seen[field.name, field.dataType.simpleString()] = seen.get((field.name, field.dataType.simpleString()), 0) + 1
-            seen["", ""] = seen.get(("", ""), 0) + 1
-        n = seen.pop(("", ""), 0)
-        found += [(name, column, kind, rows == n) for (column, kind), rows in seen.items()]
+        columns = pin(file_columns(spark, path))
+        files = columns.agg(F.count_distinct("file")).scalar()
+        found = columns.where("column_name is not null").groupBy("column_name", "found_type").agg(F.count(F.lit(1)).alias("_n"))
+        found = found.select(F.lit(name).alias("source"), "column_name", "found_type", (F.col("_n") == files).alias("everywhere"))
+        have = found if have is None else have.unionByName(found)
     expected = [(name, f.name, f.dataType.simpleString()) for name in paths for f in contract]
-    have = spark.createDataFrame(found, "source string, column_name string, found_type string, everywhere boolean")
     want = spark.createDataFrame(expected, "source string, column_name string, expected_type string")
     state = (
         F.when(F.col("found_type").isNull(), "missing")

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
 from ..functions.trip_columns import payment_description, year_month
+from ..session import pin
 from .joins import attach_climate, attach_zones, known_zones
 
 MONEY = "decimal(38,9)"
+MARK_WORDS = 1 << 18  # 2 MB of marks; one row in 160 is shuffled for nothing where 100,000 rows repeat
 
 # Raw column -> staged column and type; the two timestamp names depend on the service.
 STAGED = (
@@ -57,9 +59,32 @@ def stage_trips(df: DataFrame, service: str, start: str, end: str) -> DataFrame:
     )
 
 
-def dedup_rows(df: DataFrame) -> DataFrame:
-    """One of each whole row. Copies collapse before the shuffle."""
-    return df.distinct()
+def _row_digests(df: DataFrame) -> list[Column]:
+    """128 bits of a row in two numbers."""
+    columns = [F.col(c) for c in df.columns]
+    return [F.xxhash64(*columns), F.xxhash64(F.lit("b"), *reversed(columns))]
+
+
+def dedup_rows(df: DataFrame, digests: Sequence[Column] | None = None) -> DataFrame:
+    """One of each whole row; rows without a copy are not shuffled.
+
+    Two digests of each row are counted first. Those that repeat set bits in a
+    bitmap of fixed size (MARK_WORDS words of 64), which is all that is
+    broadcast. Rows whose bit is clear have no copy and stay where they are;
+    the others, a few without copies among them, are shuffled and compared
+    whole, so equal digests of different rows do no harm. Rows are computed
+    three times: keep an expensive input first (``session.pin``).
+    """
+    first, second = digests or _row_digests(df)
+    word, bit = F.pmod(first, F.lit(MARK_WORDS)), F.pmod(second, F.lit(64)).cast("int")
+    one = F.lit(1).cast("long")
+    repeated = df.select(first.alias("_a"), second.alias("_b")).groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    places = repeated.select(F.pmod("_a", F.lit(MARK_WORDS)).alias("_word"), F.pmod("_b", F.lit(64)).cast("int").alias("_bit"))
+    marks = pin(places.groupBy("_word").agg(F.bit_or(F.call_function("shiftleft", one, F.col("_bit"))).alias("_marks")))
+    rows = df.withColumns({"_place": word, "_bit": bit}).join(F.broadcast(marks), F.col("_place") == F.col("_word"), "left")
+    marked = F.coalesce(F.call_function("shiftright", F.col("_marks"), F.col("_bit")).bitwiseAND(one) == 1, F.lit(False))
+    alone = rows.where(~marked).select(*df.columns)
+    return alone.unionByName(rows.where(marked).select(*df.columns).distinct())
 
 
 def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from meterline.operators import aggregates as G
+from meterline.operators import aggregates as G, staging as S
 from meterline.operators.quantiles import exact_quantiles, running_total, value_histogram
 from meterline.operators.ranking import global_row_number, quota_split
 from meterline.operators.staging import dedup_keep_first
@@ -167,3 +167,49 @@ def test_null_groups_have_quantiles(spark):
     assert got == want and None in got
     running = running_total(value_histogram(rows, ["g"], "v"), ["g"], "v").collect()
     assert max(r["cum_n"] for r in running if r["g"] is None) == 100
+
+
+def shuffled_bytes(df):
+    """Bytes written by the shuffles of a plan, once it has run."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.collect()
+    nodes, out = [plan], 0
+    while nodes:
+        node = nodes.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "ShuffleExchangeExec":
+            out += node.metrics().apply("shuffleBytesWritten").value()
+        if kind == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            nodes.append(node.plan())
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return out
+
+
+def wide(spark, n):
+    return spark.range(n).select("id", *[F.sha2(F.concat(F.col("id").cast("string"), F.lit(i)), 256).alias(f"c{i}") for i in range(3)], F.when(F.col("id") % 3 > 0, F.col("id")).alias("sometimes"))
+
+
+def test_distinct_rows_with_and_without_copies(spark):
+    rows = pin(wide(spark, 5000))
+    copies = rows.where("id % 10 = 0").unionByName(rows.where("id < 100")).unionByName(rows.where("id = 7").crossJoin(spark.range(3000).toDF("k")).select(*rows.columns))
+    for df in (rows, rows.unionByName(copies), rows.limit(0), copies.select("sometimes", "id")):
+        got = S.dedup_rows(df)
+        assert got.columns == df.columns
+        assert got.exceptAll(df.distinct()).isEmpty() and got.count() == df.distinct().count()
+
+
+def test_distinct_rows_survive_equal_digests(spark):
+    rows = pin(wide(spark, 3000).unionByName(wide(spark, 200)))
+    for digests in ([F.lit(1).cast("long")] * 2, [F.pmod("id", F.lit(5)), F.pmod("id", F.lit(3))], [F.col("id"), F.lit(0).cast("long")]):
+        got = S.dedup_rows(rows, digests)
+        assert got.exceptAll(rows.distinct()).isEmpty() and got.count() == 3000
+
+
+def test_distinct_shuffles_no_rows_that_stand_alone(spark):
+    rows = pin(wide(spark, 100_000))
+    a, b = S._row_digests(rows)
+    counting = rows.select(a.alias("a"), b.alias("b")).groupBy("a", "b").count()
+    assert shuffled_bytes(S.dedup_rows(rows)) + shuffled_bytes(counting) < shuffled_bytes(rows.distinct()) / 3

@@ -1,6 +1,8 @@
 """Readers, writers and ingest on temporary folders."""
 
+import pyarrow as pa
 import pytest
+from pyarrow import parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -224,6 +226,20 @@ def test_schema_drift(spark):
     assert got == {("a", "retyped"), ("extra", "new"), ("c", "missing")}
 
 
+def test_one_odd_file_of_many(spark, tmp_path):
+    plain = pa.table({"a": pa.array([1, 2]), "when": pa.array([0, 1], pa.timestamp("us")), "kind": pa.array(["x", "y"]).dictionary_encode(), "u": pa.array([1, 2], pa.uint32())})
+    for i in range(1000):
+        table = plain.append_column("late", pa.array([1.5, 2.5])) if i == 613 else plain.set_column(0, "a", pa.array(["1", "2"])) if i == 77 else plain
+        pq.write_table(table, tmp_path / f"part-{i}.parquet")
+    contract = StructType.fromDDL("a bigint, when timestamp_ntz, kind string, u bigint, late double")
+    got = {(r["column_name"], r["found_type"], r["drift"]) for r in N.schema_drift(spark, {"s": str(tmp_path)}, contract).collect()}
+    assert {("a", "string", "retyped"), ("a", "bigint", "missing in some files"), ("late", "double", "missing in some files")} <= got
+    assert {c for c, _, _ in got} == {"a", "late", "u"}
+    columns = N.file_columns(spark, str(tmp_path))
+    assert columns.where("column_name = 'late'").select("file").collect()[0]["file"].endswith("part-613.parquet")
+    assert columns.select(F.spark_partition_id()).distinct().count() > 4
+
+
 def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.sparkContext.getCheckpointDir()
 
