@@ -9,11 +9,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,6 +22,7 @@ from ..operators.encoding import encode_outer_fold
 from ..operators.metrics import METRICS, fold_metrics_to_row, fold_rows, leaderboard, regression_metrics
 from ..operators.splits import fold_split, union_all
 from ..session import pin
+from .ensembles import StackingRegressor, ensemble, linear_with_penalty
 from .stages import MeanRegressor, preprocessor, route_columns
 
 Halves = Callable[[DataFrame, int], tuple[DataFrame, DataFrame]]
@@ -79,46 +79,41 @@ def cross_validate(
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """A model of the sweep: its name, whether it wants scaled numbers, its estimator."""
+    """A model of the sweep: its name, whether it wants scaled numbers, and its estimator, or members and how they combine."""
 
     name: str
     scaled: bool
-    estimator: Estimator
-
-
-def linear_with_penalty(l1: float, l2: float, label_std: float, **options) -> LinearRegression:
-    """Least squares with loss mean(e^2)/2 + l1 * |w| + l2 * w^2 / 2.
-
-    Spark standardises the label inside the solver, which divides the squared
-    penalty by the label's deviation and leaves the absolute one as it is; the
-    two parameters undo that.
-    """
-    squared = l2 * label_std
-    total = l1 + squared
-    share = l1 / total if total else 0.0
-    return LinearRegression(regParam=total, elasticNetParam=share, standardization=False, **options)
+    estimator: Estimator | None = None
+    members: tuple[ModelSpec, ...] = ()
+    options: Mapping[str, object] = field(default_factory=dict)
 
 
 def model_specs(
-    label: str = K.TARGET, rows: int = 1, label_std: float = 1.0, max_iter: int = 100, trees: int = 100, seed: int = K.SEED
+    label: str = K.TARGET, rows: int = 1, label_std: float = 1.0, max_iter: int = 100, trees: int = 100, seed: int = K.SEED, depth: int = 10,
+    inner_folds: str = "",
 ) -> list[ModelSpec]:
-    """The registry of the sweep.
+    """The registry of the sweep, with a vote and a stack of forest, booster and ridge at its end.
 
     ``rows`` and ``label_std`` describe the training rows: the penalty of ridge
     is one against a sum of squares, so it is 1 / rows against their mean.
+    ``depth`` bounds single trees and forests, whose statistics of a level Spark
+    keeps in memory. ``inner_folds`` is the stack's fold column, if any.
     """
     cols = {"labelCol": label, "featuresCol": "features"}
-    return [
+    forest = {**cols, "featureSubsetStrategy": "all", "seed": seed, "maxDepth": depth}
+    singles = [
         ModelSpec("mean", False, MeanRegressor(label)),
         ModelSpec("ols", True, LinearRegression(**cols)),
         ModelSpec("ridge", True, linear_with_penalty(0.0, 1.0 / rows, label_std, **cols)),
         ModelSpec("lasso", True, linear_with_penalty(1.0, 0.0, label_std, **cols)),
         ModelSpec("elastic_net", True, linear_with_penalty(0.5, 0.5, label_std, **cols)),
-        ModelSpec("decision_tree", False, DecisionTreeRegressor(**cols, maxDepth=10, seed=seed)),
-        ModelSpec("random_forest", False, RandomForestRegressor(**cols, numTrees=trees, featureSubsetStrategy="all", seed=seed, maxDepth=10)),
-        ModelSpec("bagging", False, RandomForestRegressor(**cols, numTrees=10, featureSubsetStrategy="all", seed=seed, maxDepth=10)),
+        ModelSpec("decision_tree", False, DecisionTreeRegressor(**cols, maxDepth=depth, seed=seed)),
+        ModelSpec("random_forest", False, RandomForestRegressor(**forest, numTrees=trees)),
+        ModelSpec("bagging", False, RandomForestRegressor(**forest, numTrees=10)),
         ModelSpec("gradient_boosting", False, GBTRegressor(**cols, maxIter=max_iter, maxDepth=3, seed=seed)),
     ]
+    chosen = tuple(s for s in singles if s.name in ("ridge", "random_forest", "gradient_boosting"))
+    return [*singles, ModelSpec("vote", False, members=chosen), ModelSpec("stack", False, members=chosen, options={"foldCol": inner_folds})]
 
 
 def specs_for(df: DataFrame, k: int = K.FOLDS, label: str = K.TARGET, **options) -> list[ModelSpec]:
@@ -127,8 +122,11 @@ def specs_for(df: DataFrame, k: int = K.FOLDS, label: str = K.TARGET, **options)
     return model_specs(label, rows=max(n * (k - 1) // k, 1), label_std=std or 1.0, **options)
 
 
-def spec_pipeline(spec: ModelSpec, columns: Sequence[str], variant: str = "target_encoded", label: str = K.TARGET) -> Pipeline:
-    """The preprocessing a model wants, then the model."""
+def spec_pipeline(spec: ModelSpec, columns: Sequence[str], variant: str = "target_encoded", label: str = K.TARGET) -> Estimator:
+    """The preprocessing a model wants, then the model; members of an ensemble each bring their own."""
+    if spec.members:
+        members = {m.name: spec_pipeline(m, columns, variant, label) for m in spec.members}
+        return ensemble(spec.name, members, label, **spec.options)
     groups = route_columns([c for c in columns if c != "fold"], variant, label)
     return Pipeline(stages=[*preprocessor(groups, spec.scaled, label), spec.estimator])
 
@@ -141,42 +139,10 @@ def run_sweep(
     return leaderboard(fold_metrics_to_row(union_all(folds)))
 
 
-@dataclass(frozen=True)
-class StackedModel:
-    """Fitted members, and the linear model over their predictions."""
-
-    members: Mapping[str, Model]
-    meta: PipelineModel
-    label: str
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        keep = df.columns
-        return self.meta.transform(_predict_all(self.members, df)).select(*keep, "prediction")
-
-
-def _predict_all(members: Mapping[str, Model], df: DataFrame) -> DataFrame:
-    """Add one column per member; the members' own columns are dropped again."""
-    for name, model in members.items():
-        df = model.transform(df).select(*df.columns, F.col("prediction").alias(f"pred_{name}"))
-    return df
-
-
-def stack(df: DataFrame, members: Mapping[str, Estimator], k: int = K.FOLDS, label: str = K.TARGET, fold: str = "fold", penalty: float = 1.0) -> StackedModel:
-    """A ridge model over the members' out-of-fold predictions.
-
-    A fold's rows get all members' predictions in one pass. The members are then
-    fitted on all rows for use on new ones.
-    """
-    parts = []
-    for i in range(k):
-        train, test = fold_split(df, i, fold)
-        parts.append(_predict_all({n: e.fit(train) for n, e in members.items()}, test))
-    names = [f"pred_{n}" for n in members]
-    predicted = pin(union_all(parts))
-    n, std = predicted.agg(F.count(label), F.stddev_pop(label)).first()
-    final = linear_with_penalty(0.0, penalty / n, std, labelCol=label, featuresCol="member_predictions")
-    meta = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="member_predictions"), final])
-    return StackedModel({n: e.fit(df) for n, e in members.items()}, meta.fit(predicted), label)
+def stack(df: DataFrame, members: Mapping[str, Estimator], k: int = K.FOLDS, label: str = K.TARGET, fold: str = "fold", penalty: float = 1.0) -> Model:
+    """A stack over the folds that ``df`` brings, or over ``k`` folds by hash."""
+    column = fold if fold in df.columns else ""
+    return StackingRegressor(members=members, labelCol=label, folds=k, foldCol=column, penalty=penalty).fit(df)
 
 
 def tune(

@@ -8,8 +8,10 @@ from dataclasses import dataclass
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, TargetEncoder, VectorAssembler, VectorSlicer
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as K
@@ -138,18 +140,20 @@ def gbt_pipeline(
     return Pipeline(stages=[*preprocessor(groups, False, label, smoothing), model]), groups
 
 
-class MeanModel(Model, HasPredictionCol):
+class MeanModel(Model, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
     """Predicts one number for every row."""
 
+    mean = Param(Params._dummy(), "mean", "the number", TypeConverters.toFloat)
+
     def __init__(self, mean: float = 0.0):
         super().__init__()
-        self.mean = mean
+        self._set(mean=mean)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumn(self.getPredictionCol(), F.lit(float(self.mean)))
+        return dataset.withColumn(self.getPredictionCol(), F.lit(self.getOrDefault("mean")))
 
 
-class MeanRegressor(Estimator, HasLabelCol, HasPredictionCol):
+class MeanRegressor(Estimator, HasLabelCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
     """The mean of the label: the floor every model is compared with."""
 
     def __init__(self, label: str = K.TARGET, prediction: str = "prediction"):

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import trip_columns as C
-from ..ml import evaluation as V, stages as P
+from ..ml import ensembles as E, evaluation as V, stages as P
 from ..operators import encoding as M, metrics as R, quality as N
 from ..operators.sampling import md5_bucket
 from ..operators.splits import fold_split, union_all
@@ -260,7 +260,7 @@ def m15(spark, sf):
 @query("m15_run_sweep")
 def m15b(spark, sf):
     f = feature_frame(spark, sf)
-    return V.run_sweep(f, V.specs_for(f, 3, max_iter=ROUNDS, trees=TREES), 3, variant="dropped")
+    return V.run_sweep(f, V.specs_for(f, 3, max_iter=ROUNDS, trees=TREES, depth=DEPTH, inner_folds="fold"), 3, variant="dropped")
 
 
 @query("m16_vote", f"""
@@ -273,13 +273,62 @@ def m16(spark, sf):
     return rounded(R.vote(both, ["prediction", "service_mean"], "vote").select("tripid", "vote"))
 
 
-@query("m17_stack")
+# For each outer fold, with the other folds as inner ones: the members (a line over the distance, and the mean), and the
+# final line over the first member's out-of-fold predictions, with a penalty of 1 against the sum of squares.
+ENSEMBLE_FIT = """
+pairs as (select distinct a.fold as o, b.fold as i from enc a join enc b on a.fold <> b.fold),
+inner_fits as (select o, i, regr_slope(fare_capped, trip_distance) as a, regr_intercept(fare_capped, trip_distance) as b
+  from pairs join enc e on e.fold <> o and e.fold <> i group by 1, 2),
+unseen as (select o, a * trip_distance + b as p, fare_capped as y from inner_fits join enc e on e.fold = i),
+finals as (select o, regr_sxy(y, p) / (regr_sxx(y, p) + 1) as w, avg(y) as my, avg(p) as mp from unseen group by 1),
+whole as (select o, regr_slope(fare_capped, trip_distance) as a, regr_intercept(fare_capped, trip_distance) as b, avg(fare_capped) as m
+  from (select distinct fold as o from enc) x join enc e on e.fold <> o group by 1),
+ensembles as (select e.*, a * trip_distance + b as line, m, w * (a * trip_distance + b) + my - w * mp as stacked, (a * trip_distance + b + m) / 2 as voted
+  from enc e join whole on whole.o = e.fold join finals on finals.o = e.fold)"""
+
+
+def line_and_mean():
+    """Members with closed forms."""
+    line, mean = one_feature(), P.MeanRegressor("fare_capped")
+    return {"line": line, "mean": mean}
+
+
+@query("m17_stacking_regressor", f"with {ENSEMBLE_FIT.strip()}\nselect tripid, round(stacked, 3) as prediction from ensembles where fold = 0", "enc")
 def m17(spark, sf):
-    f = feature_frame(spark, sf)
-    specs = {s.name: s for s in V.model_specs(max_iter=ROUNDS, trees=TREES)}
-    members = {n: V.spec_pipeline(specs[n], f.columns, "dropped") for n in ("ols", "decision_tree")}
-    fitted = V.stack(f, members, 3)
-    return R.regression_metrics(fitted.transform(f), K.TARGET)
+    # Fitted on four folds, which are its inner folds too, and scored on the fifth.
+    train, test = fold_split(pin(enc(spark, sf)), 0)
+    stacked = E.StackingRegressor(members={"line": one_feature()}, labelCol="fare_capped", foldCol="fold").fit(train)
+    return rounded(stacked.transform(test).select("tripid", "prediction"), 3)
+
+
+@query("m16_voting_regressor", f"with {ENSEMBLE_FIT.strip()}\nselect tripid, round(voted, 4) as prediction from ensembles where fold = 0", "enc")
+def m16b(spark, sf):
+    train, test = fold_split(pin(enc(spark, sf)), 0)
+    voted = E.VotingRegressor(members=line_and_mean(), labelCol="fare_capped").fit(train)
+    return rounded(voted.transform(test).select("tripid", "prediction"))
+
+
+@query("m15_sweep_ensembles", f"""
+with {ENSEMBLE_FIT.strip()},
+long as (select 'mean' as model, fold, fare_capped, m as prediction from ensembles union all select 'ols', fold, fare_capped, line from ensembles
+  union all select 'vote', fold, fare_capped, voted from ensembles union all select 'stack', fold, fare_capped, stacked from ensembles),
+f as (select model, fold, avg(abs(fare_capped - prediction)) as mae, sqrt(avg(pow(fare_capped - prediction, 2))) as rmse from long group by 1, 2)
+select model, round(avg(mae), 3) as mae_mean, round(avg(rmse), 3) as rmse_mean, round(stddev_pop(rmse), 3) as rmse_std from f group by 1""", "enc")
+def m15c(spark, sf):
+    # Vote and stack as rows of the leaderboard, on the folds of their members.
+    e = pin(enc(spark, sf).select(F.col("trip_distance").alias("distance_capped"), "fare_capped", "fold"))
+    specs = {s.name: s for s in V.model_specs()}
+    rows = [specs["mean"], specs["ols"], V.ModelSpec("vote", False, members=(specs["ols"], specs["mean"])), V.ModelSpec("stack", False, members=(specs["ols"],), options={"foldCol": "fold"})]
+    return rounded(V.run_sweep(e, rows, 5).select("model", "mae_mean", "rmse_mean", "rmse_std"), 3)
+
+
+@query("m17_stack")
+def m17b(spark, sf):
+    # Forest, booster and ridge as members, fitted on two folds and scored on the third.
+    train, test = fold_split(feature_frame(spark, sf), 0)
+    specs = {s.name: s for s in V.specs_for(train, 3, max_iter=ROUNDS, trees=TREES, depth=DEPTH)}
+    members = {n: V.spec_pipeline(specs[n], train.columns, "dropped") for n in ("random_forest", "gradient_boosting", "ridge")}
+    return R.regression_metrics(V.stack(train, members).transform(test), K.TARGET)
 
 
 @query("m18_create_ml_pipeline", """

@@ -9,8 +9,9 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from meterline import constants as K
-from meterline.ml import evaluation as V, stages as P
+from meterline.ml import ensembles as E, evaluation as V, stages as P
 from meterline.operators import metrics as R, sampling as I, splits as J
+from meterline.session import scratch_path
 
 
 def test_unknown_strategy_and_preset(spark):
@@ -196,6 +197,78 @@ def test_stack_keeps_rows_and_beats_the_mean(spark):
     assert R.regression_metrics(out, "fare_capped").first()["r2"] > 0.8
 
 
+def ensembles(df, kind, **options):
+    specs = {s.name: s for s in V.model_specs(max_iter=3, trees=3, depth=4)}
+    members = {n: V.spec_pipeline(specs[n], df.columns, "dropped") for n in ("random_forest", "gradient_boosting", "ridge")}
+    return E.ensemble(kind, members, **options)
+
+
+@pytest.mark.parametrize("kind", ["vote", "stack"])
+def test_ensembles_of_forest_booster_and_ridge_are_saved_and_loaded(spark, kind):
+    df = trips(spark)
+    train, test = df.where("fold > 0"), df.where("fold = 0")
+    model = ensembles(df, kind).fit(train)
+    out = model.transform(test)
+    assert out.columns == [*df.columns, "prediction"] and out.count() == test.count()
+    assert R.regression_metrics(out, "fare_capped").first()["r2"] > 0.7
+    path = scratch_path(spark, kind)
+    model.write().overwrite().save(path)
+    again = type(model).load(path)
+    assert again.uid == model.uid and list(again.members) == list(model.members)
+    assert again.transform(test).exceptAll(out).isEmpty()
+    piped = Pipeline(stages=[ensembles(df, kind)]).fit(train)
+    assert piped.transform(test).select("prediction").count() == test.count()
+
+
+def test_a_vote_is_the_mean_and_a_stack_sees_no_row_it_predicts(spark):
+    df = trips(spark).withColumn("noise", F.xxhash64("trip_duration_min", "distance_capped").cast("double"))
+    members = {"mean": P.MeanRegressor(), "ols": Pipeline(stages=[VectorAssembler(inputCols=["distance_capped"], outputCol="v"), LinearRegression(labelCol="fare_capped", featuresCol="v")])}
+    fitted = E.VotingRegressor(members=members).fit(df)
+    single = E.predict_all({n: e.fit(df) for n, e in members.items()}, df).select(((F.col("pred_mean") + F.col("pred_ols")) / 2).alias("prediction"))
+    assert fitted.transform(df).select(F.round("prediction", 9)).exceptAll(single.select(F.round("prediction", 9))).isEmpty()
+
+    class Remembers(P.MeanRegressor):
+        """Fits its rows perfectly and knows nothing of others."""
+        def _fit(self, dataset):
+            return Table(dataset.select("noise", F.col("fare_capped").alias("known")).distinct())
+
+    class Table(P.MeanModel):
+        def __init__(self, rows):
+            super().__init__()
+            self.rows = rows
+
+        def _transform(self, dataset):
+            return dataset.join(self.rows, "noise", "left").withColumn("prediction", F.coalesce("known", F.lit(0.0))).drop("known")
+
+    stacked = E.StackingRegressor(members={"learned": Remembers(), "ols": members["ols"]}, foldCol="fold").fit(df)
+    # Out of fold the first member is worthless, so the stack leans on the second.
+    assert abs(stacked.final.coefficients[0]) < 0.1 < 0.9 < stacked.final.coefficients[1]
+
+
+def test_ensembles_in_cross_validation_sweep_and_grid_search(spark):
+    df = trips(spark)
+    specs = [s for s in V.specs_for(df, 3, max_iter=2, trees=2, depth=3, inner_folds="fold") if s.name in ("mean", "vote", "stack")]
+    board = [r["model"] for r in V.run_sweep(df, specs, 3, variant="dropped").collect()]
+    assert sorted(board[:2]) == ["stack", "vote"] and board[2] == "mean"
+    linear = LinearRegression(labelCol="fare_capped", featuresCol="features")
+    member = Pipeline(stages=[VectorAssembler(inputCols=["distance_capped"], outputCol="features"), linear])
+    grid = ParamGridBuilder().addGrid(linear.regParam, [1000.0]).build()
+    cv = V.tune(E.VotingRegressor(members={"one": member}), df, grid, V.regression_evaluator(), 3, fold="fold")
+    results = [r["metric_mean"] for r in V.tuning_results(cv, spark).orderBy("entry").collect()]
+    assert results[1] > 1.5 * results[0]
+
+
+def test_ensembles_refuse_what_they_cannot_fit(spark):
+    df = trips(spark)
+    for bad in (E.VotingRegressor(), E.StackingRegressor()):
+        with pytest.raises(ValueError, match="needs members"):
+            bad.fit(df)
+    with pytest.raises(ValueError, match="inner folds"):
+        E.StackingRegressor(members={"mean": P.MeanRegressor()}, foldCol="fold").fit(df.where("fold = 1"))
+    with pytest.raises(ValueError, match="unknown ensemble"):
+        E.ensemble("blend", {})
+
+
 def test_tune_entry_zero_is_untuned(spark):
     df = trips(spark)
     linear = LinearRegression(labelCol="fare_capped", featuresCol="features")
