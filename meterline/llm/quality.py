@@ -5,8 +5,12 @@ text is shuffled. Sketches are merged from tasks into (language, source)
 groups, from groups into languages and from languages into one; a group with
 few rows takes the sketch of its language, or of all rows.
 
-Fences come from the quartiles (``thresholds``, which the SQL states) or from
-the tails (``tail_thresholds``, which the pipeline takes).
+Fences follow the tails. Where a feature varies, its tail goes out rank by
+rank until a gap, and the fence lies REACH times the tail's length beyond; what
+lies behind a gap, as junk does, moves nothing. Where most rows have none of a
+feature, the rows that have some decide: if they stand apart from zero by more
+than their lowest differ among themselves, the fence cuts the gap in half, and else it
+lies beyond their tail. Every fence scales with the values it is taken from.
 """
 
 from __future__ import annotations
@@ -26,25 +30,14 @@ MIN_WORDS = 10       # base rule
 MAX_REPEATED = 20    # base rule, percent of words in repeated windows
 SKETCH_K = 2048      # a sketch of fewer values is exact
 MIN_ROWS = 100       # a smaller group takes the sketch above it
-FENCE = 6.0          # quartile distances beyond the quartiles
-# Features by name, with the least quartile distance counted and the sides on which a row can fail.
-FEATURES = {
-    "symbol_share": (0.02, "upper"),
-    "capital_share": (0.04, "upper"),
-    "dup_line_share": (0.1, "upper"),
-    "word_length": (0.4, "both"),
-}
-# Tail fences: by name, the least spread counted, the sides, and the largest fence.
-TAILS = {
-    "symbol_share": (0.01, "upper", 0.5),
-    "capital_share": (0.025, "upper", 0.5),
-    "dup_line_share": (0.09, "upper", 0.5),
-    "word_length": (0.5, "both", float("inf")),
-}
+MIN_SOME = 30        # as MIN_ROWS, for the rows that have some of a feature
+FEATURES = {"symbol_share": "upper", "capital_share": "upper", "dup_line_share": "upper", "word_length": "both"}  # sides on which a row can fail
 BODY = 0.2                        # share of a group that may be junk at an end before its spread is
 TAIL_RANKS = (0.1, 0.05, 0.02)    # further out, as far as the values go on without a gap
-GAP = 2.0                         # spreads between two ranks that end the tail
-REACH = 4.0                       # spreads beyond the end of the tail
+GAP = 2.0                         # spreads without a value that end a tail
+REACH = 2.0                       # lengths of the tail beyond its end
+SOME_LOW, SOME_NEXT = 0.05, 0.25  # ranks of the rows that have some, within whose GAP distances zero must not lie
+SOME_REACH = 4.0                  # else: their spreads beyond the middle one
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -102,17 +95,6 @@ def measured(rows: DataFrame, text: Column) -> DataFrame:
     return out.drop("_text", "_words", "_lines", "_windows", "_ordered", "_places", "_capitals", "_n_lines")
 
 
-def _quartile_fences(at) -> list[Column]:
-    """FENCE quartile distances outside the quartiles; ``at(feature, q)`` is a quantile."""
-    out = []
-    for f, (least, sides) in FEATURES.items():
-        low, high = at(f, 0.25), at(f, 0.75)
-        reach = FENCE * F.greatest(high - low, F.lit(least))
-        out.append((high + reach).alias(f"{f}_hi"))
-        out.append((low - reach if sides == "both" else F.lit(None).cast("double")).alias(f"{f}_lo"))
-    return out
-
-
 def _tail_end(at, f: str, spread: Column, upper: bool) -> Column:
     """The value of the outermost rank that no gap parts from the body."""
     rank = lambda q: at(f, 1 - q if upper else q)
@@ -122,42 +104,55 @@ def _tail_end(at, f: str, spread: Column, upper: bool) -> Column:
     return F.aggregate(values, start, lambda a, v: F.struct(F.when(joined(a, v), v).otherwise(a["end"]).alias("end"), joined(a, v).alias("on")), lambda a: a["end"])
 
 
-def _tail_fences(at) -> list[Column]:
-    """REACH spreads beyond the end of each tail, where a spread is that of the body on this side of the median."""
+def _fences(at, some) -> list[Column]:
+    """``<feature>_hi`` and ``<feature>_lo``; ``at(feature, q)`` is a quantile, ``some(feature, q)`` one of the rows that have some, or null."""
     out = []
-    for f, (least, sides, largest) in TAILS.items():
-        above = F.greatest(at(f, 1 - BODY) - at(f, 0.5), F.lit(least))
-        below = F.greatest(at(f, 0.5) - at(f, BODY), F.lit(least))
-        out.append(F.least(_tail_end(at, f, above, True) + REACH * above, F.lit(largest)).alias(f"{f}_hi"))
-        out.append((_tail_end(at, f, below, False) - REACH * below if sides == "both" else F.lit(None).cast("double")).alias(f"{f}_lo"))
+    for f, sides in FEATURES.items():
+        middle = at(f, 0.5)
+        end = _tail_end(at, f, at(f, 1 - BODY) - middle, True)
+        high = end + REACH * (end - middle)
+        if sides == "upper":
+            low, near, half = (some(f, q) for q in (SOME_LOW, SOME_NEXT, 0.5))
+            apart = F.when(low > GAP * (near - low), low / 2).otherwise(half + SOME_REACH * (half - low))
+            high = F.when(at(f, 1 - BODY) > 0, high).otherwise(apart)
+        out.append(high.alias(f"{f}_hi"))
+        end = _tail_end(at, f, middle - at(f, BODY), False)
+        out.append((end - REACH * (middle - end) if sides == "both" else F.lit(None).cast("double")).alias(f"{f}_lo"))
     return out
 
 
-def thresholds(measures: DataFrame, fences=_quartile_fences) -> DataFrame:
+def thresholds(measures: DataFrame, min_rows: int = MIN_ROWS, min_some: int = MIN_SOME) -> DataFrame:
     """Per (lang, source) of the rows that pass the base rules: ``<feature>_lo`` and ``<feature>_hi``.
 
-    Null languages and sources are groups of their own.
+    Null languages and sources are groups of their own. A group of fewer than
+    ``min_rows`` rows (``min_some`` with some of a feature) takes the sketch of
+    its language, or of all rows; where those are too few as well, the sketch
+    of all rows serves, and rows with some of a feature have no fence of it.
     """
-    passed = measures.where(~F.col("base_failed"))
-    leaf = passed.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(f, F.lit(SKETCH_K)).alias(f) for f in FEATURES))
-    leaf = pin(leaf)
-    merged = lambda rows, *by: rows.groupBy(*by).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(f, F.lit(SKETCH_K)).alias(f) for f in FEATURES))
+    shares = [f for f, sides in FEATURES.items() if sides == "upper"]
+    columns = {**{f: F.col(f) for f in FEATURES}, **{f"{f}_some": F.when(F.col(f) > 0, F.col(f)) for f in shares}}
+    passed = measures.where(~F.col("base_failed")).select("lang", "source", *(c.alias(n) for n, c in columns.items()))
+    counts = [F.count("*").alias("n"), *(F.count(f"{f}_some").alias(f"n_{f}") for f in shares)]
+    leaf = pin(passed.groupBy("lang", "source").agg(*counts, *(F.kll_sketch_agg_double(c, F.lit(SKETCH_K)).alias(c) for c in columns)))
+    sums = ["n", *(f"n_{f}" for f in shares)]
+    merged = lambda rows, *by: rows.groupBy(*by).agg(*(F.sum(c).alias(c) for c in sums), *(F.kll_merge_agg_double(c, F.lit(SKETCH_K)).alias(c) for c in columns))
     langs = pin(merged(leaf, "lang"))
-    everything = merged(langs).select(F.col("n").alias("n2"), *(F.col(f).alias(f"{f}2") for f in FEATURES))
-    langs = langs.select(F.col("lang").alias("lang1"), F.col("n").alias("n1"), *(F.col(f).alias(f"{f}1") for f in FEATURES))
+    renamed = lambda rows, level: [F.col(c).alias(f"{c}{level}") for c in (*sums, *columns)]
+    everything = merged(langs).select(*renamed(langs, 2))
+    langs = langs.select(F.col("lang").alias("lang1"), *renamed(langs, 1))
     groups = leaf.join(langs, F.col("lang").eqNullSafe(F.col("lang1"))).join(everything, F.lit(True))
-    sketch = lambda f: F.when(F.col("n") >= MIN_ROWS, F.col(f)).when(F.col("n1") >= MIN_ROWS, F.col(f"{f}1")).otherwise(F.col(f"{f}2"))
-    return groups.select("lang", "source", *fences(lambda f, q: F.kll_sketch_get_quantile_double(sketch(f), F.lit(q))))
+    quantile = lambda c, q: F.kll_sketch_get_quantile_double(F.col(c), F.lit(q))
 
+    def at(f: str, q: float) -> Column:
+        return F.when(F.col("n") >= min_rows, quantile(f, q)).when(F.col("n1") >= min_rows, quantile(f"{f}1", q)).otherwise(quantile(f"{f}2", q))
 
-def tail_thresholds(measures: DataFrame) -> DataFrame:
-    """As ``thresholds``, from the tails.
+    def some(f: str, q: float) -> Column:
+        out = F.when(F.col(f"n_{f}") >= min_some, quantile(f"{f}_some", q))
+        for level in (1, 2):
+            out = out.when(F.col(f"n_{f}{level}") >= min_some, quantile(f"{f}_some{level}", q))
+        return out
 
-    A feature that is 0 for most rows has no quartile distance, yet its fence
-    follows the rows that have some: the tail goes out rank by rank until a
-    gap, and what lies behind a gap, as junk does, moves nothing.
-    """
-    return thresholds(measures, _tail_fences)
+    return groups.select("lang", "source", *_fences(at, some))
 
 
 def judged(measures: DataFrame, limits: DataFrame) -> DataFrame:
@@ -165,46 +160,77 @@ def judged(measures: DataFrame, limits: DataFrame) -> DataFrame:
     limits = limits.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *(F.col(f"{f}_{s}") for f in FEATURES for s in ("lo", "hi")))
     joined = measures.join(limits, F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source")), "left")
     within = F.lit(True)
-    for f in FEATURES:
+    for f in FEATURES:  # a fence that is null holds for every row
         within = within & F.coalesce((F.col(f) <= F.col(f"{f}_hi")) & (F.col(f) >= F.coalesce(F.col(f"{f}_lo"), F.lit(float("-inf")))), F.lit(True))
     return joined.withColumn("kept", ~F.col("base_failed") & within)
 
 
-def judge(docs: DataFrame, limit=thresholds) -> DataFrame:
-    """Per row of ``docs``: doc_id, lang, source, the base counts, base_failed and kept, by the fences of ``limit``."""
+def judge(docs: DataFrame, **limits) -> DataFrame:
+    """Per row of ``docs``: doc_id, lang, source, the base counts, base_failed and kept, by the fences of ``thresholds``.
+
+    Equal rows count as often as they come and share their verdict. A null
+    doc_id is returned as null. Null, empty and very short texts fail the base
+    rules; very long ones are measured whole. An empty table gives no rows.
+    Columns other than doc_id, lang, source and text are not looked at.
+    """
     text = F.col("text")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), text)
     measures = pin(measured(rows, text).drop("text"))
-    limits = pin(limit(measures))
-    return judged(measures, limits).select("doc_id", "lang", "source", *BASE, "base_failed", "kept")
+    return judged(measures, pin(thresholds(measures, **limits))).select("doc_id", "lang", "source", *BASE, "base_failed", "kept")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the tail fences keep, with their columns.
+    """The rows of ``docs`` that the rules keep, with their columns.
 
     Rows and measures are written together once, so that no text is shuffled
     to meet its verdict.
     """
     row = docs.select(F.struct("*").alias("row"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
     measures = pin(measured(row, F.col("row.text")))
-    limits = pin(tail_thresholds(measures))
-    return judged(measures, limits).where("kept").select(*[F.col("row")[n].alias(n) for n in docs.columns])
+    return judged(measures, pin(thresholds(measures))).where("kept").select(*[F.col("row")[n].alias(n) for n in docs.columns])
 
 
 def check_sql() -> str:
     """DuckDB SQL for ``judge`` over documents, exact where no group has more values than a sketch holds."""
-    quantile = lambda f, q: f"quantile_disc({f}, {q})"
-    per = lambda by: ", ".join([*by, "count(*) as n", *(f"{quantile(f, q)} as {f}_{q * 100:.0f}" for f in FEATURES for q in (0.25, 0.75))])
-    fences, tests = [], []
-    for f, (least, sides) in FEATURES.items():
-        pick = lambda q: f"case when g.n >= {MIN_ROWS} then g.{f}_{q} when l.n >= {MIN_ROWS} then l.{f}_{q} else a.{f}_{q} end"
-        lo, hi = pick(25), pick(75)
-        reach = f"{FENCE} * greatest({hi} - {lo}, {least})"
-        fences.append(f"{hi} + {reach} as {f}_hi")
-        tests.append(f"m.{f} <= t.{f}_hi")
+    shares = [f for f, sides in FEATURES.items() if sides == "upper"]
+    ranks = sorted({0.5, *(q for r in (BODY, *TAIL_RANKS) for q in (r, round(1 - r, 6)))})
+    name = lambda f, q: f"{f}_{round(q * 100)}"
+
+    def per(by: list[str]) -> str:
+        out = [*by, "count(*) as n", *(f"quantile_disc({f}, {q}) as {name(f, q)}" for f in FEATURES for q in ranks)]
+        for f in shares:
+            out += [f"count(*) filter (where {f} > 0) as n_{f}", *(f"quantile_disc({f}, {q}) filter (where {f} > 0) as {name(f + '_some', q)}" for q in (SOME_LOW, SOME_NEXT, 0.5))]
+        return ", ".join(out)
+
+    chosen, fences, tests = [], [], []
+    for f in FEATURES:
+        chosen += [f"case when g.n >= {MIN_ROWS} then g.{name(f, q)} when l.n >= {MIN_ROWS} then l.{name(f, q)} else a.{name(f, q)} end as {name(f, q)}" for q in ranks]
+    for f in shares:
+        for q in (SOME_LOW, SOME_NEXT, 0.5):
+            c = name(f + "_some", q)
+            chosen.append(f"case when g.n_{f} >= {MIN_SOME} then g.{c} when l.n_{f} >= {MIN_SOME} then l.{c} when a.n_{f} >= {MIN_SOME} then a.{c} end as {c}")
+
+    def end(f: str, upper: bool) -> str:
+        rank = lambda q: name(f, round(1 - q, 6) if upper else q)
+        reach = f"{GAP} * abs({rank(BODY)} - {name(f, 0.5)})"
+        steps = [rank(BODY), *(rank(q) for q in TAIL_RANKS)]
+        cases, joined = [], []
+        for before, after in zip(steps, steps[1:]):
+            joined.append(f"abs({after} - {before}) <= {reach}")
+            cases.insert(0, f"when {' and '.join(joined)} then {after}")
+        return f"case {' '.join(cases)} else {steps[0]} end"
+
+    for f, sides in FEATURES.items():
+        middle, high = name(f, 0.5), end(f, True)
+        fence = f"({high}) + {REACH} * (({high}) - {middle})"
+        if sides == "upper":
+            low, near, half = (name(f + "_some", q) for q in (SOME_LOW, SOME_NEXT, 0.5))
+            fence = f"case when {name(f, 1 - BODY)} > 0 then {fence} when {low} > {GAP} * ({near} - {low}) then {low} / 2 else {half} + {SOME_REACH} * ({half} - {low}) end"
+        fences.append(f"{fence} as {f}_hi")
+        tests.append(f"coalesce(m.{f} <= t.{f}_hi, true)")
         if sides == "both":
-            fences.append(f"{lo} - {reach} as {f}_lo")
-            tests.append(f"m.{f} >= t.{f}_lo")
+            fences.append(f"({end(f, False)}) - {REACH} * ({middle} - ({end(f, False)})) as {f}_lo")
+            tests.append(f"coalesce(m.{f} >= t.{f}_lo, true)")
     return rf"""
 with raw as (select doc_id, lang, source, coalesce(text, '') as text,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
@@ -228,7 +254,8 @@ passed as (select * from m where not base_failed),
 g as (select {per(['lang', 'source'])} from passed group by lang, source),
 l as (select {per(['lang'])} from passed group by lang),
 a as (select {per([])} from passed),
-t as (select g.lang, g.source, {', '.join(fences)} from g join l on g.lang is not distinct from l.lang cross join a)
+c as (select g.lang, g.source, {', '.join(chosen)} from g join l on g.lang is not distinct from l.lang cross join a),
+t as (select lang, source, {', '.join(fences)} from c)
 select m.doc_id, m.lang, m.source, {', '.join(f'm.{c}' for c in BASE)}, m.base_failed,
   not m.base_failed and {' and '.join(tests)} as kept
 from m left join t on m.lang is not distinct from t.lang and m.source is not distinct from t.source"""

@@ -123,3 +123,35 @@ def test_shortages_go_to_siblings_first(spark):
     assert got == {"=a": 100, "=b": 1000, "=c": 790}
     got = {r.source: r.budget for r in mixing.budgets(leaves, {"source": {"b": 0}}, 1.0, 1).collect()}
     assert got["=b"] == 0 and got["=a"] == 100
+
+
+def shares(spark, factor):
+    """Two languages whose rows have symbols at different rates, scaled by ``factor``."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(3000):
+        lang = "ab"[i % 2]
+        some = 0.0 if rng.random() < 0.93 else rng.uniform(0.02, 0.03) * (1 + 2 * (lang == "b"))
+        rows.append((lang, f"s{i % 3}", False, factor * some, rng.gauss(0.02, 0.002), 0.0, rng.gauss(5, 0.1)))
+    return spark.createDataFrame(rows, "lang string, source string, base_failed boolean, symbol_share double, capital_share double, dup_line_share double, word_length double")
+
+
+def test_fences_follow_the_values_they_are_taken_from(spark):
+    fences = {k: {(r.lang, r.source): r for r in quality.thresholds(shares(spark, k)).collect()} for k in (1.0, 3.0)}
+    for group, one in fences[1.0].items():
+        three = fences[3.0][group]
+        assert three.symbol_share_hi == pytest.approx(3 * one.symbol_share_hi) and three.capital_share_hi == one.capital_share_hi
+        low = 0.02 * (1 + 2 * (group[0] == "b"))
+        assert 0 < one.symbol_share_hi < low and one.dup_line_share_hi is None
+    assert len({r.symbol_share_hi for r in fences[1.0].values()}) == 6
+    merged = {r.symbol_share_hi for r in quality.thresholds(shares(spark, 1.0), min_some=200).collect()}
+    assert len(merged) <= 2
+
+
+def test_verdicts_over_odd_rows(spark, docs):
+    got = quality.judge(docs).collect()
+    want = sql(docs, quality.check_sql())
+    key = lambda r: tuple("" if pd.isna(x) else str(x) for x in r)
+    assert sorted(key((r.doc_id, r.n_words, r.n_symbols, bool(r.base_failed), bool(r.kept))) for r in got) == sorted(
+        key((None if pd.isna(r.doc_id) else int(r.doc_id), r.n_words, r.n_symbols, bool(r.base_failed), bool(r.kept))) for r in want.itertuples())
+    assert quality.judge(docs.limit(0)).count() == 0
