@@ -9,7 +9,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from ..functions.geo import zone_centroids
+from ..functions.geo import geometry_centroids, point_centroids, zone_centroids
 from ..functions.trip_columns import build_features
 from ..operators.aggregates import compute_caps
 from ..operators.filters import derive, derive_and_guard, guards
@@ -95,6 +95,33 @@ def a09(spark, sf):
     return rounded(zone_centroids(boxes), 6)
 
 
+GEOMETRY_SQL = """
+select c_custkey as locationid, round(((k + 3) * 24 - (k + 2) * 2 + (k + 11) * 4) / 26.0, 6) as lon, round((2 * 24 - 1.5 * 2 + 1 * 4) / 26.0, 6) as lat
+from (select c_custkey, c_nationkey as k from customer)"""
+
+
+def islands(spark, sf):
+    """Per customer, a 6 x 4 box with a hole and, apart from it, a 2 x 2 box, in both directions."""
+    k = F.col("c_nationkey").cast("double")
+    ring = lambda *corners: F.array(*[F.struct((k + x).alias("lon"), F.lit(float(y)).alias("lat")) for x, y in corners])
+    large = F.array(ring((0, 0), (6, 0), (6, 4), (0, 4), (0, 0)), ring((1, 1), (3, 1), (3, 2), (1, 2)))
+    small = F.array(ring((10, 0), (10, 2), (12, 2), (12, 0)))
+    return X.table(spark, sf, "customer").select(F.col("c_custkey").alias("locationid"), F.array(large, small).alias("geometry"))
+
+
+@query("a09_geometry_centroids", GEOMETRY_SQL)
+def a09b(spark, sf):
+    return rounded(geometry_centroids(islands(spark, sf)), 6)
+
+
+@query("a09_point_centroids", GEOMETRY_SQL)
+def a09c(spark, sf):
+    parts = islands(spark, sf).select("locationid", F.posexplode("geometry").alias("part", "rings"))
+    rings = parts.select("locationid", "part", F.posexplode("rings").alias("ring", "vertices"))
+    points = rings.select("locationid", "part", "ring", F.posexplode("vertices").alias("place", "v")).select("*", "v.lon", "v.lat").drop("v")
+    return rounded(point_centroids(points), 6)
+
+
 @query("a10_month_files", """
 select cast(m as date) as month, '/data/trips_' || strftime(m, '%Y-%m') || '.parquet' as path from (select unnest(generate_series(
   date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)), interval 1 month)) as m from orders)""")

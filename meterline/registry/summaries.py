@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ..functions import trip_columns as C
@@ -11,7 +13,8 @@ from ..operators.quantiles import running_total, value_histogram
 from ..operators.staging import dedup_keep_first
 from ..plans import fixtures as X
 from ..plans.reports import dashboard
-from ..session import pin
+from ..session import pin, scratch_path
+from ..sources import live
 from .columns import located, timed
 from .core import query
 from .helpers import rounded
@@ -70,6 +73,25 @@ def g04b(spark, sf):
     return G.compute_caps(guarded(spark, sf))
 
 
+@query("g04_month_sketches", """
+select service_type, count(*) as kept_rows, true as fare_in_band, true as distance_in_band from guarded
+where pickup_datetime >= timestamp '1994-03-01' and pickup_datetime < timestamp '1997-09-01' group by 1""", "guarded")
+def g04c(spark, sf):
+    # Sketches of two loads, the second of which replaces some months of the first, answer for a window without its trips.
+    rows, path = guarded(spark, sf), scratch_path(spark, "sketches")
+    months = [date(y, m, 1) for y in range(1992, 1999) for m in range(1, 13)]
+    for part in (months[:40], months[36:]):
+        own = rows.where(F.to_date("pickup_datetime").between(F.lit(part[0]), F.last_day(F.lit(part[-1]))))
+        live.replace_months(spark, path, G.cap_sketches(own), part)
+    wanted = live.read(spark, path).where(F.col("pickup_month").between(F.lit(date(1994, 3, 1)), F.lit(date(1997, 8, 1))))
+    caps = pin(G.caps_from_sketches(wanted)).where(F.col("service_type") != G.ALL)
+    trips = rows.where("pickup_datetime >= '1994-03-01' and pickup_datetime < '1997-09-01'").select("service_type", "fare_amount", "trip_distance")
+    ranks = trips.join(caps, "service_type").groupBy("service_type", "kept_rows").agg(*[
+        (((F.count_if(F.col(c) < F.col(f"{m}_p99")) / F.count(F.lit(1))) <= 0.991) & ((F.count_if(F.col(c) <= F.col(f"{m}_p99")) / F.count(F.lit(1))) >= 0.989)).alias(f"{m}_in_band")
+        for m, c in (("fare", "fare_amount"), ("distance", "trip_distance"))])
+    return ranks
+
+
 LONG_SQL = """with l as (
   select 'fare' as metric, service_type as grp, fare_amount as v from guarded union all
   select 'distance', service_type, trip_distance from guarded union all
@@ -228,6 +250,19 @@ def g18(spark, sf):
     return G.histogram2d(located(spark, sf), "direct_dist_m", "trip_duration_min", 40, 25)
 
 
+@query("g18_hexbins", """
+with d as (select date_diff('second', pickup_datetime, dropoff_datetime) / 60.0 as m, trip_distance as dist from trips),
+v as (select log10(cast(dist as double)) as x, log10(cast(m as double)) as y from d where dist > 0 and m > 0),
+e as (select min(x) as x0, max(x) as x1, min(y) as y0, max(y) as y1 from v),
+s as (select (x - x0) / ((x1 - x0) / 40) as u, (y - y0) / ((y1 - y0) / 23) as v from v, e),
+c as (select *, floor(u + 0.5) as a, floor(v + 0.5) as b from s),
+n as (select *, (u - a) * (u - a) + 3 * (v - b) * (v - b) <= (u - floor(u) - 0.5) * (u - floor(u) - 0.5) + 3 * (v - floor(v) - 0.5) * (v - floor(v) - 0.5) as near from c),
+h as (select case when near then 0 else 1 end as grid, cast(case when near then a else floor(u) end as int) as "column", cast(case when near then b else floor(v) end as int) as "row", count(*) as n from n group by 1, 2, 3)
+select grid, "column", "row", round(x0 + (x1 - x0) / 40 * ("column" + grid * 0.5), 6) as x_centre, round(y0 + (y1 - y0) / 23 * ("row" + grid * 0.5), 6) as y_centre, n from h, e""", "trips")
+def g18b(spark, sf):
+    return rounded(G.hexbins(timed(spark, sf), "trip_distance", "trip_duration_min", 40), 6)
+
+
 @query("g19_percentile_markers", TIMED + """
 select round(quantile_cont(trip_duration_min, 0.5), 4) as p50, round(quantile_cont(trip_duration_min, 0.75), 4) as p75,
   round(quantile_cont(trip_duration_min, 0.95), 4) as p95 from t""", "trips")

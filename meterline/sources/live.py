@@ -13,11 +13,12 @@ it stays small.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructField, StructType, DateType
+from pyspark.sql.types import DateType, StructField, StructType
 
 MONTH = "pickup_month"
 _COMMIT = f"{MONTH} date, load string, columns string, version long"
@@ -102,3 +103,14 @@ def commit(spark: SparkSession, before: LiveTable, columns: StructType, loads: d
     except AnalysisException as error:
         raise CommitConflict(f"version {version} of {before.path} was committed meanwhile") from error
     return version
+
+
+def replace_months(spark: SparkSession, path: str, rows: DataFrame, months: Sequence[date]) -> int:
+    """Make ``rows``, which carry their month, all there is of ``months``; other months stay as they are."""
+    before = state(spark, path)
+    load = write_load(rows, path)
+    written = load_months(spark, path, load)
+    if not set(written) <= set(months):
+        raise ValueError(f"rows of months that are not replaced: {sorted(set(written) - set(months))}")
+    loads = {m: old for m, old in before.loads.items() if m not in months} | dict.fromkeys(written, load)
+    return commit(spark, before, StructType([f for f in rows.schema if f.name != MONTH]), loads)

@@ -130,3 +130,18 @@ def test_between_ts_is_open_and_pushed(spark, sf):
     cut = E.between_ts(orders, "1996-01-01", "1996-01-03", "o_orderdate").select("o_orderdate")
     assert {r[0] for r in cut.distinct().collect()} == {datetime(1996, 1, 2)}
     assert "GreaterThan(o_orderdate" in cut._jdf.queryExecution().executedPlan().toString()
+
+
+def test_centroids_of_holes_and_islands(spark):
+    box = lambda x, y, w, h, turn=1: [(float(a), float(b)) for a, b in [(x, y), (x + w, y), (x + w, y + h), (x, y + h)][::turn]]
+    rows = [
+        (1, [[box(0, 0, 4, 4), box(0, 0, 2, 2, -1)]]),
+        (2, [[box(0, 0, 2, 2)], [box(10, 0, 2, 4, -1)]]),
+        (3, [[[(0.0, 0.0), (2.0, 0.0), (4.0, 0.0)]]]),
+        (4, [[box(0, 0, 2, 2)]]), (4, [[box(4, 0, 2, 2)]]),
+        (5, [[box(0, 0, 2, 2), box(0, 0, 2, 2)]]), (6, []), (7, None), (8, [[[]]]),
+    ]
+    schema = "locationid int, geometry array<array<array<struct<lon:double,lat:double>>>>"
+    got = {r["locationid"]: (r["lon"], r["lat"]) for r in geo.geometry_centroids(spark.createDataFrame(rows, schema)).collect()}
+    # 16 around (2, 2) without 4 around (1, 1); 4 around (1, 1) with 8 around (11, 2).
+    assert got == {k: pytest.approx(v) for k, v in {1: (28 / 12, 28 / 12), 2: (92 / 12, 20 / 12), 3: (2.0, 0.0), 4: (3.0, 1.0), 5: (1.0, 1.0)}.items()}

@@ -213,3 +213,38 @@ def test_distinct_shuffles_no_rows_that_stand_alone(spark):
     a, b = S._row_digests(rows)
     counting = rows.select(a.alias("a"), b.alias("b")).groupBy("a", "b").count()
     assert shuffled_bytes(S.dedup_rows(rows)) + shuffled_bytes(counting) < shuffled_bytes(rows.distinct()) / 3
+
+
+def test_hexagons_hold_each_point_at_its_nearest_centre(spark):
+    rng = random.Random(3)
+    points = [(rng.gauss(3, 1), rng.gauss(5, 2)) for _ in range(400)]
+    bins = G.hexbins(spark.createDataFrame([*points, (None, 1.0)], "x double, y double"), "x", "y", 9, log=False).collect()
+    assert sum(r["n"] for r in bins) == 400
+    x0, y0 = min(x for x, _ in points), min(y for _, y in points)
+    sx, sy = (max(x for x, _ in points) - x0) / 9, (max(y for _, y in points) - y0) / 5
+    centres = [(x0 + sx * (i + g / 2), y0 + sy * (j + g / 2)) for g in (0, 1) for i in range(-1, 11) for j in range(-1, 7)]
+    nearest = {}
+    for x, y in points:
+        c = min(centres, key=lambda c: ((x - c[0]) / sx) ** 2 + 3 * ((y - c[1]) / sy) ** 2)
+        nearest[round(c[0], 6), round(c[1], 6)] = nearest.get((round(c[0], 6), round(c[1], 6)), 0) + 1
+    assert {(round(r["x_centre"], 6), round(r["y_centre"], 6)): r["n"] for r in bins} == nearest
+    one = G.hexbins(spark.createDataFrame([(1.0, 1.0)] * 3, "x double, y double"), "x", "y", 9).collect()
+    assert len(one) == 1 and one[0]["n"] == 3
+
+
+def test_caps_of_any_months_from_their_sketches(spark):
+    rng = random.Random(12)
+    rows = [(m, s, rng.expovariate(1 / (10 + m)), rng.expovariate(1.0), rng.expovariate(0.1)) for m in range(1, 5) for s in ("Yellow", "Green") for _ in range(4000)]
+    df = spark.createDataFrame(rows, "m int, service_type string, fare_amount double, trip_distance double, trip_duration_min double")
+    df = pin(df.withColumn("pickup_datetime", F.make_timestamp_ntz(F.lit(2016), "m", F.lit(3), F.lit(1), F.lit(0), F.lit(0.0))))
+    sketches = pin(G.cap_sketches(df, F.col("trip_distance") > 0.01, k=512))
+    for months in ((1,), (2, 4), (1, 2, 3, 4)):
+        caps = {r["service_type"]: r for r in G.caps_from_sketches(sketches.where(F.month("pickup_month").isin(*months)), k=512).collect()}
+        own = [r for r in rows if r[0] in months and r[3] > 0.01]
+        for service in ("Yellow", "Green"):
+            fares = [r[2] for r in own if r[1] == service]
+            assert 0.986 < sum(f <= caps[service]["fare_p99"] for f in fares) / len(fares) < 0.994
+            assert caps[service]["kept_rows"] == len(fares) and caps[service]["duration_p99"] is None
+        assert 0.986 < sum(r[4] <= caps["All"]["duration_p99"] for r in own) / len(own) < 0.994
+        assert caps["All"]["all_rows"] == 8000 * len(months) and caps["All"]["fare_p99"] is None
+    assert G.caps_from_sketches(sketches.limit(0)).count() == 0
