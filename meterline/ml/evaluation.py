@@ -166,6 +166,42 @@ def tuning_results(model: CrossValidatorModel, spark: SparkSession) -> DataFrame
     return spark.createDataFrame(rows, "entry int, metric_mean double, metric_std double")
 
 
+def halving(
+    estimator: Estimator, df: DataFrame, grid: Sequence[dict], budgets: Sequence[float] = (0.1, 0.3, 1.0), k: int = K.FOLDS, label: str = K.TARGET,
+    fold: str = "fold", metric: str = "mae", keep: float = 1 / 3,
+) -> tuple[dict, DataFrame]:
+    """Successive halving. Returns the best grid entry and the log of all rounds.
+
+    Round r fits what is left of the grid on a share ``budgets[r]`` of each
+    fold's training rows, chosen by a hash of the row, and scores on all rows of
+    the fold; the best share ``keep`` of the entries goes on. Entry 0 is the
+    untuned estimator and goes through every round, so the winner of the last
+    one, which should use all rows, has been compared with it. The folds are
+    those of ``df`` and the same in every round.
+    """
+    if not budgets or sorted(budgets) != list(budgets) or not 0 < budgets[0] <= budgets[-1] <= 1:
+        raise ValueError("budgets must be rising shares of the rows")
+    entries = [{}, *[m for m in grid if m]]
+    columns = [c for c in df.columns if c != fold]
+    kept = pin(df.withColumn("_place", F.pmod(F.xxhash64(*columns), F.lit(1_000_000)) / 1_000_000.0))
+    alive, log = list(range(len(entries))), []
+    for turn, share in enumerate(budgets):
+        def halves(rows: DataFrame, i: int, share: float = share) -> tuple[DataFrame, DataFrame]:
+            train, test = fold_split(rows, i, fold)
+            return train.where(F.col("_place") < share).drop("_place"), test.drop("_place")
+        scores = {}
+        for e in alive:
+            folds = cross_validate(kept, estimator.copy(entries[e]), k, label, str(e), fold, halves)
+            mean, std, seconds = folds.agg(F.avg(metric), F.stddev_pop(metric), F.sum("fit_time_s")).first()
+            scores[e] = mean
+            log.append((turn, float(share), e, float(mean), float(std), k, float(seconds)))
+        ranked = sorted(alive, key=lambda e: (scores[e], e))
+        best = ranked[0]
+        alive = sorted({0, *ranked[:max(1, round(len(ranked) * keep))]})
+    table = df.sparkSession.createDataFrame(log, "round int, budget double, entry int, metric_mean double, metric_std double, fits int, fit_time_s double")
+    return entries[best], table
+
+
 def evaluate_model(model: Model, df: DataFrame, label: str, task: str = "regression") -> DataFrame:
     """One row of metrics: rmse, r2, mae, or auc, accuracy, precision, recall."""
     predictions = model.transform(df)

@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import trip_columns as C
-from ..ml import ensembles as E, evaluation as V, stages as P
+from ..ml import attribution as T, ensembles as E, evaluation as V, stages as P
 from ..operators import encoding as M, metrics as R, quality as N
 from ..operators.sampling import md5_bucket
 from ..operators.splits import fold_split, union_all
@@ -162,7 +162,7 @@ def feature_frame(spark, sf):
     return pin(features)
 
 
-# Smaller ensembles than the defaults, over all rows.
+# m09 fits the library's defaults; the others fit smaller ensembles, over all rows.
 ROUNDS, DEPTH, TREES = 5, 4, 8
 
 
@@ -170,7 +170,7 @@ ROUNDS, DEPTH, TREES = 5, 4, 8
 def m09(spark, sf):
     f = feature_frame(spark, sf)
     train, test = fold_split(f, 0)
-    estimator, groups = P.gbt_pipeline([c for c in f.columns if c != "fold"], max_iter=ROUNDS, max_depth=DEPTH)
+    estimator, groups = P.gbt_pipeline([c for c in f.columns if c != "fold"])
     scored = R.regression_metrics(estimator.fit(train).transform(test), K.TARGET)
     return scored.withColumn("columns_used", F.lit(len(groups.numeric) + len(groups.one_hot) + len(groups.target_encoded)))
 
@@ -360,6 +360,19 @@ def m19(spark, sf):
     return rounded(results.where(F.col("entry") == 0).select("entry", "metric_mean", (best == 0).alias("untuned_is_best")))
 
 
+@query("m19_halving", f"""
+with {FOLD_FIT.strip()}, f as (select fold, avg(abs(fare_capped - prediction)) as mae from preds group by 1)
+select 1 as round, 0 as entry, round(avg(mae), 4) as metric_mean, true as winner_is_untuned, 20::bigint as fits from f""", "enc")
+def m19b(spark, sf):
+    # Two entries on three tenths of the rows, then both on all of them.
+    e = pin(enc(spark, sf))
+    estimator = one_feature()
+    grid = ParamGridBuilder().addGrid(estimator.getStages()[-1].regParam, [500.0]).build()
+    best, log = V.halving(estimator, e, grid, (0.3, 1.0), 5, "fare_capped", keep=1.0)
+    last = log.where("round = 1 and entry = 0").select("round", "entry", "metric_mean")
+    return rounded(last.withColumns({"winner_is_untuned": F.lit(not best), "fits": F.lit(log.agg(F.sum("fits")).first()[0])}))
+
+
 @query("m20_evaluate_model", f"""
 with p as (select *, regr_slope(fare_capped, trip_distance) over () * trip_distance + regr_intercept(fare_capped, trip_distance) over () as prediction from enc)
 select {METRIC_SQL} from p""", "enc")
@@ -377,6 +390,25 @@ def m21(spark, sf):
     return V.feature_importance(model, model.transform(f))
 
 
+@query("m21_attributions", """
+select service_type, round(avg(fare_capped) - (select avg(fare_capped) from enc), 4) as attribution, count(*) as n from enc group by 1""", "enc")
+def m21b(spark, sf):
+    # One split on one feature: its value is the group's mean less the mean of all.
+    e = pin(enc(spark, sf).withColumn("yellow", (F.col("service_type") == "Yellow").cast("double")))
+    tree = DecisionTreeRegressor(labelCol="fare_capped", featuresCol="features", maxDepth=1)
+    model = Pipeline(stages=[VectorAssembler(inputCols=["yellow"], outputCol="features"), tree]).fit(e)
+    scored = model.transform(e).withColumn("attribution", T.attributions(model)[0])
+    return rounded(scored.groupBy("service_type").agg(F.avg("attribution").alias("attribution"), F.count(F.lit(1)).alias("n")))
+
+
+@query("m21_attribution_ranking")
+def m21c(spark, sf):
+    f = feature_frame(spark, sf)
+    estimator, _ = P.gbt_pipeline([c for c in f.columns if c != "fold"], max_iter=ROUNDS, max_depth=DEPTH)
+    model = estimator.fit(f)
+    return T.attribution_ranking(model, model.transform(f))
+
+
 @query("m22_slice_mae", f"""
 with {CORRIDOR_MEAN} select pickup_borough, count(*) as rows, round(avg(abs(fare_capped - prediction)), 4) as mae from p group by 1""", "enc")
 def m22(spark, sf):

@@ -1,15 +1,18 @@
 """Splits, metrics, leaderboards and Spark ML on small frames."""
 
+import itertools
+import math
+
 import pytest
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from meterline import constants as K
-from meterline.ml import ensembles as E, evaluation as V, stages as P
+from meterline.ml import attribution as T, ensembles as E, evaluation as V, stages as P
 from meterline.operators import metrics as R, sampling as I, splits as J
 from meterline.session import scratch_path
 
@@ -269,6 +272,71 @@ def test_ensembles_refuse_what_they_cannot_fit(spark):
         E.ensemble("blend", {})
 
 
+def brute_shapley(x, own):
+    """Sums over all subsets of features, of what a tree predicts when only those are known."""
+    def value(known):
+        total = 0.0
+        for leaf in own:
+            part = leaf.value
+            for f, share, conditions in zip(leaf.features, leaf.shares, leaf.conditions):
+                goes = all(((x[f] <= t) if c is None else (x[f] in c)) == left for t, c, left in conditions)
+                part *= goes if f in known else share
+            total += part
+        return total
+
+    n = len(x)
+    out = []
+    for i in range(n):
+        others = [j for j in range(n) if j != i]
+        out.append(sum(
+            math.factorial(size) * math.factorial(n - 1 - size) / math.factorial(n) * (value({*some, i}) - value(set(some)))
+            for size in range(n) for some in itertools.combinations(others, size)))
+    return out
+
+
+@pytest.mark.parametrize("kind", ["tree", "forest", "booster"])
+def test_shapley_values_equal_sums_over_subsets(spark, kind):
+    df = spark.range(400).select(
+        (F.col("id") % 7).cast("double").alias("a"), (F.col("id") * 37 % 11).cast("double").alias("b"), (F.col("id") * 13 % 5).cast("double").alias("kind"),
+        (F.col("id") % 3).cast("double").alias("d")).withColumn("fare_capped", F.col("a") * F.col("b") + F.when(F.col("kind").isin(1.0, 4.0), 30.0).otherwise(F.col("d")))
+    cols = {"labelCol": "fare_capped", "featuresCol": "features", "seed": 1}
+    last = {
+        "tree": DecisionTreeRegressor(**cols, maxDepth=4), "forest": RandomForestRegressor(**cols, maxDepth=3, numTrees=4),
+        "booster": GBTRegressor(**cols, maxDepth=3, maxIter=4)}[kind]
+    index = VectorIndexer(inputCol="raw", outputCol="features", maxCategories=5)  # two features are categories
+    model = Pipeline(stages=[VectorAssembler(inputCols=["a", "b", "kind", "d"], outputCol="raw"), index, last]).fit(df)
+    out = model.transform(df).withColumn("values", T.attributions(model)).select(vector_to_array("features").alias("x"), "values", "prediction").collect()
+    trees = T.leaves(model)
+    for r in out:
+        assert sum(r["values"]) == pytest.approx(r["prediction"] - T.expected(trees), abs=1e-6)
+    for r in out[:12]:
+        want = [sum(w * v for w, v in zip([w for w, _ in trees], column)) for column in zip(*[brute_shapley(r["x"], own) for _, own in trees])]
+        assert r["values"] == pytest.approx(want, abs=1e-9)
+    ranking = T.attribution_ranking(model, model.transform(df)).collect()
+    assert [r["mean_abs"] for r in ranking] == sorted((r["mean_abs"] for r in ranking), reverse=True)
+    assert {r["feature"] for r in ranking} == {"a", "b", "kind", "d"}
+    with pytest.raises(ValueError, match="no tree model"):
+        T.leaves(LinearRegression(labelCol="fare_capped").fit(model.transform(df).drop("prediction")))
+
+
+def test_halving_finds_the_winner_of_the_full_grid_with_fewer_fits(spark):
+    df = trips(spark)
+    linear = LinearRegression(labelCol="fare_capped", featuresCol="features")
+    estimator = Pipeline(stages=[VectorAssembler(inputCols=["distance_capped"], outputCol="features"), linear])
+    grid = ParamGridBuilder().addGrid(linear.regParam, [30.0, 10.0, 3.0, 1.0, 300.0, 100.0]).build()
+    best, log = V.halving(estimator, df, grid, (0.3, 1.0), 3)
+    full, whole = V.halving(estimator, df, grid, (1.0,), 3)
+    assert best == full == {}
+    rows = log.collect()
+    assert {r["entry"] for r in rows if r["round"] == 0} == set(range(7)) and {r["entry"] for r in rows if r["round"] == 1} < set(range(7))
+    cost = lambda t: sum(r["fits"] * r["budget"] for r in t.collect())
+    assert cost(log) < 0.75 * cost(whole)
+    tuned, _ = V.halving(estimator.copy({linear.regParam: 300.0}), df, [{linear.regParam: 0.0}, {linear.regParam: 900.0}], (0.5, 1.0), 3)
+    assert tuned == {linear.regParam: 0.0}
+    with pytest.raises(ValueError, match="rising"):
+        V.halving(estimator, df, grid, (1.0, 0.5), 3)
+
+
 def test_tune_entry_zero_is_untuned(spark):
     df = trips(spark)
     linear = LinearRegression(labelCol="fare_capped", featuresCol="features")
