@@ -6,19 +6,23 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.geo import haversine_mi
 from ..functions.trip_columns import prefix_columns
+from ..session import pin
 
 # 200,000 rows of a dimension row (ids, names, a few decimals) stay well below
 # 100 MB; past it the join is left to shuffle, where AQE splits skewed keys.
 BROADCAST_ROWS = 200_000
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, computed: bool = False) -> DataFrame:
     """Mark ``df`` for broadcast only when a count proves it is small.
 
     A larger side comes back without a hint, so the join shuffles and adaptive
     execution splits hot keys. Counting moves no rows and reads no columns that
-    ``df`` does not need; a written table is counted from its file footers.
+    ``df`` does not need; a written table is counted from its file footers. A
+    side that takes an aggregate or a join to get (``computed``) is kept first,
+    so that it is computed once and not by the count and the join each.
     """
+    df = pin(df) if computed else df
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
@@ -61,14 +65,14 @@ def attach_climate(trips: DataFrame, climate: DataFrame) -> DataFrame:
     """
     rest = [c for c in climate.columns if c != "climate_date"]
     least = climate.groupBy("climate_date").agg(F.min(F.struct(*rest)).alias("_row"))
-    one_per_day = small_side(least.select("climate_date", *[F.col(f"_row.{c}").alias(c) for c in rest]))
+    one_per_day = small_side(least.select("climate_date", *[F.col(f"_row.{c}").alias(c) for c in rest]), computed=True)
     return trips.join(one_per_day, F.col("pickup_date") == F.col("climate_date"), "left")
 
 
 def zones_known_flag(raw: DataFrame, zones: DataFrame) -> DataFrame:
     """flag trips whose two zones are both known, keeping every trip."""
     known = known_zones(zones).select("locationid").distinct().withColumn("known", F.lit(True))
-    known = small_side(known)
+    known = small_side(known, computed=True)
     out = attach_role(attach_role(raw, known, "pickup", "left"), known, "dropoff", "left")
     both = F.coalesce(F.col("pickup_known") & F.col("dropoff_known"), F.lit(False))
     return out.withColumn("zones_known", both).drop("pickup_known", "dropoff_known")
@@ -88,10 +92,10 @@ def route_matrix(pairs: DataFrame, zones: DataFrame, mph: float = 12.0) -> DataF
 
 def attach_route(trips: DataFrame, matrix: DataFrame) -> DataFrame:
     """route miles and minutes by (pickup, dropoff)."""
-    return trips.join(small_side(matrix), ["pickup_locationid", "dropoff_locationid"], "left")
+    return trips.join(small_side(matrix, computed=True), ["pickup_locationid", "dropoff_locationid"], "left")
 
 
 def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """F8: rows of ``fact`` whose key has no row in ``dim``; NULL keys pass."""
-    keys = small_side(dim.select(F.col(dim_key).alias("_key")).distinct())
+    keys = small_side(dim.select(F.col(dim_key).alias("_key")).distinct(), computed=True)
     return fact.where(F.col(fact_key).isNotNull()).join(keys, F.col(fact_key) == F.col("_key"), "left_anti")

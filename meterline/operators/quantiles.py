@@ -21,9 +21,13 @@ def value_histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame
     return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def with_bucket(hist: DataFrame, value: str) -> DataFrame:
-    """Keep the histogram, range-sorted, and add ``_bucket``: the number of its partition, in the order of values."""
-    return pin(hist.repartitionByRange(value).withColumn("_bucket", F.spark_partition_id()))
+def with_bucket(hist: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+    """Keep the histogram, range-sorted, and add ``_bucket``: the number of its partition, in the order of values.
+
+    Ranges end between values, or between the keys of one value, so few values
+    with many keys still make many ranges; for each key the order is right.
+    """
+    return pin(hist.repartitionByRange(value, *keys).withColumn("_bucket", F.spark_partition_id()))
 
 
 def _same(keys: Sequence[str]) -> Column:
@@ -45,8 +49,8 @@ def bucket_offsets(bucketed: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def running_total(hist: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """H4, H5: histogram with ``cum_n`` (running) and ``tot`` (group) counts."""
+    bucketed = with_bucket(hist, value, keys)
     keys = [*keys, "_bucket"]
-    bucketed = with_bucket(hist, value)
     joined = bucketed.join(_renamed(bucket_offsets(bucketed, keys[:-1]), keys), _same(keys))
     inside = Window.partitionBy(*keys).orderBy(value)
     return joined.select(
@@ -69,7 +73,7 @@ def quantiles_from_histogram(
     Interpolated: linear between the two values around ``p * (total - 1)``.
     """
     keys = list(keys)
-    bucketed = with_bucket(hist, value)
+    bucketed = with_bucket(hist, value, keys)
     offsets = bucket_offsets(bucketed, keys)
 
     def wanted(p: float) -> list[Column]:

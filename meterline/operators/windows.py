@@ -51,7 +51,8 @@ def route_deltas(df: DataFrame, route: Sequence[str] = ("pickup_zone", "dropoff_
 def vs_baseline(df: DataFrame, key: str, base: str, metric: str, out: str) -> DataFrame:
     """H7: ratio of each row's metric to that of the row whose key is ``base``.
 
-    ``df`` is an aggregate with one row per key.
+    The baseline is one number, found by its own aggregate, so any frame will
+    do; of several rows with that key the greatest metric counts.
     """
-    baseline = F.max(F.when(F.col(key) == base, F.col(metric))).over(Window.partitionBy())
+    baseline = df.where(F.col(key) == base).agg(F.max(metric)).scalar()
     return df.withColumn(out, F.try_divide(F.col(metric), baseline))

@@ -473,6 +473,16 @@ def k05b(spark, sf):
     )
 
 
+@query("k05_lines_per_order", """
+select l_orderkey, string_agg(cast(l_linenumber as varchar), ',' order by l_linenumber) as lines, cast(count(distinct l_returnflag) as int) as flags, count(*) as n
+from lineitem group by 1""")
+def k05c(spark, sf):
+    # An order has few lines, so its list is short however large the table.
+    lines = X.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list("l_linenumber")).alias("all"), F.size(F.collect_set("l_returnflag")).alias("flags"), F.count(F.lit(1)).alias("n"))
+    return lines.select("l_orderkey", F.array_join(F.col("all").cast("array<string>"), ",").alias("lines"), "flags", "n")
+
+
 @query("k06_hash_functions", """
 select tripid, md5(service_type || tripid) as key, ('0x' || substr(md5(tripid), 1, 8))::bigint % 16 as bucket, true as same from trips""", "trips")
 def k06(spark, sf):

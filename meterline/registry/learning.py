@@ -347,6 +347,28 @@ def m18b(spark, sf):
     return V.evaluate_model(model, test, "label", "classification")
 
 
+@query("m18_kinds", """
+select kind, count(*) as tested, 1.0::double as accuracy, true as r2_above_half from enc, (values ('rf'), ('gbt'), ('linear')) k(kind) where fold = 0 group by 1""", "enc")
+def m18c(spark, sf):
+    # Each kind on unseen rows: a class that the distance decides, and the fare by distance.
+    e = pin(enc(spark, sf).withColumn("far", (F.col("trip_distance") > 25).cast("double")))
+    train, test = fold_split(e, 0)
+    out = []
+    for kind, classifier in (("rf", "rf"), ("gbt", "gbt"), ("linear", "logistic")):
+        classes = P.create_ml_pipeline(["trip_distance"], "far", classifier, "classification")
+        fare = P.create_ml_pipeline(["trip_distance"], "fare_capped", kind)
+        if kind != "linear":
+            for model in (classes, fare):
+                last = model.getStages()[-1]
+                last.set(last.getParam("maxDepth"), 3)
+                last.set(last.getParam("maxBins"), 64)  # a bin for each distance
+                last.set(last.getParam("maxIter" if kind == "gbt" else "numTrees"), 3)
+        right = classes.fit(train).transform(test).agg(F.avg((F.col("prediction") == F.col("far")).cast("double"))).scalar()
+        scored = R.regression_metrics(fare.fit(train).transform(test), "fare_capped")
+        out.append(scored.select(F.lit(kind).alias("kind"), F.col("rows").alias("tested"), F.round(right, 2).alias("accuracy"), (F.col("r2") > 0.5).alias("r2_above_half")))
+    return union_all(out)
+
+
 @query("m19_tune", f"""
 with {FOLD_FIT.strip()}, f as (select fold, avg(abs(fare_capped - prediction)) as mae from preds group by 1)
 select 0 as entry, round(avg(mae), 4) as metric_mean, true as untuned_is_best from f""", "enc")
