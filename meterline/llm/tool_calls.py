@@ -23,6 +23,7 @@ SCHEMAS: dict[str, dict[str, tuple[str, bool]]] = {
 # Names that schema_of_variant gives to the values of a type.
 _TYPES = {"string": "^STRING$", "integer": "^BIGINT$", "number": "^(BIGINT|DOUBLE|FLOAT|DECIMAL)", "boolean": "^BOOLEAN$", "array": "^ARRAY", "object": "^OBJECT"}
 REFERENCE = r'"\$ref:([^"\\]+)"'
+_NO_TURN, _MAX_LENGTH = -(1 << 63), (1 << 31) - 1
 CALL = ["conv_id", "turn", "pos", "call_id", "name", "arguments"]
 
 
@@ -102,14 +103,17 @@ def link(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
     answers it; further ones are ``extra``, those of its turn or before are
     ``early``, those without a call are ``orphan``. Calls are ``answered``,
     ``unanswered``, in a ``cycle`` or behind one, or without an id (``no_id``).
-    Copies of an event are counted, and the first copy holds the status. Null
-    conversations are one conversation. In canonical JSON keys are sorted and
+    Copies of an event are counted, and the first copy holds the status. Conversations without
+    an id are one; ids come back as they came, numbers or text. A null turn
+    comes before all others and comes back as null. Arguments that repeat a
+    key are no JSON here. In canonical JSON keys are sorted and
     no space is left; arguments that are not JSON are given as a string. Stages
     of events outside the order are null.
     """
     plain = messages.select(
-        F.coalesce(F.col("conv_id").cast("string"), F.lit("-")).alias("conv_id"),
-        F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"), "role", F.col("text").cast("string").alias("text"), "tool_calls", "tool_call_id",
+        # Keys that are never null and lose nothing: the id behind a mark, and the least turn for none.
+        F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")).alias("conv_id"),
+        F.coalesce(F.col("turn").cast("long"), F.lit(_NO_TURN)).alias("turn"), "role", F.col("text").cast("string").alias("text"), "tool_calls", "tool_call_id",
     )
     calls = pin(call_rows(plain))
     results = pin(result_rows(plain))
@@ -144,7 +148,9 @@ def link(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
         _object(content=_quoted(F.col("content")), id=_quoted(F.col("call_id")), type=F.lit('"result"')).alias("canonical"),
     )
     events = call_events.unionByName(result_events)
-    return events.withColumn("conv_id", F.when(F.col("conv_id") != "-", F.col("conv_id").cast("long")))
+    kind = messages.schema["conv_id"].dataType
+    conversation = F.when(F.col("conv_id") != "", F.substring("conv_id", 2, _MAX_LENGTH).cast(kind))
+    return events.withColumns({"conv_id": conversation, "turn": F.when(F.col("turn") != _NO_TURN, F.col("turn"))})
 
 
 def table_messages(conversations: DataFrame) -> DataFrame:

@@ -39,10 +39,10 @@ def test_linking_and_order(spark):
         (1, "call", "a", 0, 0, "answered"), (1, "call", "b", 0, 1, "answered"), (1, "call", "a", 2, 0, "duplicate"), (1, "call", None, 2, 1, "no_id"),
         (1, "result", "a", 1, 0, "linked"), (1, "result", "b", 1, 0, "linked"), (1, "result", "a", 3, 0, "extra"), (1, "result", "b", 0, 0, "early"),
         (1, "result", "z", 1, 0, "orphan"), (1, "result", None, 5, 0, "orphan"), (2, "call", "x", 0, 0, "cycle"), (2, "call", "y", 0, 1, "cycle"), (2, "call", "w", 0, 2, "cycle"),
-        (None, "call", "n", -1, 0, "answered"), (None, "result", "n", 4, 0, "linked"),
+        (None, "call", "n", None, 0, "answered"), (None, "result", "n", 4, 0, "linked"),
     ], key=str)
     stage = {k[:4]: e["stage"] for k, e in got.items() if e["stage"] is not None}
-    assert stage == {(1, "call", "a", 0): 0, (1, "result", "a", 1): 1, (1, "call", "b", 0): 2, (1, "result", "b", 1): 3, (None, "call", "n", -1): 0, (None, "result", "n", 4): 1}
+    assert stage == {(1, "call", "a", 0): 0, (1, "result", "a", 1): 1, (1, "call", "b", 0): 2, (1, "result", "b", 1): 3, (None, "call", "n", None): 0, (None, "result", "n", 4): 1}
     assert got[1, "result", "a", 1, 0, "linked"]["copies"] == 2
     assert json.loads(got[1, "result", "b", 1, 0, "linked"]["canonical"]) == {"content": 'a "quote"\n', "id": "b", "type": "result"}
 
@@ -134,3 +134,17 @@ def test_query_returns_whole_events(spark, scale):
     rows = sorted((tuple(r) for r in got.collect()), key=repr)
     assert rows == sorted(want, key=repr)
     assert any(r[4] == "result" for r in rows) and all(r[-1] is not None for r in rows)
+
+
+def test_text_ids_null_turns_and_repeated_keys(spark):
+    good = '{"limit": 3, "query": "q"}'
+    rows = [
+        ("x-1", None, "assistant", "", [("a", "search", good)], None), ("x-1", 0, "tool", "ok", [], "a"), ("-", 1, "assistant", "", [("a", "search", good)], None),
+        (None, 2, "assistant", "", [("a", "search", '{"limit": 3, "limit": 4, "query": "q"}')], None), ("", -1, "tool", "ok", [], "a"), (None, 3, "tool", "ok", [], "a"),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA.replace("conv_id long", "conv_id string").replace(", stage string", ""))
+    got = {(r.conv_id, r.turn, r.kind): (r.status, r.errors) for r in tool_calls.link(df).collect()}
+    assert got == {
+        ("x-1", None, "call"): ("answered", []), ("x-1", 0, "result"): ("linked", []), ("-", 1, "call"): ("unanswered", []),
+        (None, 2, "call"): ("answered", ["not_json"]), (None, 3, "result"): ("linked", []), ("", -1, "result"): ("orphan", []),
+    }
