@@ -248,3 +248,16 @@ def test_caps_of_any_months_from_their_sketches(spark):
         assert 0.986 < sum(r[4] <= caps["All"]["duration_p99"] for r in own) / len(own) < 0.994
         assert caps["All"]["all_rows"] == 8000 * len(months) and caps["All"]["fare_p99"] is None
     assert G.caps_from_sketches(sketches.limit(0)).count() == 0
+
+
+def test_medians_are_exact_where_sketches_are_not(spark):
+    """One row more or less decides each median; groups of NULLs and a NULL key stay."""
+    half = F.when(F.col("id") < 200_000, F.pmod(F.xxhash64("id"), F.lit(50_000))).otherwise(F.pmod(F.xxhash64("id"), F.lit(50_000)) + 50_001)
+    rows = spark.range(0, 400_000, 1, 8).select(F.lit("a").alias("vendorid"), half.cast("double").alias("trip_duration_min"))
+    rows = rows.unionByName(spark.createDataFrame([("a", 50_000.0), ("b", None), (None, 7.0), (None, None)], "vendorid string, trip_duration_min double")).withColumn("pickup_hour", F.lit(3))
+    want = {"a": 50_000.0, "b": None, None: 7.0}
+    summary = G.duration_summary(rows, "vendorid")
+    assert summary.columns == ["vendorid", "mean", "median"] and {r["vendorid"]: r["median"] for r in summary.collect()} == want
+    assert {r["vendorid"]: r["mean"] for r in summary.collect() if r["vendorid"] != "a"} == {"b": None, None: 7.0}
+    by_hour = G.median_by_hour(rows)
+    assert by_hour.columns == ["pickup_hour", "vendorid", "median"] and {r["vendorid"]: r["median"] for r in by_hour.collect()} == want
