@@ -111,7 +111,8 @@ select service_type, pickup_borough, count(*) as n, round(cast(sum(total_amount)
 join zones p on pickup_locationid = p.locationid and p.borough <> 'Unknown'
 join zones d on dropoff_locationid = d.locationid and d.borough <> 'Unknown', lateral (select p.borough as pickup_borough) group by 1, 2""", "staged_yellow staged_green zones")
 def c08b(spark, sf):
-    parts = [S.dedup_rows(staged(spark, sf, s)) for s in ("Yellow", "Green")]
+    # Kept first: the de-duplication reads its rows three times.
+    parts = [S.dedup_rows(pin(staged(spark, sf, s))) for s in ("Yellow", "Green")]
     fact = S.build_fact_trips(S.union_services(*parts), X.zones(spark, sf), X.climate(spark, sf))
     return rounded(fact.groupBy("service_type", "pickup_borough").agg(F.count(F.lit(1)).alias("n"), F.sum("total_amount").alias("total")), 2)
 
