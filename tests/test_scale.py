@@ -1,17 +1,19 @@
 """What must not grow with the input: rows of one task, passes over the trips, repeated fits."""
 
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+from meterline.ml import ensembles as E, evaluation as V, stages as P
 from meterline.plans import fixtures as X
 from meterline.session import deal
 
 
 def test_tables_are_dealt_over_more_tasks_as_they_grow(spark):
     rows = spark.range(0, 1000).withColumn("k", F.col("id") % 100)
-    dealt = deal(rows, "k", rows=20)
-    assert dealt.select(F.spark_partition_id()).distinct().count() > 8
-    assert dealt.groupBy("k").agg(F.count_distinct(F.spark_partition_id()).alias("n")).where("n > 1").isEmpty()
-    assert sorted(r["id"] for r in dealt.collect()) == list(range(1000))
+    dealt = deal(rows, "k", rows=20).select("id", "k", F.spark_partition_id().alias("task")).collect()
+    assert len({r["task"] for r in dealt}) > 8 and len({(r["k"], r["task"]) for r in dealt}) == 100
+    assert sorted(r["id"] for r in dealt) == list(range(1000))
 
 
 def test_raw_trips_read_the_lines_once(spark, sf):
@@ -21,3 +23,55 @@ def test_raw_trips_read_the_lines_once(spark, sf):
     trips = X.trips(spark, sf).where("service_type = 'Green'")
     assert raw.count() == trips.count() + trips.where("ratecodeid = 7").count()
     assert raw.where("RatecodeID = 7").count() == 2 * trips.where("ratecodeid = 7").count()
+
+
+def labelled(spark):
+    return spark.range(0, 300).select(
+        (F.col("id") % 50).cast("double").alias("distance_capped"), (F.col("id") % 50 * 2 + F.col("id") % 7).cast("double").alias("fare_capped"),
+        (F.col("id") % 3).cast("int").alias("fold"))
+
+
+class Counted(P.MeanRegressor):
+    """Counts its fits."""
+
+    fits = []
+
+    def _fit(self, dataset):
+        Counted.fits.append(1)
+        return super()._fit(dataset)
+
+
+def test_a_sweep_makes_each_fit_once(spark):
+    """Three folds out, and three pairs of folds; the vote and the stack need no others, and score as on their own."""
+    df, Counted.fits[:] = labelled(spark), []
+    mean, ols = V.ModelSpec("mean", False, Counted("fare_capped")), V.ModelSpec("ols", True, LinearRegression(labelCol="fare_capped", featuresCol="features"))
+    vote, stack = V.ModelSpec("vote", False, members=(mean, ols)), V.ModelSpec("stack", False, members=(mean, ols), options={"foldCol": "fold"})
+    board = {r["model"]: r for r in V.run_sweep(df, [mean, ols, vote, stack], 3, variant="dropped").collect()}
+    assert len(Counted.fits) == 3 + 3
+    for spec in (vote, stack):
+        alone = V.cross_validate(df, V.spec_pipeline(spec, df.columns, "dropped"), 3).agg(F.avg("mae"), F.avg("rmse")).first()
+        assert abs(board[spec.name]["mae_mean"] - alone[0]) < 1e-9 and abs(board[spec.name]["rmse_mean"] - alone[1]) < 1e-9
+
+
+def test_folds_of_a_column_are_checked_without_python(spark):
+    df = labelled(spark)
+    for halves in V._ByColumn(numFolds=3, foldCol="fold")._kFold(df):
+        assert all("Python" not in h._jdf.queryExecution().executedPlan().toString() for h in halves)
+    for bad in (df.where("fold < 2"), df.withColumn("fold", F.col("fold") + 1), df.withColumn("fold", F.nullif("fold", F.lit(1)))):
+        try:
+            V.tune(P.MeanRegressor("fare_capped"), bad, [], RegressionEvaluator(labelCol="fare_capped"), 3, fold="fold")
+        except ValueError as error:
+            assert "folds must be" in str(error)
+        else:
+            raise AssertionError("wrong folds were taken")
+
+
+def test_trees_are_fitted_on_dealt_rows(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(P, "deal", lambda df: seen.append(df.count()) or df)
+    df = labelled(spark)
+    specs = {s.name: s for s in V.model_specs(depth=2)}
+    P.fit(V.spec_pipeline(specs["decision_tree"], df.columns, "dropped"), df)
+    P.fit(V.spec_pipeline(specs["ols"], df.columns, "dropped"), df)
+    E.StackingRegressor(members={"tree": V.spec_pipeline(specs["decision_tree"], df.columns, "dropped")}, foldCol="fold").fit(df)
+    assert seen == [300, 200, 200, 200, 300]
