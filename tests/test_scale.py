@@ -4,8 +4,9 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+from meterline import constants as K
 from meterline.ml import ensembles as E, evaluation as V, stages as P
-from meterline.plans import fixtures as X
+from meterline.plans import fixtures as X, prep
 from meterline.session import deal
 
 
@@ -75,3 +76,22 @@ def test_trees_are_fitted_on_dealt_rows(spark, monkeypatch):
     P.fit(V.spec_pipeline(specs["ols"], df.columns, "dropped"), df)
     E.StackingRegressor(members={"tree": V.spec_pipeline(specs["decision_tree"], df.columns, "dropped")}, foldCol="fold").fit(df)
     assert seen == [300, 200, 200, 200, 300]
+
+
+def test_tree_fits_read_rows_prepared_once(spark, monkeypatch):
+    """Only the columns of the tree reach it, computed once and kept on disk while it is fitted."""
+    seen, real = [], P.DecisionTreeRegressor._fit
+    monkeypatch.setattr(P.DecisionTreeRegressor, "_fit", lambda self, df: seen.append((sorted(df.columns), df.storageLevel.useDisk)) or real(self, df))
+    df = labelled(spark)
+    pipeline = V.spec_pipeline({s.name: s for s in V.model_specs(depth=2)}["decision_tree"], df.columns, "dropped")
+    model = P.fit(pipeline, df)
+    assert seen == [(["fare_capped", "features"], True)]
+    whole = pipeline.fit(df)
+    predicted = [sorted(r["prediction"] for r in m.transform(df).collect()) for m in (model, whole)]
+    assert predicted[0] == predicted[1]
+
+
+def test_capped_trips_are_computed_once(spark):
+    """Caps and trips are read from one kept table."""
+    sample = prep.prepared(X.fact(spark, "/root/testdata/sf0.001"))
+    assert all("/pinned-" in f for f in sample.inputFiles()) and sample.columns == list(K.MODEL_COLUMNS)
