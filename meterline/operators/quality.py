@@ -93,17 +93,18 @@ def month_coverage(df: DataFrame, start: str, end: str) -> DataFrame:
     ).withColumn("complete", F.col("months") == expected)
 
 
-def leakage_audit(encoded: DataFrame, recomputed: DataFrame, key: str, encoded_col: str, tolerance: float = 1e-9) -> DataFrame:
+def leakage_audit(encoded: DataFrame, recomputed: DataFrame, key: str, encoded_col: str, tolerance: float = 1e-9, by: Sequence[str] = ()) -> DataFrame:
     """Rows whose encoding moves when their own target changes.
 
     ``recomputed`` is the same encoding fitted after every target of the audited
     rows was replaced; without self-leakage no value may differ. The tables are
-    matched on a unique row key.
+    matched on a unique row key. With ``by``, one result for each value of those
+    columns of ``encoded``.
     """
-    a = encoded.select(key, F.col(encoded_col).alias("_a"))
+    a = encoded.select(key, *by, F.col(encoded_col).alias("_a"))
     b = recomputed.select(key, F.col(encoded_col).alias("_b"))
     moved = ~F.coalesce(F.abs(F.col("_a") - F.col("_b")) <= tolerance, F.col("_a").isNull() & F.col("_b").isNull())
-    return a.join(b, key).agg(F.count(F.lit(1)).alias("rows"), F.count_if(moved).alias("moved"))
+    return a.join(b, key).groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.count_if(moved).alias("moved"))
 
 
 def key_ambiguity(df: DataFrame, keys: Sequence[str], pair: Sequence[str] = ("pickup_locationid", "dropoff_locationid")) -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from meterline import constants as K
 from meterline.ml import ensembles as E, evaluation as V, stages as P
+from meterline.operators import quality as N
 from meterline.plans import fixtures as X, prep
+from meterline.registry import QUERIES
 from meterline.session import deal
 
 
@@ -95,3 +97,17 @@ def test_capped_trips_are_computed_once(spark):
     """Caps and trips are read from one kept table."""
     sample = prep.prepared(X.fact(spark, "/root/testdata/sf0.001"))
     assert all("/pinned-" in f for f in sample.inputFiles()) and sample.columns == list(K.MODEL_COLUMNS)
+
+
+def test_leakage_is_audited_once_for_all_folds(spark, monkeypatch):
+    calls, real = [], N.leakage_audit
+    monkeypatch.setattr(N, "leakage_audit", lambda *a, **k: calls.append(k) or real(*a, **k))
+    row = QUERIES["n08_leakage_audit"](spark, "/root/testdata/sf0.001").first()
+    assert len(calls) == 2 and row["moved"] == 0 and row["leak_is_found"] and row["rows"] > 0
+
+
+def test_leakage_audit_by_group(spark):
+    before = spark.createDataFrame([("a", 0, 1.0), ("b", 0, 2.0), ("c", 1, 3.0)], "k string, f int, te double")
+    after = spark.createDataFrame([("a", 1.0), ("b", 2.5), ("c", 3.0)], "k string, te double")
+    got = {r["f"]: (r["rows"], r["moved"]) for r in N.leakage_audit(before, after, "k", "te", by=["f"]).collect()}
+    assert got == {0: (2, 1), 1: (1, 0)}
