@@ -1,5 +1,7 @@
 """What must not grow with the input: rows of one task, passes over the trips, repeated fits."""
 
+import inspect
+
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
@@ -99,6 +101,21 @@ def test_capped_trips_are_computed_once(spark):
     assert all("/pinned-" in f for f in sample.inputFiles()) and sample.columns == list(K.MODEL_COLUMNS)
 
 
+def test_the_sweep_runs_the_registry_at_its_own_sizes(spark, sf, monkeypatch):
+    """100 trees of depth 10, 100 rounds, five folds that all hold rows, and the corridor encoded."""
+    seen, real = [], V.run_sweep
+    monkeypatch.setattr(V, "run_sweep", lambda df, specs, *a, **k: seen.append((df, specs, inspect.signature(real).bind(df, specs, *a, **k))) or df)
+    QUERIES["m15_run_sweep"](spark, sf)
+    (df, specs, given), = seen
+    given.apply_defaults()
+    assert given.arguments["k"] == K.FOLDS and given.arguments["variant"] == "target_encoded" and "od_corridor" in df.columns
+    assert sorted(r[0] for r in df.select("fold").distinct().collect()) == list(range(K.FOLDS))
+    assert [s.name for s in specs] == [s.name for s in V.model_specs()]
+    by = {s.name: s.estimator for s in specs}
+    assert by["random_forest"].getNumTrees() == 100 and by["random_forest"].getMaxDepth() == by["decision_tree"].getMaxDepth() == 10
+    assert by["gradient_boosting"].getMaxIter() == 100
+
+
 def test_leakage_is_audited_once_for_all_folds(spark, monkeypatch):
     calls, real = [], N.leakage_audit
     monkeypatch.setattr(N, "leakage_audit", lambda *a, **k: calls.append(k) or real(*a, **k))
